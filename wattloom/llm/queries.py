@@ -7,10 +7,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann_onebit, common, urls
+from . import ann_onebit, common, decontam, packing, token_files, urls
 
 URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/")]
 
@@ -28,14 +29,32 @@ def op2_onebit_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann_onebit.search(index, index.where(F.col("vec_id") % 50 == 0), k=5, dims=dims)
 
 
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.token_pieces(_table(spark, sf_dir, "documents"), tokenizer=public_tokenizers.path("byte_bpe_50k.json"), end_id=2, capacity=1024)
+    return packing.best_fit(pieces, capacity=1024)
+
+
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = common.new_folder(spark, "tokens")
+    manifest = token_files.write_token_files(_table(spark, sf_dir, "documents"), folder, tokenizer=public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+    return token_files.read_token_files(manifest)
+
+
 def op9_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = urls.make_rules(spark, URL_RULES)
     return urls.filter_urls(_table(spark, sf_dir, "pages"), rules).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_onebit_ann": op2_onebit_ann,
+    "op4_best_fit_packing": op4_best_fit_packing,
+    "op8_token_files": op8_token_files,
     "op9_url_rules": op9_url_rules,
+    "op10_decontamination": op10_decontamination,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -71,4 +90,28 @@ ORACLE_SQL: dict[str, str] = {
         SELECT h.page_id, coalesce(h.host, '') AS host, coalesce(h.path, '') AS path, m.rule, coalesce(m.verdict, 'allow') AS verdict
         FROM h LEFT JOIN m USING (page_id)
     """,
+    "op10_decontamination": r"""
+        WITH d AS (
+          SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+        ), b AS (
+          SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+        ), bi AS (
+          SELECT item_id, w, least(13, len(w)) AS size, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS i FROM b WHERE len(w) > 0
+        ), win AS (
+          SELECT DISTINCT item_id, size, array_to_string(w[i:i + size - 1], ' ') AS t FROM bi
+        ), sizes AS (SELECT DISTINCT size FROM win),
+        dp AS (
+          SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM d CROSS JOIN sizes WHERE len(w) >= size
+        ), hits AS (
+          SELECT dp.doc_id, dp.i, dp.size, win.item_id FROM dp JOIN win ON dp.size = win.size AND array_to_string(dp.w[dp.i:dp.i + dp.size - 1], ' ') = win.t
+        ), hw AS (
+          SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + size)) AS p FROM hits) GROUP BY doc_id
+        ), it AS (
+          SELECT doc_id, count(*) AS n_items, string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS s
+          FROM (SELECT DISTINCT doc_id, item_id FROM hits) GROUP BY doc_id
+        )
+        SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+               sha256(coalesce(s, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(d.w) AS contaminated
+        FROM d LEFT JOIN hw USING (doc_id) LEFT JOIN it USING (doc_id)
+    """,
 }
