@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann_onebit, common, decontam, packing, token_files, urls
+from . import ann_onebit, common, decontam, minhash, packing, token_files, urls
 
 URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/")]
 
@@ -34,6 +34,10 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit(pieces, capacity=1024)
 
 
+def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents"), shingle=3, percent=85)
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = common.new_folder(spark, "tokens")
     manifest = token_files.write_token_files(_table(spark, sf_dir, "documents"), folder, tokenizer=public_tokenizers.path("word_bpe_49k.json"), end_id=1)
@@ -52,6 +56,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_onebit_ann": op2_onebit_ann,
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op5_minhash": op5_minhash,
     "op8_token_files": op8_token_files,
     "op9_url_rules": op9_url_rules,
     "op10_decontamination": op10_decontamination,
