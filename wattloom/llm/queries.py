@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann_onebit, common, decontam, minhash, packing, token_files, urls
+from . import ann_onebit, common, decontam, minhash, packing, phrases, suffix_repeats, token_files, urls
 
 URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/")]
 
@@ -20,6 +20,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_repeats.repeated_bytes(_table(spark, sf_dir, "documents"), size=200).drop("spans")
+
+
 def op2_onebit_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = _table(spark, sf_dir, "embeddings")
     sizes = vectors.where(F.size("embedding") > 0).groupBy(F.size("embedding").alias("d")).count()
@@ -38,6 +42,10 @@ def op5_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf_dir, "documents"), shingle=3, percent=85)
 
 
+def op6_repeated_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.repeated_phrases(_table(spark, sf_dir, "documents"), size=50).drop("spans")
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = common.new_folder(spark, "tokens")
     manifest = token_files.write_token_files(_table(spark, sf_dir, "documents"), folder, tokenizer=public_tokenizers.path("word_bpe_49k.json"), end_id=1)
@@ -54,9 +62,11 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffix_repeats": op1_suffix_repeats,
     "op2_onebit_ann": op2_onebit_ann,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_minhash": op5_minhash,
+    "op6_repeated_phrases": op6_repeated_phrases,
     "op8_token_files": op8_token_files,
     "op9_url_rules": op9_url_rules,
     "op10_decontamination": op10_decontamination,
