@@ -86,3 +86,27 @@ def sorted_groups(df: DataFrame, keys: list[str], order: list[str], fn, schema:
 def named(df: DataFrame, key: str = "doc_id") -> tuple[DataFrame, DataFrame]:
     """Rows that have a key, and those that have none."""
     return df.where(F.col(key).isNotNull()), df.where(F.col(key).isNull())
+
+
+def add_columns(df: DataFrame, fn, inputs: list[str], outputs: str, replaced: str | None = None) -> DataFrame:
+    """df with further columns, or one replaced, from a function of Arrow arrays.
+
+    fn gets the input columns of a batch and returns the output arrays.  Outputs
+    are named as a schema says; with `replaced`, the first takes that column's place.
+    All other columns go through as they are.
+    """
+    names = df.columns
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields]
+    at = [names.index(c) for c in inputs]
+    hole = names.index(replaced) if replaced else None
+
+    def run(batches):
+        for batch in batches:
+            columns = list(batch.columns)
+            new = list(fn(*(columns[i] for i in at)))
+            if hole is not None:
+                columns[hole] = new.pop(0)
+            all_names = [*names, *(o.split()[0] for o in outputs.split(", ") if o)]
+            yield pa.RecordBatch.from_arrays([*columns, *new], names=all_names)
+
+    return df.mapInArrow(run, ", ".join([*fields, *([outputs] if outputs else [])]))

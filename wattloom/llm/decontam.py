@@ -22,12 +22,14 @@ count as one row and come out as often as they went in.
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import add_columns
 from .kernels import ALNUM, Lookup, RangeHasher, U64, Words, mix, ragged, signed, text_blocks
 
 HITS = "doc_id long, n_words long, hit_from array<long>, hit_to array<long>, items array<string>"
@@ -203,6 +205,33 @@ def _unite(share: int):
     return run
 
 
+def _indexes(texts: DataFrame, benchmark: DataFrame, window: int, shingle: int, item_col: str, item_text_col: str, block_windows: int) -> list:
+    """The benchmark's windows in blocks, each ordered by the corpus' counts and sent to the tasks."""
+    spark = texts.sparkSession
+    windows = benchmark_windows(benchmark, window=window, shingle=shingle, id_col=item_col, text_col=item_text_col)
+    blocks = max(1, -(-windows.count() // block_windows))
+    sent = []
+    for b in range(blocks):
+        index = _Index(windows.where(F.pmod("hash", F.lit(blocks)) == b).orderBy("words").collect(), shingle)
+        counts = np.zeros(len(index.lookup.keys), dtype=np.int64)
+        counted = texts.select("text").mapInArrow(_count(spark.sparkContext.broadcast(index), index.sizes), "shingle long, n long")
+        for r in counted.groupBy("shingle").agg(F.sum("n").alias("n")).collect():  # at most the block's shingles
+            counts[r["shingle"]] = r["n"]
+        index.order(counts)
+        sent.append(spark.sparkContext.broadcast(index))
+    return sent
+
+
+def _united(texts: DataFrame, indexes: list, share: int) -> DataFrame:
+    if len(indexes) == 1:
+        return texts.mapInArrow(_join(indexes[0], share, True), REPORT)
+    hashed = texts.withColumn("text_hash", F.xxhash64("text"))
+    found = reduce(DataFrame.unionByName, [hashed.mapInArrow(_join(i, share, False), HITS + ", text_hash long") for i in indexes])
+    lists = [F.flatten(F.collect_list(c)).alias(c) for c in ("hit_from", "hit_to", "items")]
+    united = found.groupBy("doc_id", "text_hash", "n_words").agg(*lists, (F.count("*") / F.lit(len(indexes))).cast("int").alias("copies"))
+    return united.mapInArrow(_unite(share), REPORT)
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, *, window: int = 13, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", share: int = 20, block_windows: int = 200_000) -> DataFrame:
     """One row per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated.
 
@@ -210,26 +239,25 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, window: int = 13, sh
     block_windows: so many windows, of a few hundred bytes each, are sent to the
     tasks at a time.
     """
-    spark = docs.sparkSession
-    windows = benchmark_windows(benchmark, window=window, shingle=shingle, id_col=item_col, text_col=item_text_col)
-    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    total = windows.count()
-    blocks = max(1, -(-total // block_windows))
-    parts = []
-    for b in range(blocks):
-        rows = windows.where(F.pmod("hash", F.lit(blocks)) == b).orderBy("words").collect()
-        index = _Index(rows, shingle)
-        sent = spark.sparkContext.broadcast(index)
-        counts = np.zeros(len(index.lookup.keys), dtype=np.int64)
-        for r in texts.select("text").mapInArrow(_count(sent, index.sizes), "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n")).collect():
-            counts[r["shingle"]] = r["n"]
-        index.order(counts)
-        sent = spark.sparkContext.broadcast(index)
-        if blocks == 1:
-            return texts.mapInArrow(_join(sent, share, True), REPORT)
-        parts.append(texts.withColumn("text_hash", F.xxhash64("text")).mapInArrow(_join(sent, share, False), HITS + ", text_hash long"))
-    found = parts[0]
-    for p in parts[1:]:
-        found = found.unionByName(p)
-    united = found.groupBy("doc_id", "text_hash", "n_words").agg(F.flatten(F.collect_list("hit_from")).alias("hit_from"), F.flatten(F.collect_list("hit_to")).alias("hit_to"), F.flatten(F.collect_list("items")).alias("items"), (F.count("*") / F.lit(blocks)).cast("int").alias("copies"))
-    return united.mapInArrow(_unite(share), REPORT)
+    texts = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
+    return _united(texts, _indexes(texts, benchmark, window, shingle, item_col, item_text_col, block_windows), share)
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, *, window: int = 13, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", share: int = 20, block_windows: int = 200_000) -> DataFrame:
+    """The documents that are not contaminated, with their own columns.
+
+    With one block of windows a document is judged where it is read; with more,
+    by its id.
+    """
+    texts = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
+    indexes = _indexes(texts, benchmark, window, shingle, item_col, item_text_col, block_windows)
+    if len(indexes) > 1:
+        bad = _united(texts, indexes, share).where("contaminated").select(F.col("doc_id").alias("__bad")).distinct()
+        return docs.join(bad, F.col(f"`{id_col}`") == F.col("__bad"), "left_anti")
+
+    def judge(column: pa.Array):
+        nothing = pa.nulls(len(column), pa.int64())
+        found = list(_join(indexes[0], share, True)([pa.RecordBatch.from_arrays([nothing, column], names=["doc_id", "text"])]))
+        return [pa.chunked_array([b.column(5) for b in found], pa.bool_()).combine_chunks()]
+
+    return add_columns(docs, judge, [text_col], "__contaminated boolean").where("not __contaminated").drop("__contaminated")

@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann_onebit, common, decontam, minhash, packing, phrases, suffix_repeats, token_files, urls
+from . import ann_onebit, common, decontam, lines, minhash, packing, phrases, quality, suffix_repeats, token_files, urls
 
 URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/")]
 
@@ -33,6 +33,12 @@ def op2_onebit_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann_onebit.search(index, index.where(F.col("vec_id") % 50 == 0), k=5, dims=dims)
 
 
+def op3_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
+    judged = quality.judge(docs, _table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", F.col("__host").alias("host"), F.col("__path").alias("path"), F.round("__low", 6).alias("p_low_quality"), F.round("__toxic", 6).alias("p_toxic"), F.col("__keep").alias("kept"))
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.token_pieces(_table(spark, sf_dir, "documents"), tokenizer=public_tokenizers.path("byte_bpe_50k.json"), end_id=2, capacity=1024)
     return packing.best_fit(pieces, capacity=1024)
@@ -46,6 +52,10 @@ def op6_repeated_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.repeated_phrases(_table(spark, sf_dir, "documents"), size=50).drop("spans")
 
 
+def op7_line_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.line_report(_table(spark, sf_dir, "documents"))
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = common.new_folder(spark, "tokens")
     manifest = token_files.write_token_files(_table(spark, sf_dir, "documents"), folder, tokenizer=public_tokenizers.path("word_bpe_49k.json"), end_id=1)
@@ -64,9 +74,11 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_repeats": op1_suffix_repeats,
     "op2_onebit_ann": op2_onebit_ann,
+    "op3_site_quality": op3_site_quality,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_minhash": op5_minhash,
     "op6_repeated_phrases": op6_repeated_phrases,
+    "op7_line_winnowing": op7_line_winnowing,
     "op8_token_files": op8_token_files,
     "op9_url_rules": op9_url_rules,
     "op10_decontamination": op10_decontamination,
@@ -87,6 +99,22 @@ ORACLE_SQL: dict[str, str] = {
         )
         SELECT query_id, rank::INT AS rank, vec_id, score FROM r WHERE rank <= 5
     """,
+    "op7_line_winnowing": r"""
+        WITH l AS (
+          SELECT doc_id, string_split(text, chr(10)) AS w FROM documents WHERE text <> ''
+        ), p AS (
+          SELECT doc_id, unnest(range(1, len(w) - 1)) AS i, w FROM l WHERE len(w) >= 3
+        ), k AS (
+          SELECT doc_id, i, array_to_string(w[i:i + 2], chr(10)) AS t FROM p
+        ), later AS (
+          SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY t ORDER BY doc_id, i) AS r FROM k) WHERE r > 1
+        ), gone AS (
+          SELECT doc_id, list(DISTINCT j) AS g FROM (SELECT doc_id, unnest(range(i, i + 3)) AS j FROM later) GROUP BY doc_id
+        )
+        SELECT d.doc_id, coalesce(len(w), 0)::BIGINT AS n_lines, coalesce(len(g), 0)::BIGINT AS n_removed,
+               sha256(CASE WHEN g IS NULL THEN coalesce(d.text, '') ELSE array_to_string(list_transform(list_filter(range(1, len(w) + 1), lambda x: NOT list_contains(g, x)), lambda x: w[x]), chr(10)) END) AS kept_sha256
+        FROM documents d LEFT JOIN l USING (doc_id) LEFT JOIN gone USING (doc_id)
+    """,
     "op9_url_rules": r"""
         WITH p AS (
           SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
