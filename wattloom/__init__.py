@@ -1,0 +1 @@
+"""Metered time-series analytics as Spark DataFrame operators."""
