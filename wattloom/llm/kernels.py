@@ -66,7 +66,7 @@ class RangeHasher:
 
     def __call__(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         h = (self._sums[ends] - self._sums[starts]) * self._inverse[starts]
-        return mix(h + (ends - starts).astype(U64) * _GOLD)
+        return mix(h + (ends - starts + 1).astype(U64) * _GOLD)  # an empty range has no hash of 0
 
 
 def text_blocks(column: pa.Array, max_bytes: int = 1 << 20):
