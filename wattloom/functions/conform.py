@@ -66,7 +66,7 @@ def decile_digit(p: Column, as_text_digit: bool = False) -> Column:
     as_text_digit: the first decimal digit, so 1.0 gives 0; else 1.0 gives 9.
     """
     tenth = F.floor(F.round(p * 10, 9)).cast("int")
-    return F.pmod(tenth, F.lit(10)) if as_text_digit else F.least(tenth, F.lit(9))
+    return F.pmod(tenth, F.lit(10)) if as_text_digit else F.when(tenth.isNotNull(), F.least(tenth, F.lit(9)))
 
 
 def percent_off(source: Column, target: Column) -> Column:

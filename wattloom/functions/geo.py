@@ -22,7 +22,7 @@ def haversine_ft(lat1: Column, long1: Column, lat2: Column, long2: Column) -> Co
     """Feet along a great circle; null if any coordinate is."""
     a, b = F.radians(lat1), F.radians(lat2)
     h = F.pow(F.sin((b - a) / 2), 2) + F.cos(a) * F.cos(b) * F.pow(F.sin(F.radians(long2 - long1) / 2), 2)
-    return F.lit(2 * EARTH_KM * FEET_PER_KM) * F.asin(F.sqrt(F.least(h, F.lit(1.0))))
+    return F.when(h.isNotNull(), F.lit(2 * EARTH_KM * FEET_PER_KM) * F.asin(F.sqrt(F.least(h, F.lit(1.0)))))
 
 
 def chord_ft(a: dict[str, Column], b: dict[str, Column]) -> Column:

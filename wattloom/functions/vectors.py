@@ -30,8 +30,9 @@ def cosine(x: Column, y: Column) -> Column:
 
 
 def euclid_of_unit(x: Column, y: Column) -> Column:
-    """The distance of the two vectors after normalising: sqrt(2 - 2 cos)."""
-    return F.sqrt(F.greatest(F.lit(0.0), 2 - 2 * cosine(x, y)))
+    """The distance of the two vectors after normalising: sqrt(2 - 2 cos); null if either is zero."""
+    c = cosine(x, y)
+    return F.when(c.isNotNull(), F.sqrt(F.greatest(F.lit(0.0), 2 - 2 * c)))
 
 
 def euclid(x: Column, y: Column) -> Column:
