@@ -85,6 +85,32 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_suffix_repeats": """
+        WITH d AS (
+          SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+        ), p AS (
+          SELECT doc_id, unnest(range(0, len(h) // 2 - 199)) AS i, h FROM d WHERE len(h) >= 400
+        ), k AS (
+          SELECT doc_id, i, md5(substr(h, 2 * i + 1, 400)) AS t FROM p
+        ), r AS (
+          SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY t) AS n FROM k) WHERE n > 1
+        ), b AS (
+          SELECT doc_id, i, coalesce((i > lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 200)::INT, 1) AS fresh FROM r
+        ), g AS (
+          SELECT doc_id, i, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM b
+        ), runs AS (
+          SELECT doc_id, min(i) AS s, max(i) + 200 AS e FROM g GROUP BY doc_id, run
+        ), gaps AS (
+          SELECT doc_id, coalesce(lag(e) OVER (PARTITION BY doc_id ORDER BY s), 0) AS x, s AS y FROM runs
+          UNION ALL SELECT d.doc_id, coalesce(max(e), 0), any_value(len(h)) // 2 FROM d LEFT JOIN runs USING (doc_id) GROUP BY d.doc_id
+        ), kept AS (
+          SELECT doc_id, sha256(unhex(string_agg(substr(h, 2 * x + 1, 2 * (y - x)), '' ORDER BY x))) AS kept_sha256 FROM gaps JOIN d USING (doc_id) GROUP BY doc_id
+        ), n AS (
+          SELECT doc_id, sum(e - s) AS removed, count(*) AS spans FROM runs GROUP BY doc_id
+        )
+        SELECT doc_id, (len(h) // 2)::BIGINT AS n_bytes, coalesce(removed, 0)::BIGINT AS n_removed, coalesce(spans, 0)::BIGINT AS n_spans, kept_sha256
+        FROM d JOIN kept USING (doc_id) LEFT JOIN n USING (doc_id)
+    """,
     "op2_onebit_ann": """
         WITH v AS (
           SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings
@@ -99,6 +125,45 @@ ORACLE_SQL: dict[str, str] = {
         )
         SELECT query_id, rank::INT AS rank, vec_id, score FROM r WHERE rank <= 5
     """,
+    "op5_minhash": r"""
+        WITH RECURSIVE d AS (
+          SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+        ), s AS (
+          SELECT DISTINCT doc_id, array_to_string(w[i:i + 2], ' ') AS g
+          FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 1, 2))) AS i FROM d WHERE len(w) > 0)
+        ), n AS (
+          SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+        ), inter AS (
+          SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL
+        ), links AS (
+          SELECT a, b FROM inter JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= 85 * (x.n + y.n - k)
+        ), e AS (
+          SELECT a, b FROM links UNION SELECT b, a FROM links
+        ), reach(doc_id, r) AS (
+          SELECT doc_id, doc_id FROM documents UNION SELECT reach.doc_id, e.b FROM reach JOIN e ON reach.r = e.a
+        )
+        SELECT d.doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, min(r) AS component_id, d.doc_id = min(r) AS kept
+        FROM d JOIN reach USING (doc_id) LEFT JOIN n USING (doc_id) GROUP BY d.doc_id
+    """,
+    "op6_repeated_phrases": r"""
+        WITH d AS (
+          SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+        ), p AS (
+          SELECT doc_id, unnest(range(1, len(w) - 48)) AS i, w FROM d WHERE len(w) >= 50
+        ), k AS (
+          SELECT doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) AS t FROM p
+        ), o AS (
+          SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY t) AS m FROM k) WHERE m < doc_id
+        ), gone AS (
+          SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS j FROM o
+        ), words AS (
+          SELECT doc_id, unnest(range(1, len(w) + 1)) AS j, unnest(w) AS x FROM d
+        ), kept AS (
+          SELECT doc_id, string_agg(x, ' ' ORDER BY j) AS t, count(*) AS n FROM words ANTI JOIN gone USING (doc_id, j) GROUP BY doc_id
+        )
+        SELECT d.doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+        FROM d LEFT JOIN kept USING (doc_id)
+    """,
     "op7_line_winnowing": r"""
         WITH l AS (
           SELECT doc_id, string_split(text, chr(10)) AS w FROM documents WHERE text <> ''
