@@ -248,7 +248,8 @@ def judge(docs: DataFrame, labels: DataFrame, *, host_col: str = "source", path_
     sited = lambda df: df.withColumns({"__host": F.coalesce(F.col(f"`{host_col}`").cast("string"), F.lit("")), "__path": F.coalesce(F.col(f"`{path_col}`").cast("string"), F.lit(""))})
     narrow = sited(docs.select(*[F.col(f"`{c}`") for c in dict.fromkeys((host_col, path_col, text_col))]))
     sites, about = _site_rates(add_columns(narrow, score, [text_col], outputs).select("__host", "__path", *[f"__p_{t}" for t in TARGETS]))
-    sites = sites.withColumnsRenamed({f"__p_{t}": f"__p_{t}_sum" for t in TARGETS})
+    # A written table: where it is small, its known size makes the join a broadcast, and no text is shuffled.
+    sites = materialize(sites.withColumnsRenamed({f"__p_{t}": f"__p_{t}_sum" for t in TARGETS}), "sites")
     scored = add_columns(sited(docs), score, [text_col], outputs)
     joined = scored.join(sites, (F.col("__host") == F.col("__h")) & (F.col("__path") == F.col("__p")))
     judged = joined.withColumns({f"__{t}": _posterior(t, about) for t in TARGETS})
