@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ..constants import INTERVALS_A_DAY, USAGE_FLAGS
+
 
 def parse_date(text: Column, formats: Sequence[str] = ("yyyy-MM-dd", "yyyy/MM/dd")) -> Column:
     """The first format that fits; null if none does."""
@@ -37,14 +39,14 @@ def quality_class(code: Column, actual: Sequence[str], yes: str = "REGULAR", no:
     return F.when(code.isin(list(actual)), yes).otherwise(no)
 
 
-def usage_type(flag: Column, kinds: Sequence[tuple[str, str]] = (("D1SC", "scalar"), ("D1IN", "interval")), other: str = "un") -> Column:
+def usage_type(flag: Column, kinds: Sequence[tuple[str, str]] = USAGE_FLAGS, other: str = "un") -> Column:
     out = F.lit(other)
     for value, kind in reversed(kinds):
         out = F.when(flag == value, kind).otherwise(out)
     return out
 
 
-def interval_bucket(count: Column, expected: int = 96) -> Column:
+def interval_bucket(count: Column, expected: int = INTERVALS_A_DAY) -> Column:
     """'<n', 'n' or '>n' of a count that may be text; null where it is no number."""
     n = count.try_cast("int")
     return F.when(n > expected, f">{expected}").when(n < expected, f"<{expected}").when(n == expected, str(expected))

@@ -17,13 +17,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..constants import ENERGY_REGISTER_PREFIX, ENERGY_UNITS, INTERVALS_A_DAY
 from ..functions import conform as fn
 from .dedupe import union_all
 from .joins import dense_rank, not_exists
 
 KEYS = ["opco", "aggr_type", "usage_dt", "usage_type", "register", "quality", "intervals"]
 MEASURES = ["cnt", "usage", "meters"]
-ENERGY = ("KWH", "KW")
 
 
 def _shape(df: DataFrame, aggr_type: str, keys: Sequence[str], cnt: Column, usage: Column, meters: Column) -> DataFrame:
@@ -69,7 +69,7 @@ def rank_configs(df: DataFrame) -> DataFrame:
     return dense_rank(df, ["opco", "usage_type", "usage_dt", "serial", "register"], [F.desc("config_id"), F.desc("component_id")], "row_num")
 
 
-def source_interval_count(df: DataFrame, actual: Sequence[str], *, expected: int = 96, before: str | None = None, registers: Sequence[str] | None = None) -> DataFrame:
+def source_interval_count(df: DataFrame, actual: Sequence[str], *, expected: int = INTERVALS_A_DAY, before: str | None = None, registers: Sequence[str] | None = None) -> DataFrame:
     """By intervals in a meter's day: complete actual days, complete estimated ones of meters without, and the latest configuration's others, summed."""
     keys = ["opco", "usage_type", "usage_dt", "register", "serial"]
     ranked = rank_configs(_source(df, before, registers)).withColumn("quality", fn.quality_class(F.col("condition"), actual, "A", "E"))
@@ -84,9 +84,9 @@ def source_interval_count(df: DataFrame, actual: Sequence[str], *, expected: int
 def _target(df: DataFrame, days: DataFrame | None, quarantined: DataFrame | None) -> list[DataFrame]:
     """The two arms in one shape, with use (the usage that counts)."""
     within = lambda d: d.join(F.broadcast(days.select("usage_dt").distinct()), "usage_dt", "left_semi") if days is not None else d
-    arms = [within(df).withColumn("use", fn.usage_where(F.col("value").cast("double"), F.col("uom").isin(*ENERGY)))]
+    arms = [within(df).withColumn("use", fn.usage_where(F.col("value").cast("double"), F.col("uom").isin(*ENERGY_UNITS)))]
     if quarantined is not None:
-        energy = F.col("register").startswith("E-KW")
+        energy = F.col("register").startswith(ENERGY_REGISTER_PREFIX)
         q = within(quarantined).withColumns({"usage_type": fn.usage_type(F.col("flag")), "use": fn.usage_where(F.col("value").try_cast("int").cast("double"), energy)})
         arms.append(q)
     return arms
@@ -157,12 +157,12 @@ def reconcile(source: DataFrame, target: DataFrame, keys: Sequence[str] = tuple(
     )
 
 
-def bucketed(df: DataFrame, *, expected: int = 96) -> DataFrame:
+def bucketed(df: DataFrame, *, expected: int = INTERVALS_A_DAY) -> DataFrame:
     """Interval counts put into under, at and over the expected number, and summed."""
     return df.withColumn("intervals", fn.interval_bucket(F.col("intervals"), expected)).groupBy(*KEYS).agg(*[F.sum(m).alias(m) for m in MEASURES])
 
 
-def reconcile_bucketed(source: DataFrame, target: DataFrame, *, expected: int = 96) -> DataFrame:
+def reconcile_bucketed(source: DataFrame, target: DataFrame, *, expected: int = INTERVALS_A_DAY) -> DataFrame:
     return reconcile(bucketed(source, expected=expected), bucketed(target, expected=expected))
 
 
