@@ -8,31 +8,38 @@ anchor are compared; this module is the Spark side that both share.
    as a repeated anchor.  Anchors that occur once are dropped.
 2. An anchor's context, all that windows around it can reach, is hashed.
    Occurrences with one anchor and one context are a class: copies, however many,
-   are one row from here on.
+   are one row from here on.  Those within one document are one row from the
+   start, with all their places.
 3. Classes that share an anchor with others are a group; one occurrence of each
    class is cut from its text, and the unit compares the contexts of a group.
 4. A group with more classes than `limit` is split in two by where the anchor
    stands in the window: for either half the windows share a longer core, which
-   becomes part of the group's key.  At the latest when one place is left, all
-   contexts of a group are equal, and so one class.
+   becomes part of the group's key.  Contexts that are equal within a half are one
+   from there on.  At the latest when one place is left, all contexts of a group
+   are equal.
 5. What is found for a class holds for its occurrences: each has one span, from
    `left` units before its anchor to `right` units after.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialize, sorted_groups
+from .kernels import signed
 
-OCCURRENCES = "a long, c long, doc_id long, pos int, left int, right int"
+OCCURRENCES = "a long, c long, doc_id long, at array<int>, left int, right int"
 CONTEXTS = "key long, cls long, a long, c long, n long, doc long, left int, content binary, k long"
 REACH = "key long, cls long, left int, right int"
 
 
 def spans(docs: DataFrame, unit, *, limit: int = 256) -> DataFrame:
-    """(doc_id, start, end) in units: what repeated windows cover.  docs: doc_id, text; no null id.
+    """(doc_id, spans of start and end in units): what repeated windows cover.  docs: doc_id, text; no null id.
+
+    A document may have several rows, and its spans may overlap.
 
     With unit.across, a window counts where it also starts in a document of a
     smaller id; else where it also starts anywhere else.
@@ -41,10 +48,12 @@ def spans(docs: DataFrame, unit, *, limit: int = 256) -> DataFrame:
     if unit.across:
         again = occurrences.groupBy("a").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi")
     else:
-        again = occurrences.groupBy("a").agg(F.count("*").alias("n")).where("n > 1")
-    repeated = materialize(occurrences.join(again.select("a"), "a", "left_semi"), "anchors")
+        again = occurrences.groupBy("a").agg(F.sum(F.size("at")).alias("n")).where("n > 1")
+    again = materialize(again.select("a"), "repeated")  # a table on either side, so that a frequent anchor's partition can be split
+    repeated = materialize(occurrences.join(again, "a", "left_semi"), "anchors")
+    first = F.struct("doc_id", F.col("at")[0].alias("pos"))
     classes = materialize(
-        repeated.groupBy("a", "c").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "pos")).alias("at"), F.max("doc_id").alias("last"), F.min("left").alias("left"), F.min("right").alias("right")),
+        repeated.groupBy("a", "c").agg(F.sum(F.size("at")).alias("n"), F.min(first).alias("at"), F.max("doc_id").alias("last"), F.min("left").alias("left"), F.min("right").alias("right")),
         "classes",
     )
     shared = classes.groupBy("a").agg(F.count("*").alias("k")).where("k > 1")
@@ -54,12 +63,10 @@ def spans(docs: DataFrame, unit, *, limit: int = 256) -> DataFrame:
     several = F.col("last") > F.col("at.doc_id") if unit.across else F.col("n") > 1
     found = found.where(several | F.col("l").isNotNull()).select("a", "c", F.col("at.doc_id").alias("first"), several.alias("several"), F.col("left").alias("cl"), F.col("right").alias("cr"), "l", "r")
     whole = (F.col("doc_id") > F.col("first")) if unit.across else F.col("several")
-    return (
-        repeated.select("a", "c", "doc_id", "pos")
-        .join(found, ["a", "c"])
-        .select("doc_id", (F.col("pos") - F.when(whole, F.col("cl")).otherwise(F.col("l"))).alias("start"), (F.col("pos") + F.when(whole, F.col("cr")).otherwise(F.col("r"))).alias("end"))
-        .where(F.col("end") - F.col("start") >= unit.size)
-    )
+    reached = repeated.select("a", "c", "doc_id", "at").join(materialize(found, "reach"), ["a", "c"])
+    reached = reached.withColumns({"l": F.when(whole, F.col("cl")).otherwise(F.col("l")), "r": F.when(whole, F.col("cr")).otherwise(F.col("r"))})
+    spans_of = F.transform("at", lambda p: F.struct((p - F.col("l")).alias("start"), (p + F.col("r")).alias("end")))
+    return reached.where(F.col("l") + F.col("r") >= unit.size).select("doc_id", spans_of.alias("spans"))
 
 
 def _contexts(docs: DataFrame, classes: DataFrame, unit) -> DataFrame:
@@ -82,24 +89,25 @@ def _compare(contexts: DataFrame, shared: DataFrame, unit, limit: int) -> DataFr
     while True:
         level += 1
         rows = materialize(rows.mapInArrow(unit.halve, ", ".join(CONTEXTS.split(", ")[:-1]) + ", lo int, hi int, edge int"), f"halves-{level}")
-        classes = rows.groupBy("key", "cls").agg(F.sum("n").alias("total"), F.min("doc").alias("first"), F.max("doc").alias("last"), F.min_by(F.struct("left", "content"), F.struct("doc", "a", "c")).alias("one"))
-        sizes = rows.select("key", "cls").distinct().groupBy("key").agg(F.count("*").alias("k")).where("k > 1")
-        # equal within the half: the whole half's reach is covered
-        equal = classes.where("last > first" if unit.across else "total > 1").select("key", "cls", "first")
+        one = F.min_by(F.struct("a", "c", "left", "content", "lo", "hi"), F.struct("doc", "a", "c")).alias("one")
+        classes = materialize(rows.groupBy("key", "cls").agg(F.sum("n").alias("n"), F.min("doc").alias("first"), F.max("doc").alias("last"), one), f"half-classes-{level}")
+        sizes = classes.groupBy("key").agg(F.count("*").alias("k")).where("k > 1")
+        # Equal within the half: all that the half can reach is covered.
+        equal = classes.where("last > first" if unit.across else "n > 1").select("key", "cls", "first")
         copies = rows.join(equal, ["key", "cls"])
-        if unit.across:
-            copies = copies.where(F.col("doc") > F.col("first"))
+        copies = copies.where(F.col("doc") > F.col("first")) if unit.across else copies
         parts.append(copies.select("a", "c", "left", F.col("edge").alias("right")))
         few = classes.join(sizes.where(F.col("k") <= limit), "key").select("key", "cls", F.col("first").alias("doc"), "one.left", "one.content")
-        reach = sorted_groups(few, ["key"], [], unit.compare, REACH).withColumnsRenamed({"left": "l", "right": "r"})
-        back = rows.select("key", "cls", "a", "c", "doc").join(reach, ["key", "cls"])
-        if unit.across:  # those behind the first are covered as copies
-            back = back.join(classes.select("key", "cls", "first"), ["key", "cls"]).where(F.col("doc") == F.col("first"))
-        parts.append(back.select("a", "c", F.col("l").alias("left"), F.col("r").alias("right")))
+        reach = sorted_groups(few, ["key"], [], unit.compare, REACH)
+        if unit.across:  # of the first document; the others are copies
+            mine = rows.join(classes.select("key", "cls", "first"), ["key", "cls"]).where(F.col("doc") == F.col("first")).select("key", "cls", "a", "c", "n", "doc", F.col("left").alias("cleft"), "content", "lo", "hi")
+        else:
+            mine = classes.select("key", "cls", "one.a", "one.c", "n", F.col("first").alias("doc"), F.col("one.left").alias("cleft"), "one.content", "one.lo", "one.hi")
+        parts.append(mine.join(reach, ["key", "cls"]).select("a", "c", "left", "right"))
         many = sizes.where(F.col("k") > limit)
         if many.isEmpty():
             break
-        rows = rows.join(many.select("key"), "key", "left_semi").drop("edge")
+        rows = mine.join(many.select("key"), "key", "left_semi").withColumnRenamed("cleft", "left")
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -109,5 +117,17 @@ def _compare(contexts: DataFrame, shared: DataFrame, unit, limit: int) -> DataFr
 
 def with_spans(docs: DataFrame, found: DataFrame) -> DataFrame:
     """docs with the list of their spans (null: none)."""
-    lists = found.groupBy("doc_id").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
+    lists = found.groupBy("doc_id").agg(F.flatten(F.collect_list("spans")).alias("spans"))
     return docs.join(lists, "doc_id", "left").select("doc_id", "text", "spans")
+
+
+def occurrence_rows(ids: pa.Array, doc: np.ndarray, pos: np.ndarray, a: np.ndarray, c: np.ndarray, left: np.ndarray, right: np.ndarray) -> pa.RecordBatch:
+    """One row for each document, anchor and context, with its places in order."""
+    order = np.lexsort((pos, c, a, doc))
+    doc, pos, a, c = doc[order], pos[order], a[order], c[order]
+    new = np.ones(len(order), dtype=bool)
+    new[1:] = (doc[1:] != doc[:-1]) | (a[1:] != a[:-1]) | (c[1:] != c[:-1])
+    begin = np.flatnonzero(new)
+    places = pa.ListArray.from_arrays(pa.array(np.append(begin, len(order)), pa.int32()), pa.array(pos, pa.int32()))
+    one = order[begin]
+    return pa.RecordBatch.from_arrays([pa.array(signed(a[begin])), pa.array(signed(c[begin])), ids.take(pa.array(doc[begin])), places, pa.array(left[one], pa.int32()), pa.array(right[one], pa.int32())], names=["a", "c", "doc_id", "at", "left", "right"])

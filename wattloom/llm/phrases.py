@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from . import anchored
 from .common import named
-from .kernels import RangeHasher, U64, Words, mix, signed, text_blocks, window_minima
+from .kernels import RangeHasher, U64, Words, mix, text_blocks, window_minima
 from .suffix_repeats import contexts_batch, halves, merged
 
 GRAM = 10
@@ -64,7 +64,7 @@ class WordUnit:
                 lo = np.maximum(w.first[doc], at - self.window + 1)
                 hi = np.minimum(w.first[doc + 1], at + self.size)
                 context = mix(h(lo, hi) + (at - lo).astype(U64))
-                yield pa.RecordBatch.from_arrays([pa.array(signed(gram[at])), pa.array(signed(context)), batch.column(0).take(pa.array(doc + i)), pa.array((at - w.first[doc]).astype(np.int32)), pa.array((at - lo).astype(np.int32)), pa.array((hi - at).astype(np.int32))], names=["a", "c", "doc_id", "pos", "left", "right"])
+                yield anchored.occurrence_rows(batch.column(0), doc + i, at - w.first[doc], gram[at], context, at - lo, hi - at)
 
     def contexts(self, batches):
         for batch in batches:

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from . import anchored
 from .common import named
-from .kernels import RangeHasher, U64, mix, signed, text_blocks, window_minima
+from .kernels import RangeHasher, U64, mix, text_blocks, window_minima
 
 GRAM = 64
 REPORT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start:int,end:int>>"
@@ -76,7 +76,7 @@ class Bytes:
                 lo = np.maximum(offs[doc], at - self.window + 1)
                 hi = np.minimum(offs[doc + 1], at + self.size)
                 context = mix(RangeHasher(eight)(lo, hi - 7) + (at - lo).astype(U64))
-                yield pa.RecordBatch.from_arrays([pa.array(signed(gram[at])), pa.array(signed(context)), batch.column(0).take(pa.array(doc + i)), pa.array((at - offs[doc]).astype(np.int32)), pa.array((at - lo).astype(np.int32)), pa.array((hi - at).astype(np.int32))], names=["a", "c", "doc_id", "pos", "left", "right"])
+                yield anchored.occurrence_rows(batch.column(0), doc + i, at - offs[doc], gram[at], context, at - lo, hi - at)
 
     def contexts(self, batches):
         for batch in batches:
