@@ -36,7 +36,7 @@ CONTEXTS = "key long, cls long, a long, c long, n long, doc long, left int, cont
 REACH = "key long, cls long, left int, right int"
 
 
-def spans(docs: DataFrame, unit, *, limit: int = 256) -> DataFrame:
+def spans(docs: DataFrame, unit, *, limit: int = 2048) -> DataFrame:
     """(doc_id, spans of start and end in units): what repeated windows cover.  docs: doc_id, text; no null id.
 
     A document may have several rows, and its spans may overlap.

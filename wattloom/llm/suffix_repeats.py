@@ -233,7 +233,7 @@ def _cut(batches):
         yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans"])
 
 
-def repeated_bytes(docs: DataFrame, *, size: int = 200, limit: int = 256, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def repeated_bytes(docs: DataFrame, *, size: int = 200, limit: int = 2048, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and the removed spans of every document."""
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     own, nameless = named(texts)
