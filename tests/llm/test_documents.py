@@ -52,7 +52,7 @@ def _near_truth(rows, k, percent):
 def test_near_duplicates_against_brute_force(spark, k, percent, block):
     rows = _near_rows()
     docs = spark.createDataFrame([(i, t, 1, 2) for i, t in rows], "doc_id long, text string, component_id int, bands int")
-    got = minhash.near_duplicates(docs, shingle=k, percent=percent, block=block).collect()
+    got = minhash.near_duplicates(docs, shingle=k, percent=percent, block=block, bucket_block=2 * block).collect()
     assert sorted(map(tuple, got), key=str) == sorted(_near_truth(rows, k, percent), key=str)
 
 

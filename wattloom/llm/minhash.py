@@ -101,7 +101,10 @@ def _sign(k: int, bands: int):
 
 
 def _spanning(linked: np.ndarray) -> list[tuple[int, int]]:
-    """Few of the links of a symmetric matrix, with the same components."""
+    """Links from the first row of each component of a symmetric matrix to its others.
+
+    With rows in the order of their ids, groups that overlap give the same links.
+    """
     n = len(linked)
     seen = np.zeros(n, dtype=bool)
     out = []
@@ -114,7 +117,7 @@ def _spanning(linked: np.ndarray) -> list[tuple[int, int]]:
             x = queue.pop()
             new = np.flatnonzero(linked[x] & ~seen)
             seen[new] = True
-            out += [(x, int(y)) for y in new]
+            out += [(s, int(y)) for y in new]
             queue += new.tolist()
     return out
 
@@ -167,7 +170,8 @@ def _blocked(rows: DataFrame, key: str, size: int) -> DataFrame:
     A group of up to `size` is one block, alone; else each two blocks are a pair,
     and any two rows of a group meet in one.
     """
-    many = F.ceil(F.col("n") / F.lit(size)).cast("int")
+    # A power of two, so that blocks of a larger group are parts of those of a smaller one.
+    many = F.pow(F.lit(2), F.greatest(F.lit(0), F.ceil(F.log2(F.col("n") / F.lit(size))))).cast("int")
     block = F.pmod(F.xxhash64("doc_id"), many).cast("int")
     return (
         rows.withColumn("block", block)
@@ -228,12 +232,13 @@ def linked_sets(sets: list[np.ndarray], percent: int) -> np.ndarray:
     return (100 * inter >= percent * union) & (union > 0)
 
 
-def near_duplicates(docs: DataFrame, *, shingle: int = 5, percent: int = 80, bands: int = 25, slack: float = 0.25, block: int = 128, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, *, shingle: int = 5, percent: int = 80, bands: int = 25, slack: float = 0.25, block: int = 128, bucket_block: int = 1024, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every row.
 
     Documents are linked at 100 * intersection >= percent * union.  slack: an
     estimate so far under the threshold discards a pair.  block: so many documents
-    of a bucket or family are compared with as many in one go.
+    of a family, with their texts, are compared with as many in one go;
+    bucket_block: of a bucket, which holds only signatures.
     """
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     functions = bands * ROWS
@@ -245,8 +250,8 @@ def near_duplicates(docs: DataFrame, *, shingle: int = 5, percent: int = 80, ban
     )
     in_bands = classes.select("doc_id", "bits", F.explode("bands").alias("bucket"))
     buckets = classes.select(F.explode("bands").alias("bucket")).groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
-    met = _blocked(in_bands.join(buckets, "bucket"), "bucket", block)
-    likely = sorted_groups(met, ["bucket", "x", "y"], [], _families(percent / 100 - slack, functions), "a long, b long").distinct()
+    met = _blocked(in_bands.join(buckets, "bucket"), "bucket", bucket_block)
+    likely = sorted_groups(met, ["bucket", "x", "y"], ["doc_id"], _families(percent / 100 - slack, functions), "a long, b long").distinct()
     likely = materialize(likely, "likely")
     family = components(likely).withColumnsRenamed({"id": "doc_id", "component": "family"})
     sizes = family.groupBy("family").agg(F.count("*").alias("n"))
