@@ -36,14 +36,17 @@ CONTEXTS = "key long, cls long, a long, c long, n long, doc long, left int, cont
 REACH = "key long, cls long, left int, right int"
 
 
-def spans(docs: DataFrame, unit, *, limit: int = 2048) -> DataFrame:
+def spans(docs: DataFrame, unit, *, limit: int | None = None, group_bytes: int = 4 << 20) -> DataFrame:
     """(doc_id, spans of start and end in units): what repeated windows cover.  docs: doc_id, text; no null id.
 
     A document may have several rows, and its spans may overlap.
 
     With unit.across, a window counts where it also starts in a document of a
-    smaller id; else where it also starts anywhere else.
+    smaller id; else where it also starts anywhere else.  limit: contexts of a
+    group that one task compares at once; as many as fit into group_bytes if not
+    given.
     """
+    limit = limit or group_bytes // unit.context_bytes
     occurrences = docs.mapInArrow(unit.anchors, OCCURRENCES)
     if unit.across:
         again = occurrences.groupBy("a").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi")

@@ -1,7 +1,7 @@
 """Vectorised byte, word and hash kernels over Arrow string columns.
 
-Everything here works inside one task on one Arrow batch, in blocks of about a
-megabyte, so that memory stays bounded whatever the batch holds.  A text is
+Everything here works inside one task on one Arrow batch, in blocks of about half
+a megabyte, so that memory stays bounded whatever the batch holds.  A text is
 always processed whole: a block ends at a document's edge.
 """
 
@@ -69,7 +69,7 @@ class RangeHasher:
         return mix(h + (ends - starts + 1).astype(U64) * _GOLD)  # an empty range has no hash of 0
 
 
-def text_blocks(column: pa.Array, max_bytes: int = 1 << 20):
+def text_blocks(column: pa.Array, max_bytes: int = 1 << 19):
     """Yield (first row, end row, bytes, document offsets) for runs of whole documents.
 
     A null counts as an empty text.

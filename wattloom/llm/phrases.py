@@ -46,6 +46,7 @@ class WordUnit:
         if not 0 < gram <= size:
             raise ValueError("a gram is from one word to a window")
         self.size, self.gram, self.window = size, gram, size - gram + 1
+        self.context_bytes = 8 * (size + self.window)  # words of usual length
 
     def anchors(self, batches):
         for batch in batches:
@@ -161,7 +162,7 @@ def _cut(batches):
         yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], names=["doc_id", "n_words", "n_removed", "kept_sha256", "spans"])
 
 
-def repeated_phrases(docs: DataFrame, *, size: int = 50, limit: int = 2048, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def repeated_phrases(docs: DataFrame, *, size: int = 50, limit: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 and the removed spans (in words) of every document."""
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     own, nameless = named(texts)

@@ -59,6 +59,7 @@ class Bytes:
         if gram != GRAM or size <= gram:
             raise ValueError(f"a window must be longer than {GRAM} bytes")
         self.size, self.window = size, size - gram + 1
+        self.context_bytes = size + self.window
 
     def anchors(self, batches):
         for batch in batches:
@@ -134,12 +135,9 @@ def halves(batches, unit, opened, closed):
         yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in rows], t) for k, t in enumerate(kinds)], names=names)
 
 
-def _padded(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray, width: int, step: int) -> np.ndarray:
-    """Rows of up to width bytes, read forwards or backwards, with zeros behind."""
-    k = np.arange(width)
-    inside = k < lengths[:, None]
-    at = np.where(inside, starts[:, None] + step * k, 0)
-    return np.where(inside, flat[at], 0).astype(np.uint8) if len(flat) else np.zeros((len(starts), width), np.uint8)
+def _padded(rows: list[bytes], width: int) -> np.ndarray:
+    """Rows of up to width bytes, with zeros behind."""
+    return np.frombuffer(b"".join(r.ljust(width, b"\0") for r in rows), dtype=np.uint8).reshape(-1, width)
 
 
 def _sorted(keys: np.ndarray, rows: np.ndarray) -> np.ndarray:
@@ -174,12 +172,10 @@ def intervals(lcp: list[int], least: int):
 def interval_reach(keys: np.ndarray, left: np.ndarray, contents: list[bytes], size: int, window: int) -> tuple[np.ndarray, np.ndarray]:
     """For each context, how far repeats of `size` bytes reach left and right of its anchor (0, 0: none)."""
     n = len(contents)
-    flat = np.frombuffer(b"".join(contents), dtype=np.uint8)
-    lengths = np.fromiter(map(len, contents), np.int64, n)
-    starts = np.cumsum(lengths) - lengths
-    right_len, left_len = np.minimum(lengths - left, size), np.minimum(left, window - 1)
-    rights = _padded(flat, starts + left, right_len, size, 1)
-    lefts = _padded(flat, starts + left - 1, left_len, window - 1, -1)
+    ahead = [c[a : a + size] for c, a in zip(contents, left.tolist(), strict=True)]
+    behind = [c[:a][::-1][: window - 1] for c, a in zip(contents, left.tolist(), strict=True)]
+    right_len, left_len = (np.fromiter(map(len, x), np.int64, n) for x in (ahead, behind))
+    rights, lefts = _padded(ahead, size), _padded(behind, window - 1)
     order = _sorted(keys, rights)
     rank = np.empty(n, np.int64)
     rank[_sorted(keys, lefts)] = np.arange(n)
@@ -233,7 +229,7 @@ def _cut(batches):
         yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans"])
 
 
-def repeated_bytes(docs: DataFrame, *, size: int = 200, limit: int = 2048, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def repeated_bytes(docs: DataFrame, *, size: int = 200, limit: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and the removed spans of every document."""
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     own, nameless = named(texts)
