@@ -24,8 +24,8 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later copies of runs of three lines go; so do documents that have lost all they had."""
-    cut = lines.drop_repeated_lines(docs)
+    """Later copies of runs of three lines, or of 50 words, go; so do documents that have lost all they had."""
+    cut = lines.drop_repeated_lines(docs, words=50)
     emptied = (F.col("__n_removed") > 0) & (F.trim("text") == "")
     return cut.where(~emptied).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 

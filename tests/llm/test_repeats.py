@@ -4,6 +4,7 @@ from collections import Counter
 
 import pytest
 
+import corpus_pipeline
 from wattloom.llm import lines, phrases, suffix_repeats
 
 SCHEMA = "doc_id long, text string, n_bytes int, spans string"
@@ -102,6 +103,38 @@ def test_line_dedup_against_brute_force(spark):
     assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
 
 
+@pytest.mark.parametrize("words", [6, 4])
+def test_runs_of_many_words_against_brute_force(spark, words):
+    random.seed(12)
+    line = lambda: " ".join(random.choices(["a", "é", "c"], k=random.choice([0, 1, 2, 2, 3, 6, 7])))
+    long, pair = "p q r s t u v", "one two three\nfour five six"
+    texts = [(3, long), (2, long), (4, f"x\n{long}\ny"), (5, pair), (6, f"{pair}\nz"), (7, "one two three"), (None, long), (8, None), (9, ""), (10, "\n\n"), (11, pair), (11, pair), (12, f"{long}\n{long}")]
+    texts += [(20 + k, "\n".join(line() for _ in range(random.randrange(12)))) for k in range(40)]
+    size, first = 3, {}
+
+    def runs(w):
+        return [(k, n, tuple(w[k : k + n])) for n in range(1, size + 1) for k in range(len(w) - n + 1) if n == size or sum(len(x.split()) for x in w[k : k + n]) >= words]
+
+    for i, t in texts:
+        for k, _, key in runs(t.split("\n")) if t and i is not None else ():
+            first[key] = min((i, k), first.get(key, (i, k)))
+    want = []
+    for i, t in texts:
+        w = t.split("\n") if t else []
+        gone = {k + x for k, n, key in runs(w) if i is not None and first[key] < (i, k) for x in range(n)}
+        want.append((i, "\n".join(x for k, x in enumerate(w) if k not in gone) if gone else t, 1, "clash", len(w), len(gone)))
+    got = lines.drop_repeated_lines(_frame(spark, texts), size=size, words=words).collect()
+    assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+
+
+def test_pipeline_drops_later_copies_of_long_lines(spark):
+    passage, short = " ".join(f"w{k}" for k in range(60)), " ".join(f"v{k}" for k in range(20))
+    rows = [(1, f"{passage}\none"), (2, f"two\n{passage}"), (3, passage), (4, f"{short}\nfour"), (5, f"{short}\nfive")]
+    docs = spark.createDataFrame([(i, t, len(t)) for i, t in rows], "doc_id long, text string, n_chars long")
+    left = {r["doc_id"]: r["text"] for r in corpus_pipeline.without_repeated_lines(spark, docs, "").collect()}
+    assert left == {1: rows[0][1], 2: "two", 4: rows[3][1], 5: rows[4][1]}
+
+
 def test_no_documents(spark):
     none = _frame(spark, [])
     assert suffix_repeats.repeated_bytes(none).count() == 0

@@ -8,10 +8,14 @@ fingerprint as its minimum is keyed by all its lines.  Keys are joined with the
 first position that has them, and the lines of every later window are deleted.
 The windows of a longer run overlap, so whole runs go.
 
+With `words`, fewer lines are a window too where they hold that many words, each
+number of lines for itself: so a run counts from three lines or from `words` words
+on, and a single long line is one.  Shorter runs of fewer lines are left.
+
 Position order is (id, line number).  Lines are what stands between line feeds,
 compared as they are.
 
-Edge cases: a null or empty text has no lines; one of fewer lines than a window
+Edge cases: a null or empty text has no lines; one of fewer lines than any window
 keeps them all.  A text that loses all its lines is empty.  Runs that repeat
 within one document lose the later copies, overlaps included.  Rows that share
 an id are one document, whose windows are at the same positions, so nothing in
@@ -28,9 +32,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import add_columns, materialize, named
-from .kernels import BYTE_VALUES, RangeHasher, U64, mix, signed, text_blocks, window_minima
+from .kernels import BYTE_VALUES, RangeHasher, U64, Words, mix, signed, text_blocks, window_minima
 
-FINGERPRINTS = "f long, doc_id long, at int, w long"
+FINGERPRINTS = "f long, doc_id long, at int, n int, w long"
 
 
 def _lines(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -44,67 +48,76 @@ def _lines(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     return starts, ends, np.concatenate([[0], np.cumsum(count)])
 
 
-def _fingerprints(size: int):
+def _fingerprints(size: int, words: int | None):
     def run(batches):
         for batch in batches:
             for i, _, buf, offs in text_blocks(batch.column(1)):
                 starts, ends, first = _lines(buf, offs)
                 n = len(starts)
-                if n < size:
+                if not n:
                     continue
                 h = RangeHasher(BYTE_VALUES[buf])(starts, ends)
+                over = RangeHasher(h)
                 last = np.repeat(first[1:], np.diff(first))
-                at = np.arange(n - size + 1)
-                valid = at + size <= last[: len(at)]
-                chosen = window_minima(h, size, valid)
-                window = RangeHasher(h)(at, at + size)
-                least = np.lib.stride_tricks.sliding_window_view(h, size).min(axis=1)
-                # every window around a chosen line whose minimum that line is
-                shift = np.arange(size)
-                begin = (chosen[:, None] - shift).ravel()
-                line = np.repeat(chosen, size)
-                ok = (begin >= 0) & (begin < len(at))
-                begin, line = begin[ok], line[ok]
-                ok = valid[begin] & (least[begin] == h[line])
-                begin, line = begin[ok], line[ok]
-                doc = np.searchsorted(first, begin, side="right") - 1
-                yield pa.RecordBatch.from_arrays([pa.array(signed(h[line])), batch.column(0).take(pa.array(doc + i)), pa.array((begin - first[doc]).astype(np.int32)), pa.array(signed(mix(window[begin] + U64(1))))], names=["f", "doc_id", "at", "w"])
+                if words:  # no word goes on after a line feed
+                    before = np.searchsorted(Words(buf, offs).starts, np.append(starts, len(buf)))
+                for k in range(1 if words else size, size + 1):
+                    if n < k:
+                        break
+                    at = np.arange(n - k + 1)
+                    valid = at + k <= last[: len(at)]
+                    if k < size:
+                        valid &= before[at + k] - before[at] >= words
+                    chosen = window_minima(h, k, valid)
+                    window = over(at, at + k)
+                    least = np.lib.stride_tricks.sliding_window_view(h, k).min(axis=1)
+                    # every window around a chosen line whose minimum that line is
+                    shift = np.arange(k)
+                    begin = (chosen[:, None] - shift).ravel()
+                    line = np.repeat(chosen, k)
+                    ok = (begin >= 0) & (begin < len(at))
+                    begin, line = begin[ok], line[ok]
+                    ok = valid[begin] & (least[begin] == h[line])
+                    begin, line = begin[ok], line[ok]
+                    doc = np.searchsorted(first, begin, side="right") - 1
+                    f = mix(h[line] + U64(size - k)) if k < size else h[line]  # windows of another number of lines are no occurrence
+                    yield pa.RecordBatch.from_arrays([pa.array(signed(f)), batch.column(0).take(pa.array(doc + i)), pa.array((begin - first[doc]).astype(np.int32)), pa.array(np.full(len(begin), k, np.int32)), pa.array(signed(mix(window[begin] + U64(1))))], names=["f", "doc_id", "at", "n", "w"])
 
     return run
 
 
-def repeated_runs(docs: DataFrame, *, size: int = 3) -> DataFrame:
-    """(doc_id, at): where a window of lines starts that also starts earlier.  docs: doc_id, text; no null id."""
-    each = docs.mapInArrow(_fingerprints(size), FINGERPRINTS)
-    again = each.groupBy("f").agg(F.count("*").alias("n")).where("n > 1").select("f")
-    windows = materialize(each.join(again, "f", "left_semi").select("w", "doc_id", "at").distinct(), "line-windows")
-    owners = windows.groupBy("w").agg(F.min(F.struct("doc_id", "at")).alias("first"), F.count("*").alias("n")).where("n > 1").select("w", "first")
-    return windows.join(owners, "w").where(F.struct("doc_id", "at") > F.col("first")).select("doc_id", "at")
+def repeated_runs(docs: DataFrame, *, size: int = 3, words: int | None = None) -> DataFrame:
+    """(doc_id, at, n): where a window of n lines starts that also starts earlier.  docs: doc_id, text; no null id."""
+    each = docs.mapInArrow(_fingerprints(size, words), FINGERPRINTS)
+    again = each.groupBy("f").agg(F.count("*").alias("k")).where("k > 1").select("f")
+    windows = materialize(each.join(again, "f", "left_semi").select("w", "doc_id", "at", "n").distinct(), "line-windows")
+    owners = windows.groupBy("w").agg(F.min(F.struct("doc_id", "at")).alias("first"), F.count("*").alias("k")).where("k > 1").select("w", "first")
+    return windows.join(owners, "w").where(F.struct("doc_id", "at") > F.col("first")).select("doc_id", "at", "n")
 
 
-def _cut(size: int):
-    def run(texts: pa.Array, starts: pa.Array):
-        kept, n, gone = [], [], []
-        for text, removed in zip(texts.to_pylist(), starts.to_pylist(), strict=True):
-            lines = text.split("\n") if text else []
-            drop = {a + k for a in removed or () for k in range(size)}
-            kept.append("\n".join([x for k, x in enumerate(lines) if k not in drop]) if drop else text)
-            n.append(len(lines))
-            gone.append(sum(k < len(lines) for k in drop))
-        return pa.array(kept, pa.string()), pa.array(n, pa.int64()), pa.array(gone, pa.int64())
+def _cut(texts: pa.Array, runs: pa.Array):
+    kept, n, gone = [], [], []
+    for text, removed in zip(texts.to_pylist(), runs.to_pylist(), strict=True):
+        lines = text.split("\n") if text else []
+        drop = {r["at"] + k for r in removed or () for k in range(r["n"])}
+        kept.append("\n".join([x for k, x in enumerate(lines) if k not in drop]) if drop else text)
+        n.append(len(lines))
+        gone.append(sum(k < len(lines) for k in drop))
+    return pa.array(kept, pa.string()), pa.array(n, pa.int64()), pa.array(gone, pa.int64())
 
-    return run
 
+def drop_repeated_lines(docs: DataFrame, *, size: int = 3, words: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """docs with the later repeated runs deleted from its text, and __n_lines and __n_removed.
 
-def drop_repeated_lines(docs: DataFrame, *, size: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with the later repeated runs deleted from its text, and __n_lines and __n_removed."""
+    A run is `size` lines or more, or with `words` given also fewer that hold that many words.
+    """
     texts, _ = named(docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text")))
-    lists = repeated_runs(texts, size=size).groupBy(F.col("doc_id").alias("__id")).agg(F.collect_set("at").alias("__starts"))
+    lists = repeated_runs(texts, size=size, words=words).groupBy(F.col("doc_id").alias("__id")).agg(F.collect_set(F.struct("at", "n")).alias("__runs"))
     joined = docs.join(lists, F.col(f"`{id_col}`") == F.col("__id"), "left").drop("__id")
-    return add_columns(joined, _cut(size), [text_col, "__starts"], "__n_lines long, __n_removed long", replaced=text_col).drop("__starts")
+    return add_columns(joined, _cut, [text_col, "__runs"], "__n_lines long, __n_removed long", replaced=text_col).drop("__runs")
 
 
-def line_report(docs: DataFrame, *, size: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def line_report(docs: DataFrame, *, size: int = 3, words: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_lines, n_removed and kept_sha256 of every document."""
-    found = drop_repeated_lines(docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text")), size=size)
+    found = drop_repeated_lines(docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text")), size=size, words=words)
     return found.select("doc_id", F.col("__n_lines").alias("n_lines"), F.col("__n_removed").alias("n_removed"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
