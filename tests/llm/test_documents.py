@@ -6,6 +6,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from wattloom.llm import common, components, decontam, minhash, packing, token_files
@@ -111,6 +112,21 @@ def test_contamination_against_brute_force(spark, block_windows):
         assert sorted((r[0] for r in left.collect()), key=str) == sorted((w[0] for w in want if not w[5]), key=str)
 
 
+@pytest.mark.parametrize("block_windows", [200_000, 3])
+def test_dropping_judges_each_row_by_its_text(spark, block_windows):
+    random.seed(13)
+    words = lambda n: " ".join(random.choices(["alpha", "beta", "gamma", "delta"], k=n))
+    passage = words(30)
+    items = [(1, passage), (2, words(20))]
+    docs = [(1, passage), (None, passage), (None, passage), (None, "clean one"), (2, passage), (2, "clean two"), (2, None), (3, passage), (3, passage), (4, ""), (4, "clean three"), (4, "clean three"), (5, f"{passage} {'x ' * 700}")]
+    frame = spark.createDataFrame([(i, t, "clash") for i, t in docs], "doc_id long, text string, n_words string")
+    left = decontam.drop_contaminated(frame, spark.createDataFrame(items, "item_id long, text string"), block_windows=block_windows)
+    want = [(i, t, "clash") for (i, t), w in zip(docs, _contamination_truth(docs, items), strict=True) if not w[5]]
+    assert sorted(map(tuple, left.collect()), key=str) == sorted(want, key=str)
+    named = decontam.drop_contaminated(frame.withColumn("doc_id", F.col("doc_id").cast("string")), spark.createDataFrame(items, "item_id long, text string"), block_windows=block_windows)
+    assert named.count() == len(want)
+
+
 def test_packing_is_best_fit_decreasing():
     random.seed(10)
     for _ in range(30):

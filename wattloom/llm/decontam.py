@@ -196,11 +196,11 @@ def _unite(share: int):
                 hit: set[int] = set()
                 for a, b in zip(r["hit_from"], r["hit_to"], strict=True):
                     hit.update(range(a, b))
-                row = (r["doc_id"], *_report_row(r["n_words"], len(hit), sorted(set(r["items"])), share))
+                row = (r["doc_id"], *_report_row(r["n_words"], len(hit), sorted(set(r["items"])), share), r["text_hash"])
                 rows += [row] * r["copies"]
-            columns = list(zip(*rows, strict=True)) or [[]] * 6
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"])
+            columns = list(zip(*rows, strict=True)) or [[]] * 7
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_(), pa.int64()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "text_hash"])
 
     return run
 
@@ -222,14 +222,16 @@ def _indexes(texts: DataFrame, benchmark: DataFrame, window: int, shingle: int,
     return sent
 
 
-def _united(texts: DataFrame, indexes: list, share: int) -> DataFrame:
-    if len(indexes) == 1:
-        return texts.mapInArrow(_join(indexes[0], share, True), REPORT)
+def _united(texts: DataFrame, indexes: list, share: int, hit_only: bool = False) -> DataFrame:
+    """The report of each row and its text_hash, from the parts of all blocks; hit_only: of rows with a hit, each different one once."""
     hashed = texts.withColumn("text_hash", F.xxhash64("text"))
     found = reduce(DataFrame.unionByName, [hashed.mapInArrow(_join(i, share, False), HITS + ", text_hash long") for i in indexes])
-    lists = [F.flatten(F.collect_list(c)).alias(c) for c in ("hit_from", "hit_to", "items")]
-    united = found.groupBy("doc_id", "text_hash", "n_words").agg(*lists, (F.count("*") / F.lit(len(indexes))).cast("int").alias("copies"))
-    return united.mapInArrow(_unite(share), REPORT)
+    copies = F.lit(1) if hit_only else F.count("*") / F.lit(len(indexes))
+    found = found.where(F.size("hit_from") > 0) if hit_only else found
+    parts = F.collect_set(F.struct("hit_from", "hit_to", "items")).alias("parts")  # copies have equal ones
+    united = found.groupBy("doc_id", "text_hash", "n_words").agg(parts, copies.cast("int").alias("copies"))
+    lists = [F.flatten(f"parts.{c}").alias(c) for c in ("hit_from", "hit_to", "items")]
+    return united.select("doc_id", "text_hash", "n_words", *lists, "copies").mapInArrow(_unite(share), REPORT + ", text_hash long")
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, *, window: int = 13, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", share: int = 20, block_windows: int = 200_000) -> DataFrame:
@@ -240,20 +242,25 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, window: int = 13, sh
     tasks at a time.
     """
     texts = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
-    return _united(texts, _indexes(texts, benchmark, window, shingle, item_col, item_text_col, block_windows), share)
+    indexes = _indexes(texts, benchmark, window, shingle, item_col, item_text_col, block_windows)
+    if len(indexes) == 1:
+        return texts.mapInArrow(_join(indexes[0], share, True), REPORT)
+    return _united(texts, indexes, share).drop("text_hash")
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, *, window: int = 13, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", share: int = 20, block_windows: int = 200_000) -> DataFrame:
     """The documents that are not contaminated, with their own columns.
 
-    With one block of windows a document is judged where it is read; with more,
-    by its id.
+    Each row is judged by its own text, however many blocks of windows there are:
+    with one block where it is read; with more, by the hashes of its id, which may
+    be null, and of its text.
     """
-    texts = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
+    row, text = F.xxhash64(F.col(f"`{id_col}`")), F.col(f"`{text_col}`")
+    texts = docs.select(row.alias("doc_id"), text.alias("text"))
     indexes = _indexes(texts, benchmark, window, shingle, item_col, item_text_col, block_windows)
     if len(indexes) > 1:
-        bad = _united(texts, indexes, share).where("contaminated").select(F.col("doc_id").alias("__bad")).distinct()
-        return docs.join(bad, F.col(f"`{id_col}`") == F.col("__bad"), "left_anti")
+        bad = _united(texts, indexes, share, hit_only=True).where("contaminated").select(F.col("doc_id").alias("__bad"), F.col("text_hash").alias("__bad_text"))
+        return docs.join(bad, (row == F.col("__bad")) & (F.xxhash64(text) == F.col("__bad_text")), "left_anti")
 
     def judge(column: pa.Array):
         nothing = pa.nulls(len(column), pa.int64())
