@@ -135,6 +135,27 @@ def test_pipeline_drops_later_copies_of_long_lines(spark):
     assert left == {1: rows[0][1], 2: "two", 4: rows[3][1], 5: rows[4][1]}
 
 
+@pytest.mark.parametrize("other", [None, "short", "y" * 700, "z q " * 200])
+def test_an_id_on_two_rows(spark, other):
+    random.seed(14)
+    block = lambda n: "".join(random.choices("abcdefgh ", k=n))
+    shared = block(300)
+    one, two = block(40) + shared + block(50), block(70) + shared + block(60)
+    rows = [(1, one), (1, other), (2, two), (3, other), (4, block(500))]
+    size = 80
+    whole = {r["doc_id"]: r["spans"] for r in suffix_repeats.repeated_bytes(_frame(spark, [(1, one), (2, two), (4, rows[4][1])]), size=size).collect()}
+    got = suffix_repeats.repeated_bytes(_frame(spark, rows), size=size).collect()
+    assert len(got) == len(rows)
+    assert [r["spans"] for r in got if r["doc_id"] == 2] == [whole[2]] and whole[2]
+    if other is None:
+        assert sorted((r["doc_id"], r["n_removed"]) for r in got) == sorted([(1, sum(s["end"] - s["start"] for s in whole[1])), (1, 0), (2, sum(s["end"] - s["start"] for s in whole[2])), (3, 0), (4, 0)])
+    shared = " ".join(random.choices("abcdefgh", k=40))
+    rows = [(1, f"x y {shared} z"), (1, other), (2, f"u {shared} v w"), (4, "k l m " * 9)]
+    got = phrases.repeated_phrases(_frame(spark, rows), size=12).collect()
+    assert [[tuple(s) for s in r["spans"]] for r in got if r["doc_id"] == 2] == [[(1, 41)]]
+    assert len(got) == len(rows)
+
+
 def test_no_documents(spark):
     none = _frame(spark, [])
     assert suffix_repeats.repeated_bytes(none).count() == 0

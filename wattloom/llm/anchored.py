@@ -73,9 +73,15 @@ def spans(docs: DataFrame, unit, *, limit: int | None = None, group_bytes: int =
 
 
 def _contexts(docs: DataFrame, classes: DataFrame, unit) -> DataFrame:
-    """One context of each class, cut from its first document."""
+    """One context of each class, cut from its first document.
+
+    Where an id has several rows, the context's hash tells which of them have it.
+    """
+    docs = docs.where("text is not null")
+    twice = docs.groupBy("doc_id").agg((F.count("*") > 1).alias("twice")).where("twice")
     wanted = classes.groupBy(F.col("at.doc_id").alias("doc_id")).agg(F.collect_list(F.struct("a", "c", "n", F.col("at.pos").alias("pos"), "left", "right", "k")).alias("wanted"))
-    return docs.join(wanted, "doc_id").select("doc_id", "text", "wanted").mapInArrow(unit.contexts, CONTEXTS)
+    wanted = wanted.join(twice, "doc_id", "left").withColumn("twice", F.coalesce("twice", F.lit(False)))
+    return docs.join(wanted, "doc_id").select("doc_id", "text", "wanted", "twice").mapInArrow(unit.contexts, CONTEXTS)
 
 
 def _compare(contexts: DataFrame, shared: DataFrame, unit, limit: int) -> DataFrame:

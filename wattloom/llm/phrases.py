@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from . import anchored
 from .common import named
-from .kernels import RangeHasher, U64, Words, mix, text_blocks, window_minima
+from .kernels import RangeHasher, U64, Words, mix, signed, text_blocks, window_minima
 from .suffix_repeats import contexts_batch, halves, merged
 
 GRAM = 10
@@ -67,13 +67,20 @@ class WordUnit:
                 context = mix(h(lo, hi) + (at - lo).astype(U64))
                 yield anchored.occurrence_rows(batch.column(0), doc + i, at - w.first[doc], gram[at], context, at - lo, hi - at)
 
+    def context_hash(self, part: bytes, left: int) -> int:
+        """What anchors() gives a context as its hash."""
+        w = Words(np.frombuffer(part, dtype=np.uint8), np.array([0, len(part)]))
+        return int(signed(mix(RangeHasher(w.hash)(np.array([0]), np.array([len(w.starts)])) + U64(left)))[0])
+
     def contexts(self, batches):
         for batch in batches:
             out: list[list] = [[] for _ in range(9)]
-            for doc, text, wanted in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for doc, text, wanted, twice in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 words = text.encode().split()
                 for w in wanted:
                     part = b" ".join(words[w["pos"] - w["left"] : w["pos"] + w["right"]])
+                    if twice and (len(words) < w["pos"] + w["right"] or self.context_hash(part, w["left"]) != w["c"]):
+                        continue  # it stands in another row of this id
                     for x, v in zip(out, (w["a"], w["c"], w["a"], w["c"], w["n"], doc, w["left"], part, w["k"]), strict=True):
                         x.append(v)
                 if len(out[0]) >= 20_000:

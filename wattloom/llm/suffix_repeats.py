@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from . import anchored
 from .common import named
-from .kernels import RangeHasher, U64, mix, text_blocks, window_minima
+from .kernels import RangeHasher, U64, mix, signed, text_blocks, window_minima
 
 GRAM = 64
 REPORT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start:int,end:int>>"
@@ -79,13 +79,20 @@ class Bytes:
                 context = mix(RangeHasher(eight)(lo, hi - 7) + (at - lo).astype(U64))
                 yield anchored.occurrence_rows(batch.column(0), doc + i, at - offs[doc], gram[at], context, at - lo, hi - at)
 
+    def context_hash(self, part: bytes, left: int) -> int:
+        """What anchors() gives a context as its hash."""
+        eight = _eights(np.frombuffer(part, dtype=np.uint8))
+        return int(signed(mix(RangeHasher(eight)(np.array([0]), np.array([len(eight)])) + U64(left)))[0])
+
     def contexts(self, batches):
         for batch in batches:
             out: list[list] = [[] for _ in range(9)]
-            for doc, text, wanted in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for doc, text, wanted, twice in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 raw = text.encode()
                 for w in wanted:
                     part = raw[w["pos"] - w["left"] : w["pos"] + w["right"]]
+                    if twice and (len(part) < w["left"] + w["right"] or self.context_hash(part, w["left"]) != w["c"]):
+                        continue  # it stands in another row of this id
                     for x, v in zip(out, (w["a"], w["c"], w["a"], w["c"], w["n"], doc, w["left"], part, w["k"]), strict=True):
                         x.append(v)
                 if len(out[0]) >= 20_000:
