@@ -31,13 +31,22 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest id of each group of near copies (five words, similarity 0.8)."""
-    judged = minhash.near_duplicates(docs, shingle=5, percent=80)
-    gone = judged.where("not kept").select("doc_id").distinct()
-    left = docs.join(gone, "doc_id", "left_anti")
-    repeated = docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1")
-    if not repeated.isEmpty():  # rows of one id are one document
-        left = left.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(left.where("doc_id is null"))
+    """The row of the smallest id of each group of near copies (five words, similarity 0.8).
+
+    Rows are told apart by a hash of id and text, so that of an id with several
+    texts only those go that are copies.  Of equal rows of an id one stays.
+    """
+    row = F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id", "text"))
+    docs_by_row = docs.withColumn("__row", row)
+    judged = materialize(minhash.near_duplicates(docs_by_row, shingle=5, percent=80, id_col="__row").select(F.col("doc_id").alias("__row"), "component_id"), "judged")
+    rows = judged.where("__row is not null").groupBy("__row").agg(F.min("component_id").alias("component_id"))
+    ids = docs_by_row.where("__row is not null").groupBy("__row").agg(F.min("doc_id").alias("doc_id"))
+    first = rows.join(ids, "__row").groupBy("component_id").agg(F.min(F.struct("doc_id", "__row")).alias("first"))
+    gone = rows.select("__row").join(first.select("first.__row"), "__row", "left_anti")
+    left = docs_by_row.join(gone, "__row", "left_anti")
+    repeated = docs_by_row.where("__row is not null").groupBy("__row").count().where("count > 1")
+    if not repeated.isEmpty():
+        left = left.where("__row is not null").dropDuplicates(["__row"]).unionByName(left.where("__row is null"))
     return left.select(*docs.columns)
 
 

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from wattloom.llm import common, components, decontam, minhash, packing, token_files
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -57,6 +58,19 @@ def test_near_duplicates_against_brute_force(spark, k, percent, block):
     assert sorted(map(tuple, got), key=str) == sorted(_near_truth(rows, k, percent), key=str)
 
 
+def test_pipeline_keeps_unique_texts_of_a_shared_id(spark):
+    random.seed(15)
+    words = lambda: " ".join(random.choices([f"w{k}" for k in range(300)], k=60))
+    a, b, c, d, e = (words() for _ in range(5))
+    near = a.rsplit(" ", 1)[0] + " changed"
+    rows = [(1, a), (8, near), (8, b), (8, c), (8, c), (9, b), (9, d), (3, d), (None, a), (None, e), (7, e), (4, None), (5, "")]
+    docs = spark.createDataFrame([(i, t, "clash") for i, t in rows], "doc_id long, text string, component_id string")
+    left = corpus_pipeline.one_of_each_group(spark, docs, "")
+    assert left.columns == docs.columns
+    want = [(1, a), (8, b), (8, c), (3, d), (None, a), (None, e), (7, e), (4, None), (5, "")]
+    assert sorted(((r[0], r[1]) for r in left.collect()), key=str) == sorted(want, key=str)
+
+
 def test_estimate_follows_the_similarity():
     rng = np.random.default_rng(1)
     h = rng.integers(0, 1 << 63, 2000, dtype=np.uint64)
