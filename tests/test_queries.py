@@ -37,3 +37,10 @@ def test_query(spark, sql, name):
     assert sorted(names) == columns
     want = sorted(([_cell(r[names.index(c)]) for c in columns] for r in result.fetchall()), key=str)
     assert got == want
+
+
+def test_median_of_a_hot_user_is_exact(spark, tmp_path):
+    n = 400_000
+    values = spark.range(n).selectExpr("1L AS user_id", "'a' AS event_type", f"CAST((id * 7919) % {n} AS DOUBLE) AS value")
+    values.write.parquet(f"{tmp_path}/events.parquet")
+    assert [r["median_value"] for r in QUERIES["median_by_user"](spark, str(tmp_path)).collect()] == [n // 2 - 1]

@@ -67,8 +67,10 @@ def zscore(df: DataFrame, group: Sequence[str], columns: Sequence[str], *, least
     ).drop("__n")
 
 
-def median_over_days(df: DataFrame, keys: Sequence[str], columns: Sequence[str], *, accuracy: int = 10000) -> DataFrame:
-    """median_<c> of each key: the lower median."""
+def median_over_days(df: DataFrame, keys: Sequence[str], columns: Sequence[str], *, accuracy: int = 10000, exact: bool = False) -> DataFrame:
+    """median_<c> of each key: the lower median, up to `accuracy` unless exact."""
+    if exact:
+        return df.groupBy(*keys).agg(*[F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY `{c}`)").alias(f"median_{c}") for c in columns])
     return df.groupBy(*keys).agg(*[F.percentile_approx(c, 0.5, accuracy).alias(f"median_{c}") for c in columns])
 
 

@@ -97,7 +97,7 @@ def pivot_day(spark: SparkSession, sf_dir: str) -> DataFrame:
 def median_by_user(spark: SparkSession, sf_dir: str) -> DataFrame:
     events, keys = _t(spark, sf_dir, "events"), ["user_id", "event_type"]
     exact = peers.exact_median(events, keys, "value", "exact_median").withColumn("exact_median", F.round("exact_median", 4))
-    return peers.median_over_days(events, keys, ["value"]).join(exact, keys)
+    return peers.median_over_days(events, keys, ["value"], exact=True).join(exact, keys)
 
 
 @query("""WITH s AS (SELECT o_orderpriority, o_orderstatus, count(*) AS n, avg(o_totalprice) AS m, stddev_samp(o_totalprice) AS d FROM orders GROUP BY 1, 2)
