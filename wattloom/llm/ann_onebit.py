@@ -27,6 +27,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import tidied
+
 INDEX = "vec_id long, vector binary, code binary, norm double, correction double"
 _POP = np.array([bin(i).count("1") for i in range(256)], dtype=np.uint8)
 
@@ -77,7 +79,7 @@ def build_index(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str =
             code, norm, correction = encode(m, turn)
             yield pa.RecordBatch.from_arrays([ids.cast(pa.int64()), pa.array([x.tobytes() for x in m], pa.binary()), pa.array([x.tobytes() for x in code], pa.binary()), pa.array(norm), pa.array(correction)], names=["vec_id", "vector", "code", "norm", "correction"])
 
-    return vectors.where(F.col(id_col).isNotNull()).select(id_col, vector_col).mapInArrow(run, INDEX)
+    return vectors.where(F.col(id_col).isNotNull()).select(id_col, vector_col).mapInArrow(tidied(run), INDEX)
 
 
 def _search_block(batch: pa.RecordBatch, ids: np.ndarray, queries: np.ndarray, k: int, turn: np.ndarray, width: float) -> pa.RecordBatch:
@@ -139,7 +141,7 @@ def search(index: DataFrame, queries: DataFrame, *, k: int = 5, dims: int, seed:
                     if len(ids):
                         yield _search_block(batch.slice(s, 4096), ids, vectors, k, turn, width)
 
-        each = index.mapInArrow(run, "query_id long, vec_id long, score double")
+        each = index.mapInArrow(tidied(run), "query_id long, vec_id long, score double")
         found = each if found is None else found.unionByName(each)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

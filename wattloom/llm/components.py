@@ -1,8 +1,10 @@
 """Connected components by alternating large-star and small-star steps.
 
 No step gathers a node's neighbours: each takes a minimum over them, with partial
-sums before the shuffle, and joins it back.  Every round is written to the shared
-folder, so lineage does not grow.
+sums before the shuffle, and joins it back on a key of its own shuffle, so that
+the many links of a star's centre can be split over tasks.  Every round is
+written to the shared folder, so lineage does not grow, and the round before it
+is then deleted.
 """
 
 from __future__ import annotations
@@ -10,7 +12,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from ..session import new_folder, remove
+from .common import apart
+
+
+def _least(links: DataFrame, key: str, other: str, own: bool) -> DataFrame:
+    """(key, m): the smallest neighbour of each node, itself included where own says so."""
+    found = links.groupBy(key).agg(F.min(other).alias("m"))
+    return found.select(apart(key).alias(key), (F.least(key, "m") if own else F.col("m")).alias("m"))
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -18,7 +27,15 @@ def components(links: DataFrame) -> DataFrame:
 
     Links of a node with itself and repeated links change nothing.
     """
-    edges = materialize(links.where("a <> b").select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).distinct(), "edges")
+    spark = links.sparkSession
+    made: list[str] = []
+
+    def written(df: DataFrame, name: str) -> DataFrame:
+        made.append(new_folder(spark, name))
+        df.write.option("compression", "zstd").parquet(made[-1])
+        return spark.read.schema(df.schema).parquet(made[-1])
+
+    edges = written(links.where("a <> b").select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).distinct(), "edges")
     state = None
     while True:
         found = edges.agg(F.count("*"), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)"))).first()
@@ -26,10 +43,12 @@ def components(links: DataFrame) -> DataFrame:
             break
         state = tuple(found)
         both = edges.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionByName(edges.select(F.col("lo").alias("u"), F.col("hi").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct()
-        least = large.groupBy("hi").agg(F.min("lo").alias("m"))
-        small = large.join(least, "hi").select(F.explode(F.array(F.struct(F.col("hi"), F.col("m").alias("lo")), F.struct(F.col("lo").alias("hi"), F.col("m").alias("lo")))).alias("e")).select("e.hi", "e.lo")
-        edges = materialize(small.where("hi <> lo").distinct(), "edges")
+        large = both.where("v > u").join(_least(both, "u", "v", True), "u").select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct()
+        large = written(large, "large")
+        small = large.join(_least(large, "hi", "lo", False), "hi").select(F.explode(F.array(F.struct(F.col("hi"), F.col("m").alias("lo")), F.struct(F.col("lo").alias("hi"), F.col("m").alias("lo")))).alias("e")).select("e.hi", "e.lo")
+        edges = written(small.where("hi <> lo").distinct(), "edges")
+        for path in made[:-1]:
+            remove(spark, path)
+        del made[:-1]
     centres = edges.select("lo").distinct()
     return edges.select(F.col("hi").alias("id"), F.col("lo").alias("component")).unionByName(centres.select(F.col("lo").alias("id"), F.col("lo").alias("component")))

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import add_columns
+from .common import add_columns, tidied
 from .kernels import ALNUM, Lookup, RangeHasher, U64, Words, mix, ragged, signed, text_blocks
 
 HITS = "doc_id long, n_words long, hit_from array<long>, hit_to array<long>, items array<string>"
@@ -63,7 +63,7 @@ def benchmark_windows(benchmark: DataFrame, *, window: int = 13, shingle: int =
                         rows[4].append(ids[i + d].as_py() or "")
                 yield pa.RecordBatch.from_arrays([pa.array(rows[0], pa.binary()), pa.array(rows[1], pa.int64()), pa.array(rows[2], pa.int32()), pa.array(rows[3], pa.list_(pa.int64())), pa.array(rows[4], pa.string())], names=["words", "hash", "size", "shingles", "item"])
 
-    each = benchmark.select(F.col(id_col).cast("string"), text_col).mapInArrow(run, "words binary, hash long, size int, shingles array<long>, item string")
+    each = benchmark.select(F.col(id_col).cast("string"), text_col).mapInArrow(tidied(run), "words binary, hash long, size int, shingles array<long>, item string")
     return each.groupBy("words").agg(F.first("hash").alias("hash"), F.first("size").alias("size"), F.first("shingles").alias("shingles"), F.array_sort(F.collect_set("item")).alias("items"))
 
 
@@ -214,7 +214,7 @@ def _indexes(texts: DataFrame, benchmark: DataFrame, window: int, shingle: int,
     for b in range(blocks):
         index = _Index(windows.where(F.pmod("hash", F.lit(blocks)) == b).orderBy("words").collect(), shingle)
         counts = np.zeros(len(index.lookup.keys), dtype=np.int64)
-        counted = texts.select("text").mapInArrow(_count(spark.sparkContext.broadcast(index), index.sizes), "shingle long, n long")
+        counted = texts.select("text").mapInArrow(tidied(_count(spark.sparkContext.broadcast(index), index.sizes)), "shingle long, n long")
         for r in counted.groupBy("shingle").agg(F.sum("n").alias("n")).collect():  # at most the block's shingles
             counts[r["shingle"]] = r["n"]
         index.order(counts)
@@ -225,13 +225,13 @@ def _indexes(texts: DataFrame, benchmark: DataFrame, window: int, shingle: int,
 def _united(texts: DataFrame, indexes: list, share: int, hit_only: bool = False) -> DataFrame:
     """The report of each row and its text_hash, from the parts of all blocks; hit_only: of rows with a hit, each different one once."""
     hashed = texts.withColumn("text_hash", F.xxhash64("text"))
-    found = reduce(DataFrame.unionByName, [hashed.mapInArrow(_join(i, share, False), HITS + ", text_hash long") for i in indexes])
+    found = reduce(DataFrame.unionByName, [hashed.mapInArrow(tidied(_join(i, share, False)), HITS + ", text_hash long") for i in indexes])
     copies = F.lit(1) if hit_only else F.count("*") / F.lit(len(indexes))
     found = found.where(F.size("hit_from") > 0) if hit_only else found
     parts = F.collect_set(F.struct("hit_from", "hit_to", "items")).alias("parts")  # copies have equal ones
     united = found.groupBy("doc_id", "text_hash", "n_words").agg(parts, copies.cast("int").alias("copies"))
     lists = [F.flatten(f"parts.{c}").alias(c) for c in ("hit_from", "hit_to", "items")]
-    return united.select("doc_id", "text_hash", "n_words", *lists, "copies").mapInArrow(_unite(share), REPORT + ", text_hash long")
+    return united.select("doc_id", "text_hash", "n_words", *lists, "copies").mapInArrow(tidied(_unite(share)), REPORT + ", text_hash long")
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, *, window: int = 13, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", share: int = 20, block_windows: int = 200_000) -> DataFrame:
@@ -244,7 +244,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, window: int = 13, sh
     texts = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
     indexes = _indexes(texts, benchmark, window, shingle, item_col, item_text_col, block_windows)
     if len(indexes) == 1:
-        return texts.mapInArrow(_join(indexes[0], share, True), REPORT)
+        return texts.mapInArrow(tidied(_join(indexes[0], share, True)), REPORT)
     return _united(texts, indexes, share).drop("text_hash")
 
 

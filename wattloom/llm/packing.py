@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, tidied
 from .tokens import Encoder
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -62,7 +62,7 @@ def token_pieces(docs: DataFrame, *, tokenizer: str, end_id: int, capacity: int,
                     columns.append(pa.array([c.tobytes() for c in cuts], pa.binary()))
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "piece", "start", "length", "ids_crc32", "ids"][: len(columns)])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, PIECES + (", ids binary" if with_ids else ""))
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(tidied(run), PIECES + (", ids binary" if with_ids else ""))
 
 
 def sweeps(counts: dict[int, int], capacity: int) -> np.ndarray:
@@ -124,7 +124,7 @@ def best_fit(pieces: DataFrame, *, length_col: str = "length", capacity: int) ->
             seen += np.bincount(n, minlength=capacity + 2)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.full(len(n), task)), pa.array(ranks)], names=[*batch.schema.names, "__task", "__rank"])
 
-    ranked = materialize(pieces.mapInArrow(rank, ", ".join([*fields, "__task long", "__rank long"])), "pieces")
+    ranked = materialize(pieces.mapInArrow(tidied(rank), ", ".join([*fields, "__task long", "__rank long"])), "pieces")
     by_task = ranked.groupBy("__task", F.col(f"`{length_col}`").alias("__length")).agg(F.count("*").alias("__n"))
     before = Window.partitionBy("__length").orderBy("__task").rowsBetween(Window.unboundedPreceding, -1)
     bases = by_task.select("__task", "__length", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__base"))
@@ -141,4 +141,4 @@ def best_fit(pieces: DataFrame, *, length_col: str = "length", capacity: int) ->
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(fields)], pa.array(rows[i, 3] + r - rows[i, 1]), pa.array(rows[i, 4])], names=[*batch.schema.names[: len(fields)], "sequence_id", "offset"])
 
     together = ranked.join(bases, (ranked["__task"] == bases["__task"]) & (ranked[f"`{length_col}`"] == bases["__length"]))
-    return together.select(*[ranked[f"`{c}`"] for c in pieces.columns], (F.col("__rank") + F.col("__base")).alias("__global")).mapInArrow(place, ", ".join([*fields, "sequence_id long", "offset long"]))
+    return together.select(*[ranked[f"`{c}`"] for c in pieces.columns], (F.col("__rank") + F.col("__base")).alias("__global")).mapInArrow(tidied(place), ", ".join([*fields, "sequence_id long", "offset long"]))

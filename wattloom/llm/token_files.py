@@ -29,6 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import tidied
 from .tokens import Encoder
 
 NO_ID = -(1 << 63)
@@ -82,7 +83,7 @@ def write_token_files(docs: DataFrame, folder: str, *, tokenizer: str, end_id: i
 
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     ordered = texts.repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"))
-    shards = sorted(ordered.mapInArrow(run, MANIFEST).collect())  # a row for each shard
+    shards = sorted(ordered.mapInArrow(tidied(run), MANIFEST).collect())  # a row for each shard
     bases = np.concatenate([[0], np.cumsum([s["n_tokens"] for s in shards])]).astype(int).tolist()
     return spark.createDataFrame([(*s, b) for s, b in zip(shards, bases, strict=False)], MANIFEST + ", base long")
 
@@ -111,4 +112,4 @@ def read_token_files(manifest: DataFrame) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array(ids[a:b], mask=ids[a:b] == NO_ID), pa.array(offsets[a:b] + s["base"]), pa.array(np.diff(offsets[a : b + 1])), pa.array(crc, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
     n = max(1, manifest.count())
-    return manifest.repartition(n).mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return manifest.repartition(n).mapInArrow(tidied(run), "doc_id long, start long, n_tokens long, ids_crc32 long")

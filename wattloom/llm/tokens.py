@@ -22,8 +22,8 @@ import numpy as np
 
 from .kernels import BYTE_VALUES, RangeHasher, U64, ragged, text_blocks
 
-_SLOTS = 1 << 21
-_POOL = 1 << 23
+_SLOTS = 1 << 19
+_POOL = 1 << 21
 
 _LETTER = np.zeros(256, dtype=bool)
 _LETTER[0x41:0x5B] = True
