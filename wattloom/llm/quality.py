@@ -15,14 +15,17 @@ its site's rate.  The site's log odds against the global ones are added to the
 document's.
 
 The regression is fitted on at most `sample` labelled rows (those with the
-smallest hashed ids); everything else covers all documents.
+smallest hashed ids), with the n_features strongest features of each target among
+those that at least five labelled rows have; everything else covers all
+documents.  Each text is scored once.
 
 Edge cases: a null or empty text has no features, so only the intercept and its
 site speak; host and path that are null are taken as the empty string.  Documents
 whose id is null are judged like others.  Without labels, or with labels of one
 kind, nothing is rejected on that count.  Labels that repeat an id are united
 (toxic if any is, low if any is).  Repeated rows each get the same judgement.
-Other columns, whatever their names, go through.  No documents: no rows.
+Other columns, whatever their names, go through.  No documents: no rows.  A
+worker needs about 60 bytes for each byte of its longest text.
 """
 
 from __future__ import annotations
@@ -33,7 +36,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import add_columns, materialize
+from .common import add_columns, fresh, materialize, tidied
 from .kernels import ALNUM, BYTE_VALUES, Lookup, NOT_SPACE, RangeHasher, U64, Words, mix, signed, text_blocks
 
 TARGETS = ("low", "toxic")
@@ -167,7 +170,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, sample: int = 10_000, n_features:
     texts = materialize(texts, "labelled")
     total, *positive = texts.agg(F.count("*"), *[F.coalesce(F.sum(t), F.lit(0)) for t in TARGETS]).first()
     usable = [t for t in range(len(TARGETS)) if 0 < positive[t] < total]
-    counts = materialize(texts.mapInArrow(_count, "f long, n long, n_low long, n_toxic long").groupBy("f").agg(*[F.sum(c).alias(c) for c in ("n", "n_low", "n_toxic")]).where("n >= 5"), "features")
+    counts = materialize(texts.mapInArrow(tidied(_count), "f long, n long, n_low long, n_toxic long").groupBy("f").agg(*[F.sum(c).alias(c) for c in ("n", "n_low", "n_toxic")]).where("n >= 5"), "features")
     keys = set()
     for t in usable:
         strength = _strength(F.col("n"), F.col(f"n_{TARGETS[t]}"), total, positive[t])
@@ -185,7 +188,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, sample: int = 10_000, n_features:
                 lists = pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(f.astype(np.int32)))
                 yield pa.RecordBatch.from_arrays([batch.column(1).slice(i, j - i), batch.column(2).slice(i, j - i), lists], names=["low", "toxic", "f"])
 
-    table = texts.mapInArrow(rows, "low int, toxic int, f array<int>").toArrow()  # at most `sample` rows
+    table = texts.mapInArrow(tidied(rows), "low int, toxic int, f array<int>").toArrow()  # at most `sample` rows
     lists = table.column("f").combine_chunks()
     feature = np.asarray(lists.flatten(), dtype=np.int64)
     doc = np.repeat(np.arange(len(lists)), np.asarray(pc.list_value_length(lists)))
@@ -207,56 +210,71 @@ def _pull(n: float, rate: float, spread: float, groups: float) -> float:
     return min(1e6, max(2.0, rate * (1 - rate) / max(between, 1e-9) - 1))
 
 
-def _site_rates(scores: DataFrame) -> tuple[DataFrame, dict]:
-    """One row for each host and path with sums of both; and the global rates and strengths."""
-    paths = materialize(scores.groupBy("__host", "__path").agg(F.count("*").alias("pn"), *[F.sum(f"__p_{t}").alias(f"p_{t}") for t in TARGETS]), "paths")
-    hosts = paths.groupBy("__host").agg(F.sum("pn").alias("hn"), *[F.sum(f"p_{t}").alias(f"h_{t}") for t in TARGETS])
+def site_rates(scores: DataFrame) -> tuple[DataFrame, dict]:
+    """One row for each host and path with sums of both; and the global rates and strengths.
+
+    scores: host, path, and p_<target> of each document.  The sums: hn and h_<target>
+    of the host, pn and s_<target> of the path.
+    """
+    paths = materialize(scores.groupBy("host", "path").agg(F.count("*").alias("pn"), *[F.sum(f"p_{t}").alias(f"s_{t}") for t in TARGETS]), "paths")
+    hosts = paths.groupBy("host").agg(F.sum("pn").alias("hn"), *[F.sum(f"s_{t}").alias(f"h_{t}") for t in TARGETS])
     whole = hosts.agg(F.sum("hn").alias("n"), F.count("*").alias("hosts"), *[F.sum(f"h_{t}").alias(t) for t in TARGETS]).first()
     n = float(whole["n"] or 0)
     about = {t: {"rate": (whole[t] or 0.0) / n if n else 0.0} for t in TARGETS}
     spread = hosts.agg(*[F.sum(F.col("hn") * F.pow(F.col(f"h_{t}") / F.col("hn") - F.lit(about[t]["rate"]), 2)).alias(t) for t in TARGETS]).first()
     for t in TARGETS:
         about[t]["host"] = _pull(n, about[t]["rate"], spread[t] or 0.0, whole["hosts"])
-    sites = paths.join(hosts, "__host")
+    sites = paths.join(hosts, "host")
     rate = {t: (F.lit(about[t]["host"] * about[t]["rate"]) + F.col(f"h_{t}")) / (F.lit(about[t]["host"]) + F.col("hn")) for t in TARGETS}
-    spread = sites.agg(F.count("*").alias("paths"), *[F.sum(F.col("pn") * F.pow(F.col(f"p_{t}") / F.col("pn") - rate[t], 2)).alias(t) for t in TARGETS]).first()
+    spread = sites.agg(F.count("*").alias("paths"), *[F.sum(F.col("pn") * F.pow(F.col(f"s_{t}") / F.col("pn") - rate[t], 2)).alias(t) for t in TARGETS]).first()
     for t in TARGETS:
         about[t]["path"] = _pull(n, about[t]["rate"], spread[t] or 0.0, spread["paths"] - whole["hosts"] + 1)
-    return sites.withColumnsRenamed({"__host": "__h", "__path": "__p", **{c: f"__{c}" for c in sites.columns[2:]}}), about
+    return sites, about
+
 
+def posterior(z: Column, p: Column, site: Column, t: str, about: dict) -> Column:
+    """The document's probability with its site's, its own part in the site left out.
 
-def _posterior(t: str, about: dict) -> Column:
-    """The document's log odds with its site's, its own part in the site left out."""
-    own = F.col(f"__p_{t}")
+    z, p: its own log odds and probability; site: a row of site_rates.
+    """
     a = about[t]
-    host = (F.lit(a["host"] * a["rate"]) + F.col(f"__h_{t}") - own) / (F.lit(a["host"]) + F.col("__hn") - 1)
-    path = (F.lit(a["path"]) * host + F.greatest(F.col(f"__p_{t}_sum") - own, F.lit(0.0))) / (F.lit(a["path"]) + F.col("__pn") - 1)
-    z = F.col(f"__z_{t}") + _logit(path) - _logit(F.lit(a["rate"]))
-    return 1 / (1 + F.exp(-z))
+    host = (F.lit(a["host"] * a["rate"]) + site[f"h_{t}"] - p) / (F.lit(a["host"]) + site["hn"] - 1)
+    path = (F.lit(a["path"]) * host + F.greatest(site[f"s_{t}"] - p, F.lit(0.0))) / (F.lit(a["path"]) + site["pn"] - 1)
+    return 1 / (1 + F.exp(-(z + _logit(path) - _logit(F.lit(a["rate"])))))
 
 
-def judge(docs: DataFrame, labels: DataFrame, *, host_col: str = "source", path_col: str = "lang", sample: int = 10_000, n_features: int = 1000, threshold: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with __low, __toxic (posterior probabilities) and __keep."""
+def judge(docs: DataFrame, labels: DataFrame, *, host_col: str = "source", path_col: str = "lang", sample: int = 10_000, n_features: int = 1000, threshold: float = 0.5, id_col: str = "doc_id", text_col: str = "text", with_text: bool = True) -> DataFrame:
+    """docs and, as its last five columns, __host, __path, __low, __toxic (posterior probabilities) and __keep (or with further underscores, where docs has these).
+
+    Each text is scored once: rows and scores are written, and read again for the
+    sites' sums and for the judgement.  with_text=False: without the text column.
+    """
     model = fit(docs, labels, sample=sample, n_features=n_features, id_col=id_col, text_col=text_col)
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    sent = docs.sparkSession.sparkContext.broadcast(model)  # n_features a target at most
+    host, path, *marks = fresh(docs, "__host", "__path", *[f"__{c}_{t}" for t in TARGETS for c in "zp"])
 
     def score(texts: pa.Array):
         z = sent.value.evidence(texts)
         return [pa.array(x) for pair in zip(z, 1 / (1 + np.exp(-np.clip(z, -30, 30))), strict=True) for x in pair]
 
-    outputs = ", ".join(f"__z_{t} double, __p_{t} double" for t in TARGETS)
-    sited = lambda df: df.withColumns({"__host": F.coalesce(F.col(f"`{host_col}`").cast("string"), F.lit("")), "__path": F.coalesce(F.col(f"`{path_col}`").cast("string"), F.lit(""))})
-    narrow = sited(docs.select(*[F.col(f"`{c}`") for c in dict.fromkeys((host_col, path_col, text_col))]))
-    sites, about = _site_rates(add_columns(narrow, score, [text_col], outputs).select("__host", "__path", *[f"__p_{t}" for t in TARGETS]))
+    text_of = lambda c: F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(""))
+    sited = docs.withColumns({host: text_of(host_col), path: text_of(path_col)})
+    scored = add_columns(sited, score, [text_col], ", ".join(f"`{m}` double" for m in marks))
+    kept = [c for c in docs.columns if with_text or c != text_col]
+    scored = materialize(scored.select(*[F.col(f"`{c}`") for c in (*kept, host, path, *marks)]), "scored")
+    p_of = dict(zip(TARGETS, marks[1::2], strict=True))
+    sites, about = site_rates(scored.select(F.col(host).alias("host"), F.col(path).alias("path"), *[F.col(m).alias(f"p_{t}") for t, m in p_of.items()]))
+    (site,) = fresh(scored, "__site")
     # A written table: where it is small, its known size makes the join a broadcast, and no text is shuffled.
-    sites = materialize(sites.withColumnsRenamed({f"__p_{t}": f"__p_{t}_sum" for t in TARGETS}), "sites")
-    scored = add_columns(sited(docs), score, [text_col], outputs)
-    joined = scored.join(sites, (F.col("__host") == F.col("__h")) & (F.col("__path") == F.col("__p")))
-    judged = joined.withColumns({f"__{t}": _posterior(t, about) for t in TARGETS})
-    keep = (F.col("__low") < threshold) & (F.col("__toxic") < threshold)
-    return judged.select(*[F.col(f"`{c}`") for c in docs.columns], "__host", "__path", "__low", "__toxic", keep.alias("__keep"))
+    sites = materialize(sites.select(F.struct("*").alias(site)), "sites")
+    joined = scored.join(sites, (F.col(host) == F.col(f"{site}.host")) & (F.col(path) == F.col(f"{site}.path")))
+    names = dict(zip(("host", "path", *TARGETS, "keep"), (host, path, *fresh(scored, *[f"__{t}" for t in TARGETS], "__keep")), strict=True))
+    judged = joined.withColumns({names[t]: posterior(F.col(marks[2 * k]), F.col(marks[2 * k + 1]), F.col(site), t, about) for k, t in enumerate(TARGETS)})
+    keep = (F.col(names["low"]) < threshold) & (F.col(names["toxic"]) < threshold)
+    return judged.select(*[F.col(f"`{c}`") for c in (*kept, host, path)], names["low"], names["toxic"], keep.alias(names["keep"]))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """The documents that pass, with their own columns."""
-    return judge(docs, labels, **options).where("__keep").select(*[F.col(f"`{c}`") for c in docs.columns])
+    judged = judge(docs, labels, **options)
+    return judged.where(judged.columns[-1]).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -35,7 +35,7 @@ def op2_onebit_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
-    judged = quality.judge(docs, _table(spark, sf_dir, "labels"))
+    judged = quality.judge(docs, _table(spark, sf_dir, "labels"), with_text=False)
     return judged.select("doc_id", F.col("__host").alias("host"), F.col("__path").alias("path"), F.round("__low", 6).alias("p_low_quality"), F.round("__toxic", 6).alias("p_toxic"), F.col("__keep").alias("kept"))
 
 
