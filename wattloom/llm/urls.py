@@ -17,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import fresh
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -49,11 +51,13 @@ def filter_urls(pages: DataFrame, rules: DataFrame, *, url: str = "url", prefix_
 
     rules: verdict, rule (its name), host, path, a path that starts with "/" or
     is empty.  prefix_chars: hexadecimal digits of the digest that are joined on.
+    The shapes of rules (labels and characters) are a list in the plan; it has a row
+    for each pair of them that occurs, however many rules there are.
     The pages' shuffles carry distinct URLs and (for the way back) the kept columns.
     """
     distinct = (
-        pages.where(F.col(url).isNotNull())
-        .select(F.col(url).alias("__url"))
+        pages.where(F.col(f"`{url}`").isNotNull())
+        .select(F.col(f"`{url}`").alias("__url"))
         .distinct()
         .select("__url", url_host(F.col("__url")).alias("host"), url_path(F.col("__url")).alias("path"))
     )
@@ -83,13 +87,9 @@ def filter_urls(pages: DataFrame, rules: DataFrame, *, url: str = "url", prefix_
         .groupBy("__url")
         .agg(F.max_by(F.struct("rule", "verdict"), F.struct(F.length(F.concat("host", "path")), F.length("host"))).alias("__hit"))
     )
-    kept = [c for c in pages.columns if c not in ("host", "path", "rule", "verdict")]
-    left = pages.select(*[F.col(f"`{c}`") for c in kept]).withColumn("__url", F.col(f"`{url}`"))
-    return (
-        left.withColumn("host", url_host(F.col("__url")))
-        .withColumn("path", url_path(F.col("__url")))
-        .join(hits, "__url", "left")
-        .withColumn("rule", F.col("__hit.rule"))
-        .withColumn("verdict", F.coalesce(F.col("__hit.verdict"), F.lit(default)))
-        .drop("__url", "__hit")
-    )
+    kept = [F.col(f"`{c}`") for c in pages.columns if c not in ("host", "path", "rule", "verdict")]
+    left = pages.select(*kept)
+    key, hit = fresh(left, "__url", "__hit")
+    joined = left.withColumn(key, F.col(f"`{url}`")).join(hits.withColumnsRenamed({"__url": key, "__hit": hit}), key, "left")
+    found = {"host": url_host(F.col(key)), "path": url_path(F.col(key)), "rule": F.col(f"{hit}.rule"), "verdict": F.coalesce(F.col(f"{hit}.verdict"), F.lit(default))}
+    return joined.select(*kept, *[c.alias(n) for n, c in found.items()])
