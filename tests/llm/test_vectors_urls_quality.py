@@ -7,7 +7,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from wattloom.llm import ann_onebit, quality, queries, urls
+from wattloom.llm import ann_onebit, lines, quality, queries, urls
+from wattloom.llm.kernels import BYTE_VALUES, RangeHasher, mix
 
 SF = "/root/testdata/sf0.001"
 
@@ -94,7 +95,6 @@ def _corpus(spark):
 
 def test_quality_on_rows_without_labels(spark):
     docs, labels = _corpus(spark)
-    docs = docs.withColumnRenamed("__h", "score")
     judged = quality.judge(docs, labels, sample=300).collect()
     assert len(judged) == 604
     for r in judged:
@@ -105,14 +105,74 @@ def test_quality_on_rows_without_labels(spark):
     assert quality.keep_good(docs.limit(0), labels).count() == 0
 
 
+def test_clashing_names(spark):
+    docs, labels = _corpus(spark)
+    names = ["__p", "__keep", "__z_low", "__host", "__p_low", "__low", "__site", "host", "path", "low", "toxic", "keep", "p_low", "__P_TOXIC"]
+    clashing = docs.withColumns({n: F.lit(f"own {n}") for n in names})
+    left = quality.keep_good(clashing, labels, sample=300)
+    assert left.columns == clashing.columns
+    assert sorted((r["doc_id"] for r in left.collect()), key=str) == sorted((r["doc_id"] for r in quality.keep_good(docs, labels, sample=300).collect()), key=str)
+    assert {r["__keep"] for r in left.collect()} == {"own __keep"}
+    pages = spark.createDataFrame([(1, "http://a.net/es/x", "p", "q", "r")], "page_id long, url string, __hit string, __url string, rule string")
+    assert [tuple(r) for r in urls.filter_urls(pages, urls.make_rules(spark, queries.URL_RULES)).collect()] == [(1, "http://a.net/es/x", "p", "q", "a.net", "/es/x", "net/es/", "block")]
+    texts = spark.createDataFrame([(k, "a\nb\nc", "own") for k in (1, 2)], "doc_id long, text string, __starts string")
+    texts = texts.withColumns({n: F.lit("own") for n in ("__id", "__row", "__runs", "__n_lines", "__n_removed", "f", "w", "v", "at", "n", "row", "first")})
+    cut = lines.drop_repeated_lines(texts)
+    assert cut.columns[:-2] == texts.columns and len(set(cut.columns)) == len(cut.columns)
+    assert sorted((r["doc_id"], r["text"], r["__n_removed"], r[-1]) for r in cut.collect()) == [(1, "a\nb\nc", "own", 0), (2, "", "own", 3)]
+
+
+def _plain_evidence(text, model):
+    """Log odds from the words and style of one text, by plain string work."""
+    import re
+
+    out = [float(b) for b in model.bias]
+    low = text.translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low)
+
+    def hashed(b, extra):
+        h = RangeHasher(BYTE_VALUES[np.frombuffer(b, np.uint8)])(np.array([0]), np.array([len(b)]))
+        return int(mix(h + np.uint64(extra))[0])
+
+    keys = {hashed(w.encode(), 1) for w in words} | {hashed(w.encode()[:k], k) for w in words for k in (4, 5) if len(w.encode()) > k}
+    v = text.split(" ")
+    v = [x for part in v for x in part.split("\n") if x]
+    raw = text.encode()
+    symbols = set("|#$%&*@^~<>{}=+[]\\_")
+    n = len(v)
+    style = [sum(x[-1] in ".!?" for x in v) / n, sum(bool(set(x) & symbols) for x in v) / n, len(set(v)) / n, sum(a == b for a, b in zip(v, v[1:], strict=False)) / n]
+    style += [sum(c in symbols for c in text) / len(raw), sum("A" <= c <= "Z" for c in text) / len(raw), sum("0" <= c <= "9" for c in text) / len(raw), min(1, math.log2(n) / 16), min(1, len(raw) / n / 20)]
+    steps = [0.0, 0.002, 0.01, 0.03, 0.06, 0.12, 0.2, 0.3, 0.45, 0.6, 0.8]
+    for k, x in enumerate(style):
+        keys.add(int(mix(np.array([sum(s <= x for s in steps) + 100 * (k + 1)], dtype=np.uint64) + np.uint64(1 << 50))[0]))
+    for j, key in enumerate(model.lookup.keys.tolist()):
+        if key in keys:
+            out = [o + float(model.weights[t, j]) for t, o in enumerate(out)]
+    return out
+
+
+def test_evidence_against_plain_strings(spark):
+    import pyarrow as pa
+
+    docs, labels = _corpus(spark)
+    model = quality.fit(docs, labels, sample=300)
+    texts = [r["text"] for r in docs.limit(25).collect()] + ["Über DAS, ist es. it's!? x x x 99", "one"]
+    got = model.evidence(pa.array(texts))
+    assert np.abs(model.weights).sum() > 0
+    for k, t in enumerate(texts):
+        assert np.allclose(got[:, k], _plain_evidence(t, model), atol=1e-9), t
+    assert np.allclose(model.evidence(pa.array([None, ""], pa.string())), model.bias[:, None])
+
+
 def test_site_rates_against_plain_arithmetic(spark):
     random.seed(13)
     rows = [(f"h{k % 4}", f"p{k % 3}", random.random(), random.random() / 10) for k in range(200)] + [("lone", "p", 0.9, 0.1)]
-    scores = spark.createDataFrame(rows, "__host string, __path string, __p_low double, __p_toxic double")
-    sites, about = quality._site_rates(scores)
-    sites = sites.withColumnsRenamed({f"__p_{t}": f"__p_{t}_sum" for t in quality.TARGETS})
-    full = scores.withColumn("__z_low", F.log(F.col("__p_low") / (1 - F.col("__p_low")))).join(sites, (F.col("__host") == F.col("__h")) & (F.col("__path") == F.col("__p")))
-    got = {(r["__host"], r["__path"], r["__p_low"]): r["z"] for r in full.withColumn("z", quality._posterior("low", about)).collect()}
+    scores = spark.createDataFrame(rows, "host string, path string, p_low double, p_toxic double")
+    sites, about = quality.site_rates(scores)
+    sites = sites.select("host", "path", F.struct("*").alias("site"))
+    z = F.log(F.col("p_low") / (1 - F.col("p_low")))
+    full = scores.join(sites, ["host", "path"])
+    got = {(r["host"], r["path"], r["p_low"]): r["z"] for r in full.withColumn("z", quality.posterior(z, F.col("p_low"), F.col("site"), "low", about)).collect()}
     a, mu = about["low"], np.mean([r[2] for r in rows])
     assert abs(a["rate"] - mu) < 1e-12 and a["host"] >= 2 and a["path"] >= 2
     for h, p, x, _ in rows:
@@ -120,8 +180,8 @@ def test_site_rates_against_plain_arithmetic(spark):
         path = [r[2] for r in rows if r[:2] == (h, p)]
         mh = (a["host"] * mu + sum(host) - x) / (a["host"] + len(host) - 1)
         mp = (a["path"] * mh + sum(path) - x) / (a["path"] + len(path) - 1)
-        z = math.log(x / (1 - x)) + math.log(mp / (1 - mp)) - math.log(mu / (1 - mu))
-        assert abs(got[h, p, x] - 1 / (1 + math.exp(-z))) < 1e-9
+        zz = math.log(x / (1 - x)) + math.log(mp / (1 - mp)) - math.log(mu / (1 - mu))
+        assert abs(got[h, p, x] - 1 / (1 + math.exp(-zz))) < 1e-9
 
 
 def test_every_query_is_named_after_its_operator():
@@ -155,15 +215,19 @@ def test_pipeline_stages_against_brute_force(stages, spark):
     assert np.mean(right) > 0.95 and all(r in before for r in after)
 
     before, after = stages["line dedup"]
-    windows = {}
+    first = {}
+
+    def runs(lines):  # three lines, or fewer of 50 words
+        return [(k, n) for n in (1, 2, 3) for k in range(len(lines) - n + 1) if n == 3 or sum(len(x.split()) for x in lines[k : k + n]) >= 50]
+
     for r in before:
         w = r["text"].split("\n")
-        for k in range(len(w) - 2):
-            windows[tuple(w[k : k + 3])] = min((r["doc_id"], k), windows.get(tuple(w[k : k + 3]), (r["doc_id"], k)))
+        for k, n in runs(w):
+            first[tuple(w[k : k + n])] = min((r["doc_id"], k), first.get(tuple(w[k : k + n]), (r["doc_id"], k)))
     want = {}
     for r in before:
         w = r["text"].split("\n")
-        gone = {k + x for k in range(len(w) - 2) if windows[tuple(w[k : k + 3])] < (r["doc_id"], k) for x in range(3)}
+        gone = {k + x for k, n in runs(w) if first[tuple(w[k : k + n])] < (r["doc_id"], k) for x in range(n)}
         text = "\n".join(x for k, x in enumerate(w) if k not in gone)
         if not gone or text.strip(" "):
             want[r["doc_id"]] = r | {"text": text, "n_chars": len(text)}

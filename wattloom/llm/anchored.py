@@ -1,7 +1,7 @@
 """Repeated windows of a fixed size, found around sampled anchors.
 
-A unit says what texts consist of (bytes or words) and how two contexts of an
-anchor are compared; this module is the Spark side that both share.
+A unit says what texts consist of (bytes or words); this module is the Spark side
+that both share.
 
 1. Of each window of `size` units the gram with the smallest hash is its anchor.
    Equal windows have equal anchors at the same place, so a repeated window shows
@@ -12,125 +12,70 @@ anchor are compared; this module is the Spark side that both share.
    start, with all their places.
 3. Classes that share an anchor with others are a group; one occurrence of each
    class is cut from its text, and the unit compares the contexts of a group.
-4. A group with more classes than `limit` is split in two by where the anchor
-   stands in the window: for either half the windows share a longer core, which
-   becomes part of the group's key.  Contexts that are equal within a half are one
-   from there on.  At the latest when one place is left, all contexts of a group
-   are equal.
-5. What is found for a class holds for its occurrences: each has one span, from
-   `left` units before its anchor to `right` units after.
+
+Documents are told apart by their id, and the texts of one id by `row`, a hash.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, sorted_groups
+from .common import apart, materialize, parts, tidied
 from .kernels import signed
 
-OCCURRENCES = "a long, c long, doc_id long, at array<int>, left int, right int"
-CONTEXTS = "key long, cls long, a long, c long, n long, doc long, left int, content binary, k long"
-REACH = "key long, cls long, left int, right int"
+OCCURRENCES = "a long, c long, doc_id long, row int, at array<int>, left int, right int"
+CONTEXTS = "key long, cls long, a long, c long, n long, doc long, row int, pos int, left int, content binary, k long"
+
+
+@dataclass
+class Anchors:
+    """Tables of repeated anchors; each is written."""
+
+    repeated: DataFrame  # occurrences: a, c, doc_id, row, at, left, right
+    classes: DataFrame  # a, c, n (occurrences), first (doc_id, row, pos), last (the largest id), left, right
+    shared: DataFrame  # a, k: anchors of k > 1 classes
 
 
-def spans(docs: DataFrame, unit, *, limit: int | None = None, group_bytes: int = 4 << 20) -> DataFrame:
-    """(doc_id, spans of start and end in units): what repeated windows cover.  docs: doc_id, text; no null id.
+def texts_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """doc_id, row, text."""
+    text = F.col(f"`{text_col}`")
+    return docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.hash(text).alias("row"), text.alias("text"))
 
-    A document may have several rows, and its spans may overlap.
 
-    With unit.across, a window counts where it also starts in a document of a
-    smaller id; else where it also starts anywhere else.  limit: contexts of a
-    group that one task compares at once; as many as fit into group_bytes if not
-    given.
-    """
-    limit = limit or group_bytes // unit.context_bytes
-    occurrences = docs.mapInArrow(unit.anchors, OCCURRENCES)
-    if unit.across:
+def find(docs: DataFrame, unit, *, across: bool) -> Anchors:
+    """The anchors that recur: anywhere, or with `across` in a second document.  docs: doc_id, row, text; no null id."""
+    occurrences = docs.mapInArrow(tidied(unit.anchors), OCCURRENCES)
+    if across:
         again = occurrences.groupBy("a").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo < hi")
     else:
         again = occurrences.groupBy("a").agg(F.sum(F.size("at")).alias("n")).where("n > 1")
-    again = materialize(again.select("a"), "repeated")  # a table on either side, so that a frequent anchor's partition can be split
-    repeated = materialize(occurrences.join(again, "a", "left_semi"), "anchors")
-    first = F.struct("doc_id", F.col("at")[0].alias("pos"))
-    classes = materialize(
-        repeated.groupBy("a", "c").agg(F.sum(F.size("at")).alias("n"), F.min(first).alias("at"), F.max("doc_id").alias("last"), F.min("left").alias("left"), F.min("right").alias("right")),
-        "classes",
-    )
-    shared = classes.groupBy("a").agg(F.count("*").alias("k")).where("k > 1")
-    reach = _compare(_contexts(docs, classes.join(shared, "a"), unit), shared, unit, limit)
-    # For each class what its copies and what its group give it.
-    found = classes.join(reach.withColumnsRenamed({"left": "l", "right": "r"}), ["a", "c"], "left")
-    several = F.col("last") > F.col("at.doc_id") if unit.across else F.col("n") > 1
-    found = found.where(several | F.col("l").isNotNull()).select("a", "c", F.col("at.doc_id").alias("first"), several.alias("several"), F.col("left").alias("cl"), F.col("right").alias("cr"), "l", "r")
-    whole = (F.col("doc_id") > F.col("first")) if unit.across else F.col("several")
-    reached = repeated.select("a", "c", "doc_id", "at").join(materialize(found, "reach"), ["a", "c"])
-    reached = reached.withColumns({"l": F.when(whole, F.col("cl")).otherwise(F.col("l")), "r": F.when(whole, F.col("cr")).otherwise(F.col("r"))})
-    spans_of = F.transform("at", lambda p: F.struct((p - F.col("l")).alias("start"), (p + F.col("r")).alias("end")))
-    return reached.where(F.col("l") + F.col("r") >= unit.size).select("doc_id", spans_of.alias("spans"))
-
-
-def _contexts(docs: DataFrame, classes: DataFrame, unit) -> DataFrame:
-    """One context of each class, cut from its first document.
-
-    Where an id has several rows, the context's hash tells which of them have it.
-    """
-    docs = docs.where("text is not null")
-    twice = docs.groupBy("doc_id").agg((F.count("*") > 1).alias("twice")).where("twice")
-    wanted = classes.groupBy(F.col("at.doc_id").alias("doc_id")).agg(F.collect_list(F.struct("a", "c", "n", F.col("at.pos").alias("pos"), "left", "right", "k")).alias("wanted"))
-    wanted = wanted.join(twice, "doc_id", "left").withColumn("twice", F.coalesce("twice", F.lit(False)))
-    return docs.join(wanted, "doc_id").select("doc_id", "text", "wanted", "twice").mapInArrow(unit.contexts, CONTEXTS)
-
-
-def _compare(contexts: DataFrame, shared: DataFrame, unit, limit: int) -> DataFrame:
-    """(a, c, left, right) of every class that others of its group cover."""
-    columns = ["key", "cls", "doc", "left", "content"]
-    if shared.where(F.col("k") > limit).isEmpty():
-        found = sorted_groups(contexts.select(*columns), ["key"], [], unit.compare, REACH)
-        return found.select(F.col("key").alias("a"), F.col("cls").alias("c"), "left", "right")
-    contexts = materialize(contexts, "contexts")
-    found = sorted_groups(contexts.where(F.col("k") <= limit).select(*columns), ["key"], [], unit.compare, REACH)
-    parts = [found.select(F.col("key").alias("a"), F.col("cls").alias("c"), "left", "right")]
-    rows = contexts.where(F.col("k") > limit).withColumns({"lo": F.lit(0), "hi": F.lit(unit.window)}).drop("k")
-    level = 0
-    while True:
-        level += 1
-        rows = materialize(rows.mapInArrow(unit.halve, ", ".join(CONTEXTS.split(", ")[:-1]) + ", lo int, hi int, edge int"), f"halves-{level}")
-        one = F.min_by(F.struct("a", "c", "left", "content", "lo", "hi"), F.struct("doc", "a", "c")).alias("one")
-        classes = materialize(rows.groupBy("key", "cls").agg(F.sum("n").alias("n"), F.min("doc").alias("first"), F.max("doc").alias("last"), one), f"half-classes-{level}")
-        sizes = classes.groupBy("key").agg(F.count("*").alias("k")).where("k > 1")
-        # Equal within the half: all that the half can reach is covered.
-        equal = classes.where("last > first" if unit.across else "n > 1").select("key", "cls", "first")
-        copies = rows.join(equal, ["key", "cls"])
-        copies = copies.where(F.col("doc") > F.col("first")) if unit.across else copies
-        parts.append(copies.select("a", "c", "left", F.col("edge").alias("right")))
-        few = classes.join(sizes.where(F.col("k") <= limit), "key").select("key", "cls", F.col("first").alias("doc"), "one.left", "one.content")
-        reach = sorted_groups(few, ["key"], [], unit.compare, REACH)
-        if unit.across:  # of the first document; the others are copies
-            mine = rows.join(classes.select("key", "cls", "first"), ["key", "cls"]).where(F.col("doc") == F.col("first")).select("key", "cls", "a", "c", "n", "doc", F.col("left").alias("cleft"), "content", "lo", "hi")
-        else:
-            mine = classes.select("key", "cls", "one.a", "one.c", "n", F.col("first").alias("doc"), F.col("one.left").alias("cleft"), "one.content", "one.lo", "one.hi")
-        parts.append(mine.join(reach, ["key", "cls"]).select("a", "c", "left", "right"))
-        many = sizes.where(F.col("k") > limit)
-        if many.isEmpty():
-            break
-        rows = mine.join(many.select("key"), "key", "left_semi").withColumnRenamed("cleft", "left")
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    # All spans of an occurrence hold its anchor, so their union is one span.
-    return out.groupBy("a", "c").agg(F.max("left").alias("left"), F.max("right").alias("right"))
+    repeated = materialize(occurrences.join(again.select(apart("a").alias("a")), "a", "left_semi"), "anchors")
+    first = F.min(F.struct("doc_id", "row", F.col("at")[0].alias("pos"))).alias("first")
+    classes = materialize(repeated.groupBy("a", "c").agg(F.sum(F.size("at")).alias("n"), first, F.max("doc_id").alias("last"), F.min("left").alias("left"), F.min("right").alias("right")), "classes")
+    return Anchors(repeated, classes, materialize(classes.groupBy("a").agg(F.count("*").alias("k")).where("k > 1"), "shared"))
+
+
+def contexts(docs: DataFrame, found: Anchors, unit) -> DataFrame:
+    """One context of each class that shares its anchor, cut from the text of its first occurrence."""
+    classes = found.classes.join(found.shared, "a")
+    each = F.struct("a", "c", "n", F.col("first.pos").alias("pos"), "left", "right", "k")
+    wanted = classes.groupBy(F.col("first.doc_id").alias("doc_id"), F.col("first.row").alias("row")).agg(F.collect_list(each).alias("wanted"))  # as many as the text has anchors
+    cut = docs.where("text is not null").join(wanted, ["doc_id", "row"]).select("doc_id", "row", "text", "wanted").mapInArrow(tidied(unit.contexts), CONTEXTS)
+    return cut
 
 
 def with_spans(docs: DataFrame, found: DataFrame) -> DataFrame:
     """docs with the list of their spans (null: none)."""
-    lists = found.groupBy("doc_id").agg(F.flatten(F.collect_list("spans")).alias("spans"))
-    return docs.join(lists, "doc_id", "left").select("doc_id", "text", "spans")
+    lists = found.groupBy("doc_id", "row").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+    return docs.join(lists, ["doc_id", "row"], "left").select("doc_id", "text", "spans")
 
 
-def occurrence_rows(ids: pa.Array, doc: np.ndarray, pos: np.ndarray, a: np.ndarray, c: np.ndarray, left: np.ndarray, right: np.ndarray) -> pa.RecordBatch:
+def occurrence_rows(ids: pa.Array, rows: pa.Array, doc: np.ndarray, pos: np.ndarray, a: np.ndarray, c: np.ndarray, left: np.ndarray, right: np.ndarray) -> pa.RecordBatch:
     """One row for each document, anchor and context, with its places in order."""
     order = np.lexsort((pos, c, a, doc))
     doc, pos, a, c = doc[order], pos[order], a[order], c[order]
@@ -138,5 +83,43 @@ def occurrence_rows(ids: pa.Array, doc: np.ndarray, pos: np.ndarray, a: np.ndarr
     new[1:] = (doc[1:] != doc[:-1]) | (a[1:] != a[:-1]) | (c[1:] != c[:-1])
     begin = np.flatnonzero(new)
     places = pa.ListArray.from_arrays(pa.array(np.append(begin, len(order)), pa.int32()), pa.array(pos, pa.int32()))
-    one = order[begin]
-    return pa.RecordBatch.from_arrays([pa.array(signed(a[begin])), pa.array(signed(c[begin])), ids.take(pa.array(doc[begin])), places, pa.array(left[one], pa.int32()), pa.array(right[one], pa.int32())], names=["a", "c", "doc_id", "at", "left", "right"])
+    one, own = order[begin], pa.array(doc[begin])
+    columns = [pa.array(signed(a[begin])), pa.array(signed(c[begin])), ids.take(own), rows.take(own), places, pa.array(left[one], pa.int32()), pa.array(right[one], pa.int32())]
+    return pa.RecordBatch.from_arrays(columns, names=["a", "c", "doc_id", "row", "at", "left", "right"])
+
+
+def context_batches(batches, split, join):
+    """What contexts() wants of each text; split: text -> sequence of units, join: a part of it -> content."""
+    kinds = [pa.int64()] * 6 + [pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.int64()]
+    names = [c.split()[0] for c in CONTEXTS.split(", ")]
+
+    def made(out: list[list]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, kinds, strict=True)], names=names)
+
+    for whole in batches:
+        for batch in parts(whole, 2):
+            out: list[list] = [[] for _ in names]
+            for doc, row, text, wanted in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                units = split(text)
+                for w in wanted:
+                    part = join(units[w["pos"] - w["left"] : w["pos"] + w["right"]])
+                    for x, v in zip(out, (w["a"], w["c"], w["a"], w["c"], w["n"], doc, row, w["pos"], w["left"], part, w["k"]), strict=True):
+                        x.append(v)
+                if len(out[0]) >= 20_000:
+                    yield made(out)
+                    out = [[] for _ in names]
+            yield made(out)
+
+
+def merged(spans: list[tuple[int, int]], end: int) -> list[tuple[int, int]]:
+    """Maximal runs of the union of spans, up to end."""
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(spans):
+        b = min(b, end)
+        if a >= b:
+            continue
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], max(out[-1][1], b))
+        else:
+            out.append((a, b))
+    return out
