@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattloom.llm import decontam, lines, minhash, packing, quality
-from wattloom.llm.common import materialize
+from wattloom.llm.common import materialize, scratch
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,28 +26,13 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later copies of runs of three lines, or of 50 words, go; so do documents that have lost all they had."""
     cut = lines.drop_repeated_lines(docs, words=50)
-    emptied = (F.col("__n_removed") > 0) & (F.trim("text") == "")
+    emptied = (F.col(cut.columns[-1]) > 0) & (F.trim("text") == "")
     return cut.where(~emptied).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The row of the smallest id of each group of near copies (five words, similarity 0.8).
-
-    Rows are told apart by a hash of id and text, so that of an id with several
-    texts only those go that are copies.  Of equal rows of an id one stays.
-    """
-    row = F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id", "text"))
-    docs_by_row = docs.withColumn("__row", row)
-    judged = materialize(minhash.near_duplicates(docs_by_row, shingle=5, percent=80, id_col="__row").select(F.col("doc_id").alias("__row"), "component_id"), "judged")
-    rows = judged.where("__row is not null").groupBy("__row").agg(F.min("component_id").alias("component_id"))
-    ids = docs_by_row.where("__row is not null").groupBy("__row").agg(F.min("doc_id").alias("doc_id"))
-    first = rows.join(ids, "__row").groupBy("component_id").agg(F.min(F.struct("doc_id", "__row")).alias("first"))
-    gone = rows.select("__row").join(first.select("first.__row"), "__row", "left_anti")
-    left = docs_by_row.join(gone, "__row", "left_anti")
-    repeated = docs_by_row.where("__row is not null").groupBy("__row").count().where("count > 1")
-    if not repeated.isEmpty():
-        left = left.where("__row is not null").dropDuplicates(["__row"]).unionByName(left.where("__row is null"))
-    return left.select(*docs.columns)
+    """The row of the smallest id of each group of near copies (five words, similarity 0.8); each row by its own text."""
+    return minhash.drop_near_duplicates(docs, shingle=5, percent=80)
 
 
 def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -74,7 +59,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stage's rows.  What the other stages leave in the shared folder goes when each has been written."""
     docs = _table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        with scratch(spark):
+            docs = materialize(stage(spark, docs, sf_dir), name.replace(" ", "-"), lasting=True)
     return STAGES[-1][1](spark, docs, sf_dir)
