@@ -235,6 +235,48 @@ def test_k_nearest_against_brute_force(spark):
     assert few.count() == 6
 
 
+def test_k_nearest_of_a_town_and_a_stray_place(spark):
+    random.seed(14)
+    n, k = 10_000, 5
+    town = [(i, 40 + random.uniform(0, 0.05), -80 + random.uniform(0, 0.05)) for i in range(n)]
+    p = spark.createDataFrame([*town, (n, 0.0, 0.0)], "pole long, lat double, long double")
+    m = spark.createDataFrame([*((i, a, b) for i, a, b in town[:2000]), (n, 0.0, 1.0)], "meter long, lat double, long double")
+    c, q = ties._placed(p, "pole", "lat", "long", "c"), ties._placed(m, "meter", "lat", "long", "q")
+    width = ties.start_width(c, k, geo.EARTH_KM * 4)
+    assert ties.near_pairs(q, c, width).count() < 2000 * 27 * 8 * k / 2  # in proportion to the queries; one cube for the town would give 20 million
+    got = ties.k_nearest(m, p, k=k)
+    assert got.groupBy("meter").count().where(f"count <> {k}").count() == 0
+    assert got.where("meter = pole and dist_ft < 0.01").count() == 2000
+    stray = {r["rank"]: r["pole"] for r in got.where(f"meter = {n}").collect()}
+    assert stray[1] == n
+
+
+def test_group_curve_of_peers_only(spark):
+    df = spark.createDataFrame([("g", "a", [1.0, 2.0]), ("g", "b", [3.0, 4.0]), ("h", "a", [9.0, 9.0]), ("h", "a", [7.0, 7.0])], "pole string, serial string, curve array<double>")
+    assert _rows(peers.group_curve(df, ["pole"]), "pole", "group_curve") == [("g", [2.0, 3.0]), ("h", [8.0, 8.0])]
+    assert _rows(peers.group_curve(df, ["pole"], peers_of="serial"), "pole", "group_curve") == [("g", [2.0, 3.0])]
+
+
+def test_reconcile_by_run(spark):
+    rows = [("r1", "d1", 10), ("r1", "d2", 5), ("r2", "d1", 7), ("r2", "d9", 1)]
+    side = lambda data: _audit(spark, [(d, n, n, 1) for _, d, n in data]).drop("run_dt").join(spark.createDataFrame([(r, d, n) for r, d, n in data], "run_dt string, usage_dt string, cnt long"), ["usage_dt", "cnt"])
+    source, target = side(rows), side([("r1", "d1", 9), ("r1", "d2", 5), ("r2", "d1", 7), ("r2", "d9", 4)])
+    assert _rows(audit.reconcile(source, target), "run_dt", "usage_dt", "diff_cnt") == [("r1", "d1", 1), ("r1", "d2", 0), ("r2", "d1", 0), ("r2", "d9", -3)]
+    assert _rows(audit.reconcile(source, target, run="r2", exclude=["d9"]), "usage_dt", "diff_cnt") == [("d1", 0)]
+    counts = [d.withColumns({"aggr_type": F.lit("INTERVAL_COUNT"), "intervals": F.lit("95")}) for d in (source, target)]
+    assert _rows(audit.reconcile_bucketed(*counts, run="r1"), "run_dt", "intervals", "diff_cnt") == [("r1", "<96", 0), ("r1", "<96", 1)]
+
+
+def test_rules_that_do_not_compile_are_set_aside(spark):
+    bad = spark.createDataFrame([("0", "t", "1", "(", "", 1, "p", 1, "A", "", ""), ("00", "t", "1", None, "", 1, "p", 1, "A", "", "")], rules.RULES)
+    schema = "tracking_id string, serial string, event_time string, event_type string, reason string, opco string, event_dt string, update_dttm string"
+    incoming = spark.createDataFrame([("1", "s1", "t1", "t", "bb", "X", "d1", "2"), (None, "s1", "t1", "t", "bb", "X", "d1", "2")], schema)
+    premises = spark.createDataFrame([("s1", "p1")], "serial string, pole string")
+    out = event_plan.classify_events(incoming, None, premises, _rules(spark).unionByName(rules.load_rules(bad)))
+    assert _rows(out["classified"], "tracking_id", "regex_id") == [("1", "2")] and _rows(out["wrong_rules"], "regex_id") == [("0",), ("00",)]
+    assert _rows(out["unmatched"], "tracking_id") == [(None,)]
+
+
 def test_tie_plan(spark):
     random.seed(5)
     shapes = {f"p{k}": [random.uniform(100, 130) for _ in range(4)] for k in range(3)}
@@ -256,6 +298,8 @@ def test_tie_plan(spark):
     for criterion in ("min_day", "min_median"):
         found = tie_plan.re_tie(scores, current, summary, k=3, criterion=criterion).collect()
         assert [(x["serial"], x["current_pole"], x["new_pole"]) for x in found] == [("s0", "p0", "p2")]
+        every = tie_plan.re_tie(scores.withColumns({"premise": F.lit("pr"), "median_distance": F.lit(0.5), "y_pred": F.lit(1)}), m.withColumn("mount", F.lit("PAD")), summary, k=3, criterion=criterion).collect()
+        assert [(x["serial"], x["new_pole"], x["premise"], x["orig_median_distance"], x["y_pred"], x["mount"], x["rank"]) for x in every] == [("s0", "p2", "pr", 0.5, 1, "PAD", 3)]
     gis = spark.createDataFrame([("pr1", "p1", "1", "2"), ("pr2", None, "1", "2")], "premise string, pole string, premise_long string, premise_lat string")
     linked, bad = tie_plan.meter_map(gis, spark.createDataFrame([("pr1", "s1")], "premise string, serial string"))
     assert _rows(linked, "serial", "pole") == [("s1", "p1")] and bad.count() == 1

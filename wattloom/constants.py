@@ -15,3 +15,11 @@ AUDITED_REGISTERS = ("E-KWH-15-DEL", "E-KWH-15-REC")
 # Intervals of a day and their length in minutes.
 INTERVALS_A_DAY = 96
 INTERVAL_MINUTES = 15
+
+# Issues that alerts name; the last two take the percentage.
+ISSUE_BOTH = "SOURCE AND TARGET ISSUE"
+ISSUE_SOURCE = "SOURCE ISSUE"
+ISSUE_TARGET = "TARGET ISSUE"
+ISSUE_SOURCE_QUALITY = "SOURCE NON REGULAR INTERVAL COUNT > {:g}%"
+ISSUE_TARGET_QUALITY = "TARGET NON REGULAR INTERVAL COUNT > {:g}%"
+NO_ISSUE = "NO ISSUE"

@@ -30,10 +30,6 @@ def slot_of(ts: Column, minutes: int = 15) -> Column:
     return F.floor((F.hour(ts) * 60 + F.minute(ts)) / minutes).cast("int")
 
 
-def slot_label(ts: Column) -> Column:
-    return F.concat(F.lit("start_"), F.date_format(ts, "HHmm"))
-
-
 def quality_class(code: Column, actual: Sequence[str], yes: str = "REGULAR", no: str = "ESTIMATE") -> Column:
     """yes for the given codes, no for all others and for null."""
     return F.when(code.isin(list(actual)), yes).otherwise(no)

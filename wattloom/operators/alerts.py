@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..constants import ISSUE_BOTH, ISSUE_SOURCE, ISSUE_SOURCE_QUALITY, ISSUE_TARGET, ISSUE_TARGET_QUALITY, NO_ISSUE
 from .dedupe import find_duplicates
 
 
@@ -25,7 +26,7 @@ def alert_mismatch(df: DataFrame, *, percent: float, start: str | None = None, s
     parts = [zero(c) for c in ("pct_cnt", "pct_meters", "pct_usage")]
     over = (parts[0] > percent) | (parts[1] > percent) | (parts[2] > percent)
     under = (parts[0] < percent) & (parts[1] < percent) & (parts[2] < percent)
-    issue = F.when(over & (F.col("pct_short") > shortfall), "SOURCE AND TARGET ISSUE").when(under & (F.col("pct_short") > shortfall), "SOURCE ISSUE").when(over & (F.col("pct_short") < shortfall), "TARGET ISSUE")
+    issue = F.when(over & (F.col("pct_short") > shortfall), ISSUE_BOTH).when(under & (F.col("pct_short") > shortfall), ISSUE_SOURCE).when(over & (F.col("pct_short") < shortfall), ISSUE_TARGET)
     return found.where(over | (F.col("pct_short") > shortfall)).withColumn("issue", issue)
 
 
@@ -35,7 +36,7 @@ def alert_quality(shares: DataFrame, *, percent: float) -> DataFrame:
         return F.try_divide(F.col(f"{side}_{kind}").cast("double"), F.col(f"{side}_total").cast("double")) * 100
 
     named = shares.withColumns({f"{s}_{k}_pct": share(s, k) for s in ("src", "tgt") for k in ("regular", "estimate")} | {f"diff_{k}": F.col(f"src_{k}") - F.col(f"tgt_{k}") for k in ("regular", "estimate", "total")})
-    issue = F.when(F.col("src_estimate_pct") > percent, f"SOURCE NON REGULAR INTERVAL COUNT > {percent:g}%").when(F.col("tgt_estimate_pct") > percent, f"TARGET NON REGULAR INTERVAL COUNT > {percent:g}%").otherwise("NO ISSUE")
+    issue = F.when(F.col("src_estimate_pct") > percent, ISSUE_SOURCE_QUALITY.format(percent)).when(F.col("tgt_estimate_pct") > percent, ISSUE_TARGET_QUALITY.format(percent)).otherwise(NO_ISSUE)
     return named.withColumn("issue", issue).where(F.col("tgt_estimate_pct") > percent)
 
 
@@ -46,5 +47,5 @@ def alert_duplicates(df: DataFrame, keys: Sequence[str], *, where: Column | None
 
 def reprocess_list(alerts: DataFrame, *, exact: bool = False) -> DataFrame:
     """Company and day of every target issue; exact: not those that are issues of both sides."""
-    hit = F.col("issue") == "TARGET ISSUE" if exact else F.col("issue").contains("TARGET ISSUE")
+    hit = F.col("issue") == ISSUE_TARGET if exact else F.col("issue").contains(ISSUE_TARGET)
     return alerts.where(hit).select("opco", "usage_dt").distinct()

@@ -8,6 +8,10 @@ cnt, total, average, config_id, component_id.
 Target readings: opco, usage_type, usage_dt, register, quality, serial, uom,
 value.  Quarantined readings: the same with a flag instead of usage_type.
 Totals are summed as double.
+
+Every aggregate is a roll-up of one table for each side, of a meter's day by
+register, condition and configuration: `source_days` and `target_days`.  Staged, it
+serves all five, and the readings are read and shuffled once.
 """
 
 from __future__ import annotations
@@ -20,8 +24,9 @@ from pyspark.sql import functions as F
 from ..constants import ENERGY_REGISTER_PREFIX, ENERGY_UNITS, INTERVALS_A_DAY
 from ..functions import conform as fn
 from .dedupe import union_all
-from .joins import dense_rank, not_exists
+from .joins import dense_rank
 
+#: Reconciled tables that hold several runs have run_dt before these.
 KEYS = ["opco", "aggr_type", "usage_dt", "usage_type", "register", "quality", "intervals"]
 MEASURES = ["cnt", "usage", "meters"]
 
@@ -69,73 +74,118 @@ def rank_configs(df: DataFrame) -> DataFrame:
     return dense_rank(df, ["opco", "usage_type", "usage_dt", "serial", "register"], [F.desc("config_id"), F.desc("component_id")], "row_num")
 
 
+DAY = ["opco", "usage_type", "usage_dt", "register", "serial"]
+
+
+def source_days(df: DataFrame, *, expected: int = INTERVALS_A_DAY, before: str | None = None) -> DataFrame:
+    """Measurements summed by a meter's day, register, condition and configuration.
+
+    cnt and total are sums over all; of these, n_full, full_total (complete days)
+    and n_other, other_cnt, other_total (the others).
+    """
+    full = F.col("cnt") == expected
+    other = F.col("cnt") != expected
+    total = F.col("total").cast("double")
+    parts = [F.count_if(full).alias("n_full"), F.sum(F.when(full, total)).alias("full_total"), F.count_if(other).alias("n_other"), F.sum(F.when(other, F.col("cnt"))).alias("other_cnt"), F.sum(F.when(other, total)).alias("other_total")]
+    return _source(df, before, None).groupBy(*DAY, "condition", "config_id", "component_id").agg(F.sum("cnt").alias("cnt"), F.sum(total).alias("total"), *parts)
+
+
 def source_interval_count(df: DataFrame, actual: Sequence[str], *, expected: int = INTERVALS_A_DAY, before: str | None = None, registers: Sequence[str] | None = None) -> DataFrame:
-    """By intervals in a meter's day: complete actual days, complete estimated ones of meters without, and the latest configuration's others, summed."""
-    keys = ["opco", "usage_type", "usage_dt", "register", "serial"]
-    ranked = rank_configs(_source(df, before, registers)).withColumn("quality", fn.quality_class(F.col("condition"), actual, "A", "E"))
-    real = ranked.where((F.col("cnt") == expected) & (F.col("quality") == "A"))
-    estimated = not_exists(ranked.where((F.col("cnt") == expected) & (F.col("row_num") == 1)), real, keys)
-    others = ranked.where((F.col("cnt") != expected) & (F.col("row_num") == 1)).groupBy(*keys).agg(F.sum("total").alias("total"), F.sum("cnt").alias("cnt"))
-    pick = lambda d: d.select(*keys, F.col("cnt").cast("int").cast("string").alias("intervals"), F.col("cnt").cast("double").alias("cnt"), F.col("total").cast("double").alias("total"))
-    every = union_all([pick(real), pick(estimated), pick(others)])
-    return _sums(every, "INTERVAL_COUNT", ["opco", "usage_dt", "usage_type", "register", "intervals"])
-
-
-def _target(df: DataFrame, days: DataFrame | None, quarantined: DataFrame | None) -> list[DataFrame]:
-    """The two arms in one shape, with use (the usage that counts)."""
-    within = lambda d: d.join(F.broadcast(days.select("usage_dt").distinct()), "usage_dt", "left_semi") if days is not None else d
-    arms = [within(df).withColumn("use", fn.usage_where(F.col("value").cast("double"), F.col("uom").isin(*ENERGY_UNITS)))]
+    """By intervals in a meter's day: complete actual days, complete estimated ones of meters without, and the latest configuration's others, summed.
+
+    df: measurements, or source_days of them.
+    """
+    days = _source(df, before, registers)
+    days = days if "n_full" in df.columns else source_days(days, expected=expected)
+    real = fn.quality_class(F.col("condition"), actual, "A", "E") == "A"
+    configs = days.groupBy(*DAY, "config_id", "component_id").agg(
+        F.sum(F.when(real, F.col("n_full")).otherwise(0)).alias("n_real"), F.sum(F.when(real, F.col("full_total"))).alias("real_total"),
+        F.sum(F.when(real, 0).otherwise(F.col("n_full"))).alias("n_est"), F.sum(F.when(~real, F.col("full_total"))).alias("est_total"),
+        F.sum("n_other").alias("n_other"), F.sum("other_cnt").alias("other_cnt"), F.sum("other_total").alias("other_total"),
+    )
+    latest = F.max_by(F.struct("n_est", "est_total", "n_other", "other_cnt", "other_total"), F.struct("config_id", "component_id"))
+    meters = configs.groupBy(*DAY).agg(F.sum("n_real").alias("n_real"), F.sum("real_total").alias("real_total"), latest.alias("l"))
+    # A complete day counts by its actual measurements, or else by the latest configuration's estimated ones.
+    n_full = F.when(F.col("n_real") > 0, F.col("n_real")).otherwise(F.col("l.n_est"))
+    full_total = F.when(F.col("n_real") > 0, F.col("real_total")).otherwise(F.col("l.est_total"))
+    row = lambda n, cnt, total: F.when(n > 0, F.struct(cnt.cast("double").alias("cnt"), total.cast("double").alias("total"), F.when(n > 0, cnt).cast("int").cast("string").alias("intervals")))
+    complete = row(n_full, n_full * expected, full_total).withField("intervals", F.lit(str(expected)))
+    others = row(F.col("l.n_other"), F.col("l.other_cnt"), F.col("l.other_total"))
+    each = meters.select(*DAY, F.explode(F.array_compact(F.array(complete, others))).alias("p")).select(*DAY, "p.*")
+    return _sums(each, "INTERVAL_COUNT", ["opco", "usage_dt", "usage_type", "register", "intervals"])
+
+
+def target_days(df: DataFrame, *, days: DataFrame | None = None, quarantined: DataFrame | None = None) -> DataFrame:
+    """Readings of both arms summed by a meter's day, register and condition: n, and use (the usage that counts); arm 0: readings, 1: quarantined ones.
+
+    days: usage_dt of the audit; their number decides how they are joined.
+    """
+    keys = ["arm", "opco", "usage_type", "usage_dt", "register", "condition", "serial"]
+    within = lambda d: d.join(days.select("usage_dt").distinct(), "usage_dt", "left_semi") if days is not None else d
+    shaped = lambda d: d if "condition" in d.columns else d.withColumnRenamed("quality", "condition")
+    arms = [shaped(within(df)).withColumns({"arm": F.lit(0), "use": fn.usage_where(F.col("value").cast("double"), F.col("uom").isin(*ENERGY_UNITS))})]
     if quarantined is not None:
         energy = F.col("register").startswith(ENERGY_REGISTER_PREFIX)
-        q = within(quarantined).withColumns({"usage_type": fn.usage_type(F.col("flag")), "use": fn.usage_where(F.col("value").try_cast("int").cast("double"), energy)})
-        arms.append(q)
-    return arms
+        arms.append(shaped(within(quarantined)).withColumns({"arm": F.lit(1), "usage_type": fn.usage_type(F.col("flag")), "use": fn.usage_where(F.col("value").try_cast("int").cast("double"), energy)}))
+    return union_all([a.select(*keys, "use") for a in arms]).groupBy(*keys).agg(F.count("*").alias("n"), F.sum("use").alias("use"))
+
 
+def _days_of(df: DataFrame, days: DataFrame | None = None, quarantined: DataFrame | None = None) -> DataFrame:
+    """df as target_days, if it isn't yet."""
+    return df if "arm" in df.columns else target_days(df, days=days, quarantined=quarantined)
 
-def _target_sums(arms: list[DataFrame], aggr_type: str, keys: Sequence[str], one_count: bool) -> DataFrame:
+
+def _target_sums(df: DataFrame, aggr_type: str, keys: Sequence[str], one_count: bool) -> DataFrame:
     """Distinct meters are counted for each arm and added; one_count: over both arms together."""
-    used = [a.select(*keys, "serial", "use") for a in arms]
-    sums = lambda d: _shape(d, aggr_type, keys, F.count("*"), F.sum("use"), F.count_distinct("serial"))
-    if one_count or len(used) == 1:
-        return sums(union_all(used))
-    return union_all([sums(u) for u in used]).groupBy(*KEYS).agg(*[F.sum(m).alias(m) for m in MEASURES])
+    meters = F.count_distinct("serial") if one_count else F.count_distinct(F.when(F.col("arm") == 0, F.col("serial"))) + F.count_distinct(F.when(F.col("arm") == 1, F.col("serial")))
+    return _shape(df, aggr_type, keys, F.sum("n"), F.sum("use"), meters)
 
 
 def target_by_date(df: DataFrame, *, days: DataFrame | None = None, quarantined: DataFrame | None = None, registers: Sequence[str] | None = None, one_count: bool = False) -> DataFrame:
-    arms = [a.where(F.col("register").isin(list(registers))) if registers else a for a in _target(df, days, quarantined)]
-    return _target_sums(arms, "USAGE_DATE", ["opco", "usage_dt", "usage_type"], one_count)
+    """This and the next four take readings, or target_days of them."""
+    each = _days_of(df, days, quarantined)
+    each = each.where(F.col("register").isin(list(registers))) if registers else each
+    return _target_sums(each, "USAGE_DATE", ["opco", "usage_dt", "usage_type"], one_count)
 
 
 def target_by_uom(df: DataFrame, *, days: DataFrame | None = None, quarantined: DataFrame | None = None, one_count: bool = False) -> DataFrame:
-    return _target_sums(_target(df, days, quarantined), "UOM", ["opco", "usage_dt", "usage_type", "register"], one_count)
+    return _target_sums(_days_of(df, days, quarantined), "UOM", ["opco", "usage_dt", "usage_type", "register"], one_count)
 
 
 def target_by_quality(df: DataFrame, actual: Sequence[str], *, days: DataFrame | None = None) -> DataFrame:
     """Without quarantined readings; the target's codes of a regular reading may be fewer than the source's."""
-    (arm,) = _target(df.drop("quality"), days, None) if "condition" in df.columns else _target(df.withColumnRenamed("quality", "condition"), days, None)
-    return _target_sums([arm.withColumn("quality", fn.quality_class(F.col("condition"), actual))], "DATA_QUALITY", ["opco", "usage_dt", "usage_type", "register", "quality"], True)
+    classed = _days_of(df, days).where("arm = 0").withColumn("quality", fn.quality_class(F.col("condition"), actual))
+    return _target_sums(classed, "DATA_QUALITY", ["opco", "usage_dt", "usage_type", "register", "quality"], True)
 
 
 def target_zero_usage(df: DataFrame, *, days: DataFrame | None = None, quarantined: DataFrame | None = None) -> DataFrame:
-    keys = ["opco", "usage_dt", "usage_type", "register", "quality"]
-    each = [a.withColumn("quality", F.col("condition") if "condition" in a.columns else F.col("quality")).groupBy(*keys, "serial").agg(F.count("*").alias("cnt"), F.sum("use").alias("use")).where("use = 0") for a in _target(df, days, quarantined)]
-    return _shape(union_all(each), "ZERO_USAGE", keys, F.sum("cnt"), F.sum("use"), F.count("serial"))
+    zero = _days_of(df, days, quarantined).where("use = 0").withColumnRenamed("condition", "quality")
+    return _shape(zero, "ZERO_USAGE", ["opco", "usage_dt", "usage_type", "register", "quality"], F.sum("n"), F.sum("use"), F.count("serial"))
 
 
 def target_interval_count(df: DataFrame, *, days: DataFrame | None = None) -> DataFrame:
     """Meters by the number of their day's intervals."""
     keys = ["opco", "usage_dt", "usage_type", "register"]
-    (arm,) = _target(df, days, None)
-    each = arm.groupBy(*keys, "serial").agg(F.count("*").alias("cnt"), F.sum("use").alias("use")).withColumn("intervals", F.col("cnt").cast("string"))
-    return _shape(each, "INTERVAL_COUNT", [*keys, "intervals"], F.sum("cnt"), F.sum("use"), F.count_distinct("serial"))
+    each = _days_of(df, days).where("arm = 0").groupBy(*keys, "serial").agg(F.sum("n").alias("cnt"), F.sum("use").alias("use")).withColumn("intervals", F.col("cnt").cast("string"))
+    return _shape(each, "INTERVAL_COUNT", [*keys, "intervals"], F.sum("cnt"), F.sum("use"), F.count("serial"))
+
+
+def _keys(*sides: DataFrame) -> list[str]:
+    """KEYS, after run_dt where all sides have it."""
+    return ["run_dt"] * all("run_dt" in df.columns for df in sides) + KEYS
 
 
-def reconcile(source: DataFrame, target: DataFrame, keys: Sequence[str] = tuple(KEYS), *, target_only: bool = True) -> DataFrame:
+def reconcile(source: DataFrame, target: DataFrame, keys: Sequence[str] | None = None, *, target_only: bool = True, run: str | None = None, exclude: Sequence[str] = ()) -> DataFrame:
     """Both sides by key: counts, usage, meters, differences and percentages.
 
-    target_only: keys that only the target has are kept (full outer); without
-    them the join starts from the source.
+    keys: KEYS, and run_dt if both sides have it, unless given.  run: this run
+    alone; exclude: days that are left out on both sides.  target_only: keys that
+    only the target has are kept (full outer); without them the join starts from
+    the source.
     """
+    keys = keys or _keys(source, target)
+    source, target = (d.where(F.col("run_dt") == run) if run else d for d in (source, target))
+    source, target = (d.where(~F.col("usage_dt").isin(list(exclude))) if exclude else d for d in (source, target))
     s = source.select(*keys, *[F.col(m).alias(f"src_{m}") for m in MEASURES])
     t = target.select(*keys, *[F.col(m).alias(f"tgt_{m}") for m in MEASURES])
     both = s.join(t, list(keys), "full_outer" if target_only else "left")
@@ -159,11 +209,11 @@ def reconcile(source: DataFrame, target: DataFrame, keys: Sequence[str] = tuple(
 
 def bucketed(df: DataFrame, *, expected: int = INTERVALS_A_DAY) -> DataFrame:
     """Interval counts put into under, at and over the expected number, and summed."""
-    return df.withColumn("intervals", fn.interval_bucket(F.col("intervals"), expected)).groupBy(*KEYS).agg(*[F.sum(m).alias(m) for m in MEASURES])
+    return df.withColumn("intervals", fn.interval_bucket(F.col("intervals"), expected)).groupBy(*_keys(df)).agg(*[F.sum(m).alias(m) for m in MEASURES])
 
 
-def reconcile_bucketed(source: DataFrame, target: DataFrame, *, expected: int = INTERVALS_A_DAY) -> DataFrame:
-    return reconcile(bucketed(source, expected=expected), bucketed(target, expected=expected))
+def reconcile_bucketed(source: DataFrame, target: DataFrame, *, expected: int = INTERVALS_A_DAY, run: str | None = None, exclude: Sequence[str] = ()) -> DataFrame:
+    return reconcile(bucketed(source, expected=expected), bucketed(target, expected=expected), run=run, exclude=exclude)
 
 
 def quality_share(df: DataFrame, keys: Sequence[str] = ("opco", "usage_dt", "usage_type")) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import vectors
@@ -23,8 +23,11 @@ def distinct_group_size(df: DataFrame, group: Sequence[str], member: str, out: s
     return df.join(sizes, list(group))
 
 
-def group_curve(df: DataFrame, group: Sequence[str], *, curve: str = "curve", out: str = "group_curve") -> DataFrame:
-    """The mean of all curves of a group, element by element."""
+def group_curve(df: DataFrame, group: Sequence[str], *, curve: str = "curve", out: str = "group_curve", peers_of: str | None = None) -> DataFrame:
+    """The mean of all curves of a group, element by element; peers_of: a member column, and only groups of two members or more."""
+    if peers_of:
+        several = df.groupBy(*group).agg(F.min(peers_of).alias("__lo"), F.max(peers_of).alias("__hi")).where("__lo < __hi").select(*group)
+        df = df.join(several, list(group), "left_semi")
     means = explode_day(df, group, curve=curve).groupBy(*group, "slot").agg(F.avg("value").alias("v"))
     pairs = F.array_sort(F.collect_list(F.struct("slot", "v")))
     return means.groupBy(*group).agg(F.transform(pairs, lambda p: p["v"]).alias(out))
@@ -88,6 +91,3 @@ def peer_score(df: DataFrame, group: Sequence[str], member: str, *, curve: str =
     compared = compare_curves(peer_curve(df, group, member, curve=curve), curve=curve)
     return zscore(compared, group, ["distance", "mismatch"])
 
-
-def running(value: Column, keys: Sequence[str], order: str) -> Column:
-    return F.sum(value).over(Window.partitionBy(*keys).orderBy(order))

@@ -17,33 +17,54 @@ def _placed(df: DataFrame, id_col: str, lat: str, long: str, prefix: str) -> Dat
     return known.select(F.col(id_col).alias(f"{prefix}_id"), *[at[k].alias(f"{prefix}_{k}") for k in "xyz"]).distinct()
 
 
+def _cell(prefix: str, width: float) -> list:
+    return [F.floor(F.col(f"{prefix}_{d}") / width).alias(f"__{d}") for d in "xyz"]
+
+
+def start_width(candidates: DataFrame, k: int, most: float, crowd: int = 8) -> float:
+    """The largest cube width, by halves from `most`, at which no cube holds more than crowd * k candidates; at least a millimetre.
+
+    The fullest cube decides, and not the extent of all, which a single stray place
+    would set.  Found by bisection: a few counts over the candidates.
+    """
+    low, high = 0, 44
+    while low < high:
+        level = (low + high) // 2
+        fullest = candidates.groupBy(*_cell("c", most / 2**level)).count().agg(F.max("count")).first()[0] or 0
+        low, high = (level + 1, high) if fullest > crowd * k else (low, level)
+    return max(1e-6, most / 2**low)
+
+
+def near_pairs(queries: DataFrame, candidates: DataFrame, width: float) -> DataFrame:
+    """(q_id, c_id, dist_ft): each query with the candidates of its own cube and the 26 around it."""
+    step = F.array(F.lit(-1), F.lit(0), F.lit(1))
+    around = queries.select("*", *_cell("q", width))
+    for d in "xyz":
+        around = around.withColumn("__s", F.explode(step)).withColumn(f"__{d}", F.col(f"__{d}") + F.col("__s")).drop("__s")
+    cells = candidates.select("*", *_cell("c", width))
+    dist = geo.chord_ft({d: F.col(f"q_{d}") for d in "xyz"}, {d: F.col(f"c_{d}") for d in "xyz"})
+    return around.join(cells, ["__x", "__y", "__z"]).select("q_id", "c_id", dist.alias("dist_ft"))
+
+
 def k_nearest(queries: DataFrame, candidates: DataFrame, *, k: int = 10, query_id: str = "meter", candidate_id: str = "pole", lat: str = "lat", long: str = "long") -> DataFrame:
     """(query, candidate, dist_ft, rank): the k nearest by the chord through the earth.
 
     Space is cut into cubes, and each query meets the candidates of its own and the
     26 cubes around it by an equi-join.  What is found within one cube's width is
-    certain; queries with fewer than k such candidates go on with cubes of twice
-    the width, until one cube holds the earth.  The first width is set so that a
-    cube's surroundings hold a few times k candidates.  Ties go to the smaller
-    candidate.  Poles and the date line need no special case.
+    certain; queries with fewer than k such candidates go on with cubes of four
+    times the width, until one cube holds the earth.  The first width is that at which
+    the fullest cube holds a few times k candidates, so where places are dense each
+    query meets a bounded number of them, and only queries far from most places see
+    wider cubes.  Ties go to the smaller candidate.  Poles and the date line need
+    no special case.
     """
-    spark = queries.sparkSession
     q = stage(_placed(queries, query_id, lat, long, "q"), "nearest-queries")
     c = stage(_placed(candidates, candidate_id, lat, long, "c"), "nearest-candidates")
-    box = c.agg(F.count("*").alias("n"), *[(F.max(f"c_{a}") - F.min(f"c_{a}")).alias(a) for a in "xyz"]).first()
     most = geo.EARTH_KM * 4
-    wide = sorted((box[a] or 0.0 for a in "xyz"), reverse=True)
-    width = min(most, max(1e-3, (wide[0] * max(wide[1], 1e-3) * k / max(1, box["n"])) ** 0.5))
+    width = start_width(c, k, most)
     done = None
     while True:
-        cell = lambda p, d: F.floor(F.col(f"{p}_{d}") / width)  # noqa: E731, B023
-        step = F.array(F.lit(-1), F.lit(0), F.lit(1))
-        around = q.select("*", F.explode(step).alias("__i")).select("*", F.explode(step).alias("__j")).select("*", F.explode(step).alias("__k"))
-        around = around.select(q.columns + [(cell("q", d) + F.col(s)).alias(f"__{d}") for d, s in zip("xyz", ("__i", "__j", "__k"), strict=True)])
-        cells = c.select("*", *[cell("c", d).alias(f"__{d}") for d in "xyz"])
-        pairs = around.join(cells, ["__x", "__y", "__z"])
-        dist = geo.chord_ft({d: F.col(f"q_{d}") for d in "xyz"}, {d: F.col(f"c_{d}") for d in "xyz"})
-        ranked = pairs.select("q_id", "c_id", dist.alias("dist_ft")).withColumn("rank", F.row_number().over(Window.partitionBy("q_id").orderBy("dist_ft", "c_id"))).where(F.col("rank") <= k)
+        ranked = near_pairs(q, c, width).withColumn("rank", F.row_number().over(Window.partitionBy("q_id").orderBy("dist_ft", "c_id"))).where(F.col("rank") <= k)
         ranked = stage(ranked, "nearest")
         last = width >= most
         sure = ranked.where(F.col("dist_ft") <= width * geo.FEET_PER_KM).groupBy("q_id").agg(F.count("*").alias("n")).where(F.lit(True) if last else F.col("n") >= k).select("q_id")
@@ -54,7 +75,7 @@ def k_nearest(queries: DataFrame, candidates: DataFrame, *, k: int = 10, query_i
         q = stage(q.join(sure, "q_id", "left_anti"), "nearest-queries")
         if q.isEmpty():
             break
-        width = min(most, width * 2)
+        width = min(most, width * 4)
     return done.select(F.col("q_id").alias(query_id), F.col("c_id").alias(candidate_id), "dist_ft", F.col("rank").cast("int").alias("rank"))
 
 

@@ -9,23 +9,31 @@ from pyspark.sql import functions as F
 
 from ..operators import alerts, audit
 from ..operators.dedupe import union_all
+from ..session import stage
 
 
 def source_aggregates(df: DataFrame, actual: Sequence[str], *, expected: int = 96, before: str | None = None, registers: Sequence[str] | None = None) -> DataFrame:
-    parts = {"before": before, "registers": registers}
-    return union_all([audit.source_by_date(df, **parts), audit.source_by_uom(df, before=before), audit.source_by_quality(df, actual, **parts), audit.source_zero_usage(df, **parts), audit.source_interval_count(df, actual, expected=expected, **parts)])
+    """All five, from one pass over the measurements."""
+    days = stage(audit.source_days(df, expected=expected, before=before), "source-days")
+    return union_all([audit.source_by_date(days, registers=registers), audit.source_by_uom(days), audit.source_by_quality(days, actual, registers=registers), audit.source_zero_usage(days, registers=registers), audit.source_interval_count(days, actual, expected=expected, registers=registers)])
 
 
 def target_aggregates(df: DataFrame, actual: Sequence[str], *, quarantined: DataFrame | None = None, days: DataFrame | None = None) -> DataFrame:
-    both = {"days": days, "quarantined": quarantined}
-    return union_all([audit.target_by_date(df, **both), audit.target_by_uom(df, **both), audit.target_by_quality(df, actual, days=days), audit.target_zero_usage(df, **both), audit.target_interval_count(df, days=days)])
+    """All five, from one pass over the readings and one over the quarantined ones."""
+    each = stage(audit.target_days(df, days=days, quarantined=quarantined), "target-days")
+    return union_all([audit.target_by_date(each), audit.target_by_uom(each), audit.target_by_quality(each, actual), audit.target_zero_usage(each), audit.target_interval_count(each)])
 
 
-def reconcile_all(source: DataFrame, target: DataFrame, *, expected: int = 96) -> DataFrame:
-    """Interval counts by bucket and both sides' keys; all else from the source's keys."""
+def reconcile_all(source: DataFrame, target: DataFrame, *, expected: int = 96, run: str | None = None, exclude: Sequence[str] = ()) -> DataFrame:
+    """Interval counts by bucket and both sides' keys; all else from the source's keys.
+
+    Both sides are small by now, and staged, as each is read twice.
+    """
+    source, target = (stage(d, "aggregates") for d in (source, target))
     is_count = F.col("aggr_type") == "INTERVAL_COUNT"
-    counts = audit.reconcile_bucketed(source.where(is_count), target.where(is_count), expected=expected)
-    return union_all([audit.reconcile(source.where(~is_count), target.where(~is_count), target_only=False), counts])
+    one = {"run": run, "exclude": exclude}
+    counts = audit.reconcile_bucketed(source.where(is_count), target.where(is_count), expected=expected, **one)
+    return union_all([audit.reconcile(source.where(~is_count), target.where(~is_count), target_only=False, **one), counts])
 
 
 def audit_alerts(reconciled: DataFrame, *, percent: float, start: str | None = None) -> dict[str, DataFrame]:

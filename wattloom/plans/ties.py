@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import conform, peers, series, ties
+from ..session import stage
 from ..sources import readers
 
 
@@ -37,14 +38,30 @@ def voltage_summary(readings: DataFrame, mapping: DataFrame, *, expected: int =
     return peers.attach_medians(summary.join(whole, ["pole", "day"], "left"), ["serial", "pole", "channel", "uom"], medians)
 
 
-def re_tie(scores: DataFrame, mapping: DataFrame, summary: DataFrame, *, k: int = 10, least_decile: int = 7, criterion: str = "min_day") -> DataFrame:
-    """A better pole for each suspect meter, by its curve against those of the nearest poles."""
-    suspect = ties.suspects(scores, least=least_decile).join(mapping.select("serial", F.col("premise_lat").alias("lat"), F.col("premise_long").alias("long")), "serial")
-    poles = mapping.select("pole", F.col("pole_lat").alias("lat"), F.col("pole_long").alias("long")).distinct()
-    near = ties.k_nearest(suspect, poles, k=k, query_id="serial")
+#: What a score row tells of a suspect meter, besides serial, pole and the probabilities.
+SUSPECT = ("premise", "circuit_nb", "circuit_nm", "station_nb", "station_nm", "distance_ft", "group_size", "median_distance", "median_distance_z", "median_mismatch", "y_pred", "pred_0", "pred_1")
+
+
+def re_tie(scores: DataFrame, mapping: DataFrame, summary: DataFrame, *, k: int = 10, least_decile: int = 7, criterion: str = "min_day", as_of: str = "asof_dt") -> DataFrame:
+    """A better pole for each suspect meter, by its curve against those of the nearest poles.
+
+    mapping: its latest snapshot counts, where it has an as-of date.  The result has
+    serial, current_pole, mount (of the mapping), decile and of SUSPECT what scores
+    has, the medians as orig_median_*; and new_pole, pred_distance (the smallest of
+    any day), pred_median_distance, dist_ft and rank of the proposal.
+    """
+    current = readers.latest_snapshot(mapping, as_of) if as_of in mapping.columns else mapping
+    mount = ["mount"] if "mount" in current.columns else []
+    places = current.select("serial", F.col("premise_lat").alias("lat"), F.col("premise_long").alias("long"), *mount).distinct()
+    known = [c for c in SUSPECT if c in scores.columns]
+    suspect = ties.suspects(scores, least=least_decile).select("serial", F.col("pole").alias("current_pole"), "decile", *[F.col(c).alias(f"orig_{c}" if c.startswith("median_") else c) for c in known]).distinct()
+    poles = current.select("pole", F.col("pole_lat").alias("lat"), F.col("pole_long").alias("long")).distinct()
+    near = stage(ties.k_nearest(suspect.select("serial").distinct().join(places, "serial"), poles, k=k, query_id="serial"), "near-poles")
     curves = summary.select("serial", "day", "curve")
-    wholes = summary.select("pole", "day", F.col("group_curve").alias("curve")).dropDuplicates(["pole", "day"])
+    wholes = summary.groupBy("pole", "day").agg(F.min("group_curve").alias("curve"))  # one and the same in all rows of a pole's day
     distances = ties.candidate_distances(near, curves, wholes, meter="serial")
     best = ties.propose_tie(distances, criterion=criterion, meter="serial")
-    now = suspect.select("serial", F.col("pole").alias("current_pole"), "decile")
-    return best.withColumnRenamed("pole", "new_pole").join(now, "serial").join(near.select("serial", F.col("pole").alias("new_pole"), "dist_ft", "rank"), ["serial", "new_pole"])
+    proposed = best.select("serial", F.col("pole").alias("new_pole"), F.col("least_distance").alias("pred_distance"), F.col("median_distance").alias("pred_median_distance"))
+    ranked = near.select("serial", F.col("pole").alias("new_pole"), "dist_ft", "rank")
+    whole = proposed.join(ranked, ["serial", "new_pole"]).join(suspect, "serial")
+    return whole.join(places.select("serial", *mount).distinct(), "serial") if mount else whole

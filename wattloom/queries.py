@@ -7,6 +7,7 @@ for snapshots and maps.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,7 +18,9 @@ from .functions import geo, vectors
 from .operators import alerts, audit, conform, dedupe, features, joins, model, peers, rules, series, ties
 from .plans import audit as audit_plan
 from .plans import events as event_plan
-from .sources import readers
+from .plans import ties as tie_plan
+from .session import new_folder
+from .sources import readers, writers
 from .streaming import events as event_stream
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -136,6 +139,14 @@ def codes_for(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conform.codes_for(pairs, ["ASIA", "EUROPE", "NOWHERE"])
 
 
+@query("""SELECT DISTINCT p_type AS code, p_brand AS name FROM part WHERE p_type IN (SELECT p_type FROM part GROUP BY 1 ORDER BY 1 LIMIT 3)""")
+def codes_for_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The brands that parts of the first three types have."""
+    parts = _t(spark, sf_dir, "part").select(F.col("p_type").alias("code"), F.col("p_brand").alias("name")).distinct()
+    first = [r["code"] for r in parts.select("code").distinct().orderBy("code").limit(3).collect()]
+    return conform.codes_for(parts, first)
+
+
 _DATE_TEXT = {0: "yyyy-MM-dd", 1: "yyyy/MM/dd", 2: "dd.MM.yyyy"}
 
 
@@ -621,12 +632,54 @@ def alert_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alerts.alert_quality(shares, percent=33).select("opco", "usage_dt", "src_regular", "src_estimate", "src_total", "tgt_regular", "tgt_estimate", "tgt_total", F.round("tgt_estimate_pct", 4).alias("tgt_estimate_pct"), "issue")
 
 
-@query()
+_ALL_SOURCE = " UNION ALL ".join(
+    f"({x})" for x in (
+        _agg("si", "USAGE_DATE", "opco, usage_dt, usage_type"), _agg("si", "UOM", "opco, usage_dt, usage_type, register"), _agg(_S_QUALITY, "DATA_QUALITY", "opco, usage_dt, usage_type, register, quality"),
+        _agg(_ZERO, "ZERO_USAGE", "opco, usage_dt, usage_type, register, quality", meters="count(serial)"), _agg("ev4", "INTERVAL_COUNT", "opco, usage_dt, usage_type, register, intervals"),
+    )
+)
+_ALL_TARGET = " UNION ALL ".join(
+    f"({x})" for x in (
+        _two_arms("USAGE_DATE", "opco, usage_dt, usage_type"), _two_arms("UOM", "opco, usage_dt, usage_type, register"), _agg(_T_QUALITY, "DATA_QUALITY", "opco, usage_dt, usage_type, register, quality", "count(*)", "sum(use)"),
+        _agg(_TZERO, "ZERO_USAGE", "opco, usage_dt, usage_type, register, quality", usage="sum(use)", meters="count(serial)"), _agg(_TCOUNT, "INTERVAL_COUNT", "opco, usage_dt, usage_type, register, intervals", usage="sum(use)"),
+    )
+)
+
+
+def _in_buckets(x: str) -> str:
+    n = "TRY_CAST(intervals AS INT)"
+    columns = ", ".join(f"CASE WHEN {n} > {EXPECTED} THEN '>{EXPECTED}' WHEN {n} < {EXPECTED} THEN '<{EXPECTED}' WHEN {n} = {EXPECTED} THEN '{EXPECTED}' END AS intervals" if k == "intervals" else k for k in audit.KEYS)
+    return f"SELECT {columns}, sum(cnt)::BIGINT AS cnt, round(sum(usage), 2) AS usage, sum(meters)::BIGINT AS meters FROM {x} WHERE aggr_type = 'INTERVAL_COUNT' GROUP BY ALL"
+
+
+_PLAIN = "SELECT * FROM {} WHERE aggr_type <> 'INTERVAL_COUNT'"
+
+
+@query(f"""WITH {_SRC}, {_COUNTS}, {_TGT}, sa AS ({_ALL_SOURCE}), ta AS ({_ALL_TARGET})
+    ({_compared(_PLAIN.format('sa'), _PLAIN.format('ta'), 'LEFT')}) UNION ALL ({_compared(_in_buckets('sa'), _in_buckets('ta'), 'FULL')})""")
 def audit_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole audit, from both systems' rows to the reconciled table."""
     source = audit_plan.source_aggregates(_measurements(spark, sf_dir), ACTUAL, expected=EXPECTED, before="2001-06")
     target = audit_plan.target_aggregates(_readings(spark, sf_dir), ["1"], quarantined=_quarantined(spark, sf_dir))
-    return _shown(audit_plan.reconcile_all(source, target, expected=EXPECTED))
+    return _money(_shown(audit_plan.reconcile_all(_money(source), _money(target), expected=EXPECTED)), "src_usage", "tgt_usage")
+
+
+_RUNS = "(SELECT *, strftime(ts, '%Y%m%d') AS run_dt, event_type AS opco, user_id::VARCHAR AS serial, (ts::DATE)::VARCHAR AS usage_dt FROM events)"
+
+
+def _run_side(where: str) -> str:
+    return f"SELECT run_dt, opco, usage_dt, count(*)::BIGINT AS cnt, count(DISTINCT serial)::BIGINT AS meters FROM {_RUNS} WHERE {where} GROUP BY ALL"
+
+
+@query(f"""SELECT run_dt, opco, usage_dt, coalesce(x.cnt, 0) AS src_cnt, coalesce(y.cnt, 0) AS tgt_cnt, coalesce(x.cnt, 0) - coalesce(y.cnt, 0) AS diff_cnt FROM ({_run_side("event_id % 7 <> 0 AND usage_dt <> '2024-01-03'")}) x FULL JOIN ({_run_side("event_id % 5 <> 0 AND usage_dt <> '2024-01-03'")}) y USING (run_dt, opco, usage_dt)""")
+def reconcile_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two systems' runs in one table each, without an excluded day; each event type is a company, each day a run."""
+    day = F.to_date("ts").cast("string")
+    events = _t(spark, sf_dir, "events").select("event_id", F.date_format("ts", "yyyyMMdd").alias("run_dt"), F.col("event_type").alias("opco"), F.col("user_id").alias("serial"), day.alias("usage_dt"))
+    empty = {k: F.lit("") for k in audit.KEYS if k not in ("opco", "usage_dt")}
+    side = lambda d: d.groupBy("run_dt", "opco", "usage_dt").agg(F.count("*").alias("cnt"), F.count_distinct("serial").alias("meters")).withColumns(empty | {"usage": F.lit(0.0)})
+    found = audit.reconcile(side(events.where("event_id % 7 <> 0")), side(events.where("event_id % 5 <> 0")), exclude=["2024-01-03"])
+    return found.select("run_dt", "opco", "usage_dt", "src_cnt", "tgt_cnt", "diff_cnt")
 
 
 # ---- geography, ties, model ---------------------------------------------------
@@ -645,10 +698,33 @@ def great_circle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _places(spark, sf_dir).select("vec_id", F.round(geo.haversine_ft(F.col("lat"), F.col("long"), F.lit(52.5), F.lit(13.4)), 2).alias("feet"))
 
 
-@query()
+_B, _F = 6378137.0 * (1 - 1 / 298.257223563), 1 / 298.257223563
+_VINCENTY = f"""WITH RECURSIVE {_PLACES}, u AS (
+      SELECT vec_id, lat, long, atan({1 - _F} * tan(radians(lat))) AS u1, atan({1 - _F} * tan(radians(52.5))) AS u2,
+             radians((13.4 - long + 540) - 360 * floor((13.4 - long + 540) / 360) - 180) AS l FROM pl
+    ), it(vec_id, n, lam, ss, cs, ca, cm) AS (
+      SELECT vec_id, 0, l, 0.0::DOUBLE, 1.0::DOUBLE, 1.0::DOUBLE, 0.0::DOUBLE FROM u
+      UNION ALL
+      SELECT vec_id, n + 1, l + (1 - c) * {_F} * sa * (atan2(ss, cs) + c * ss * (cm + c * cs * (2 * cm * cm - 1))), ss, cs, ca, cm FROM (
+        SELECT *, {_F / 16} * ca * (4 + {_F} * (4 - 3 * ca)) AS c FROM (
+          SELECT *, cs - coalesce(2 * sin(u1) * sin(u2) / nullif(ca, 0), cs) AS cm FROM (
+            SELECT *, 1 - sa * sa AS ca FROM (
+              SELECT *, coalesce(cos(u1) * cos(u2) * sin(lam) / nullif(ss, 0), 0) AS sa FROM (
+                SELECT it.vec_id, n, lam, u1, u2, l, sqrt(pow(cos(u2) * sin(lam), 2) + pow(cos(u1) * sin(u2) - sin(u1) * cos(u2) * cos(lam), 2)) AS ss,
+                       sin(u1) * sin(u2) + cos(u1) * cos(u2) * cos(lam) AS cs
+                FROM it JOIN u ON it.vec_id = u.vec_id WHERE n < 20)))))
+    ), v AS (
+      SELECT *, ca * {(6378137.0**2 - _B**2) / _B**2} AS w FROM it WHERE n = 20
+    ), g AS (
+      SELECT *, 1 + w / 16384 * (4096 + w * (-768 + w * (320 - 175 * w))) AS a, w / 1024 * (256 + w * (-128 + w * (74 - 47 * w))) AS b FROM v
+    )
+    SELECT vec_id, round({_B * 3.280839895} * a * (atan2(ss, cs) - b * ss * (cm + b / 4 * (cs * (2 * cm * cm - 1) - b / 6 * cm * (4 * ss * ss - 3) * (4 * cm * cm - 3)))), 1) AS feet FROM g"""
+
+
+@query(_VINCENTY)
 def geodesic(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Feet on the ellipsoid to one place."""
-    return _places(spark, sf_dir).select("vec_id", F.round(geo.geodesic_ft(F.col("lat"), F.col("long"), F.lit(52.5), F.lit(13.4)), 2).alias("feet"))
+    return _places(spark, sf_dir).select("vec_id", F.round(geo.geodesic_ft(F.col("lat"), F.col("long"), F.lit(52.5), F.lit(13.4)), 1).alias("feet"))
 
 
 _NEAR = f"""{_PLACES}, {_XYZ}, n AS (SELECT q.vec_id AS meter, c.vec_id AS pole, sqrt(pow(q.x - c.x, 2) + pow(q.y - c.y, 2) + pow(q.z - c.z, 2)) * 3280.84 AS dist_ft FROM xy q, xy c WHERE q.vec_id % 3 = 0 AND c.vec_id % 3 <> 0),
@@ -708,3 +784,228 @@ def score_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, _ = model.stratified_split(known, "label", "doc_id")
     found = model.train_forest(train, features=names, key="doc_id", folds=2, grid={"numTrees": [20], "maxDepth": [5]})
     return model.score_forest(found, docs, features=names).select("doc_id", "y_pred", F.round("pred_0", 6).alias("pred_0"), F.round("pred_1", 6).alias("pred_1"))
+
+
+_BETTER = f"""SELECT md.meter AS serial, md.meter + 1 AS current_pole, (md.meter % 10)::INT AS decile, md.pole AS new_pole, round(least_distance, 6) AS pred_distance, round(median_distance, 6) AS pred_median_distance, round(dist_ft, 1) AS dist_ft, rank, md.meter * 2 AS premise
+    FROM md JOIN (SELECT meter, min(least_distance) AS m FROM md GROUP BY 1) b ON md.meter = b.meter AND least_distance = m JOIN nr ON nr.meter = md.meter AND nr.pole = md.pole AND rank <= 5 WHERE md.meter % 10 >= 7"""
+
+
+@query(f"WITH {_TIE} {_BETTER}")
+def re_tie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suspect meters, the poles near them in the latest of two snapshots, and the pole whose curve fits best."""
+    places = _places(spark, sf_dir)
+    is_pole = F.col("vec_id") % 3 != 0
+    now = places.select(F.col("vec_id").alias("serial"), F.col("vec_id").alias("pole"), F.col("lat").alias("premise_lat"), F.col("long").alias("premise_long"), F.when(is_pole, F.col("lat")).alias("pole_lat"), F.when(is_pole, F.col("long")).alias("pole_long"), F.lit("2024-01-02").alias("asof_dt"))
+    before = now.withColumns({"premise_lat": F.lit(0.0), "pole_lat": F.lit(0.0), "asof_dt": F.lit("2024-01-01")})
+    days = _t(spark, sf_dir, "embeddings").select("vec_id", F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(3)), lambda d: F.slice("embedding", d * 16 + 1, 16))).alias("day", "curve"))
+    summary = days.select(F.col("vec_id").alias("serial"), F.col("vec_id").alias("pole"), "day", "curve", F.col("curve").alias("group_curve"))
+    scores = places.where("vec_id % 3 = 0").select(F.col("vec_id").alias("serial"), (F.col("vec_id") + 1).alias("pole"), ((F.col("vec_id") % 10) / 10).alias("pred_1"), (F.col("vec_id") * 2).alias("premise"))
+    found = tie_plan.re_tie(scores, now.unionByName(before), summary, k=5)
+    return found.select("serial", "current_pole", "decile", "new_pole", F.round("pred_distance", 6).alias("pred_distance"), F.round("pred_median_distance", 6).alias("pred_median_distance"), F.round("dist_ft", 1).alias("dist_ft"), "rank", "premise")
+
+
+@query("""SELECT label, (i - 1)::INT AS slot, round(avg(v), 6) AS value FROM (
+    SELECT vec_id, label * 1000 + vec_id % 97 AS label, generate_subscripts(embedding, 1) AS i, unnest(embedding)::DOUBLE AS v FROM embeddings) JOIN (
+    SELECT label * 1000 + vec_id % 97 AS label FROM embeddings GROUP BY 1 HAVING count(DISTINCT vec_id) > 1) USING (label) GROUP BY label, i""")
+def group_curve_of_peers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean curves of small groups, without those of one member."""
+    small = _t(spark, sf_dir, "embeddings").withColumn("label", (F.col("label") * 1000 + F.col("vec_id") % 97).cast("long"))
+    means = peers.group_curve(small, ["label"], curve="embedding", peers_of="vec_id")
+    return series.explode_day(means, ["label"], curve="group_curve").withColumn("value", F.round("value", 6))
+
+
+@query("""SELECT vec_id, (i - 1)::INT AS slot, round(v / n, 6) AS value FROM (
+    SELECT vec_id, generate_subscripts(embedding, 1) AS i, unnest(embedding)::DOUBLE AS v, sqrt(list_dot_product(list_transform(embedding, lambda x: x::DOUBLE), list_transform(embedding, lambda x: x::DOUBLE))) AS n FROM embeddings)""")
+def normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
+    unit = _t(spark, sf_dir, "embeddings").select("vec_id", vectors.normalize(F.col("embedding")).alias("curve"))
+    return series.explode_day(unit, ["vec_id"]).withColumn("value", F.round("value", 6))
+
+
+# ---- joins with a partner, medians, nulls ---------------------------------------
+
+
+@query("""SELECT l_orderkey, l_linenumber, l_partkey, o_orderpriority FROM lineitem JOIN orders ON l_orderkey = o_orderkey""")
+def attach(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = _t(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderpriority")
+    return joins.attach(_t(spark, sf_dir, "lineitem"), orders, ["l_orderkey"]).select("l_orderkey", "l_linenumber", "l_partkey", "o_orderpriority")
+
+
+@query("""SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'P')""")
+def exists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pending = _t(spark, sf_dir, "orders").where("o_orderstatus = 'P'").withColumnRenamed("o_orderkey", "l_orderkey")
+    return joins.exists(_t(spark, sf_dir, "lineitem"), pending, ["l_orderkey"]).select("l_orderkey", "l_linenumber", "l_partkey")
+
+
+@query("""SELECT o_orderkey, m AS median_o_totalprice FROM orders JOIN (SELECT o_custkey, quantile_disc(o_totalprice, 0.5) AS m FROM orders GROUP BY 1) USING (o_custkey)""")
+def attach_medians(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return peers.attach_medians(_t(spark, sf_dir, "orders"), ["o_custkey"], ["o_totalprice"]).select("o_orderkey", "median_o_totalprice")
+
+
+@query("""SELECT event_id FROM events WHERE value > 50 AND user_id % 5 <> 0""")
+def drop_null_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = _t(spark, sf_dir, "events").select("event_id", F.when(F.col("value") > 50, F.col("value")).alias("value"), F.when(F.col("user_id") % 5 != 0, F.col("user_id")).alias("user_id"))
+    return dedupe.drop_null_rows(events, ["value", "user_id"]).select("event_id")
+
+
+@query("""SELECT unnest(generate_series(min(o_orderdate)::DATE, max(o_orderdate)::DATE, INTERVAL 1 DAY))::DATE::VARCHAR AS day FROM orders""")
+def date_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every day between the first and the last order."""
+    first, last = _t(spark, sf_dir, "orders").agg(F.min(F.to_date("o_orderdate")), F.max(F.to_date("o_orderdate"))).first()
+    return readers.date_range(spark, first, last).select(F.col("day").cast("string").alias("day"))
+
+
+# ---- files and tables: written in the shared folder and read back ----------------
+
+_ORDER = "o_orderkey long, o_totalprice double, o_orderstatus string, month string"
+
+
+def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _t(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus", F.date_format("o_orderdate", "yyyy-MM").alias("month"))
+
+
+@query("""SELECT event_id, event_type, value FROM events""")
+def read_delimited(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_folder(spark, "delimited")
+    _t(spark, sf_dir, "events").select("event_id", "event_type", "value").write.option("sep", "~").csv(path)
+    return readers.read_delimited(spark, path, "event_id long, event_type string, value double", sep="~")
+
+
+_SOME_DAYS = """SELECT o_orderkey, o_totalprice, strftime(o_orderdate, '%Y-%m') AS month FROM orders WHERE o_orderstatus = 'F' AND strftime(o_orderdate, '%Y-%m') BETWEEN '1995-03' AND '1996-11'"""
+
+
+def _some_days(spark: SparkSession, sf_dir: str, fmt: str) -> DataFrame:
+    path = new_folder(spark, f"orders-{fmt}")
+    writers.write_partitioned(_orders(spark, sf_dir), path, ["o_orderstatus", "month"], sort=["o_orderkey"], fmt=fmt, blooms={"o_orderkey": 1000})
+    return readers.read_days(spark, path, _ORDER, "1995-03", "1996-11", day="month", fmt=fmt, o_orderstatus="F").select("o_orderkey", "o_totalprice", "month")
+
+
+@query(_SOME_DAYS)
+def read_days_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _some_days(spark, sf_dir, "parquet")
+
+
+@query(_SOME_DAYS)
+def read_days_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _some_days(spark, sf_dir, "orc")
+
+
+@query("""SELECT o_orderkey, (year(o_orderdate) || '0101_000000') AS run_dt FROM orders WHERE year(o_orderdate) > 1995""")
+def read_new_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each year's orders are a run; those up to 1995 have been read."""
+    path = new_folder(spark, "runs")
+    runs = _t(spark, sf_dir, "orders").select("o_orderkey", F.concat(F.year("o_orderdate").cast("string"), F.lit("0101_000000")).alias("run_dt"))
+    writers.write_partitioned(runs, path, ["run_dt"], fmt="orc")
+    return readers.read_new_runs(spark, path, "o_orderkey long, run_dt string", mark="19950101_000000")[0]
+
+
+@query("""SELECT o_orderkey, o_orderstatus, strftime(o_orderdate, '%Y-%m') AS month FROM orders""")
+def with_path_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_folder(spark, "by-path")
+    writers.write_partitioned(_orders(spark, sf_dir), path, ["o_orderstatus", "month"])
+    files = spark.read.schema("o_orderkey long").option("recursiveFileLookup", "true").parquet(path)
+    return readers.with_path_partitions(files, ["o_orderstatus", "month"]).select("o_orderkey", "o_orderstatus", "month")
+
+
+@query("""SELECT o_orderkey FROM orders WHERE o_orderstatus IN ('F', 'P')""")
+def existing_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_folder(spark, "existing")
+    writers.write_partitioned(_orders(spark, sf_dir), path, ["o_orderstatus"])
+    return spark.read.schema("o_orderkey long").parquet(*readers.existing_paths(spark, [f"{path}/o_orderstatus={x}" for x in ("F", "none", "P")]))
+
+
+@query("""SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN o_totalprice * 2 ELSE o_totalprice END AS o_totalprice, o_orderstatus FROM orders WHERE o_orderstatus <> 'F' OR o_orderkey % 2 = 0""")
+def write_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second write replaces the partitions that it has rows for, and no others."""
+    path, orders = new_folder(spark, "replaced"), _orders(spark, sf_dir).drop("month")
+    writers.write_partitioned(orders, path, ["o_orderstatus"], sort=["o_orderkey"], spread=3, max_records=10_000)
+    writers.write_partitioned(orders.where("o_orderstatus = 'F' and o_orderkey % 2 = 0").withColumn("o_totalprice", F.col("o_totalprice") * 2), path, ["o_orderstatus"])
+    return readers.read_partitions(spark, path, "o_orderkey long, o_totalprice double, o_orderstatus string")
+
+
+@query("""SELECT o_orderkey, o_orderstatus FROM orders UNION ALL SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus = 'P'""")
+def append_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path, orders = new_folder(spark, "appended"), _orders(spark, sf_dir).select("o_orderkey", "o_orderstatus")
+    for part in (orders, orders.where("o_orderstatus = 'P'")):
+        writers.write_partitioned(part, path, ["o_orderstatus"], fmt="orc", mode="append")
+    return readers.read_partitions(spark, path, "o_orderkey long, o_orderstatus string", fmt="orc")
+
+
+@query("""SELECT c_custkey, c_name FROM customer WHERE c_acctbal > 0""")
+def write_plain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path, customers = new_folder(spark, "plain"), _t(spark, sf_dir, "customer")
+    writers.write_plain(customers.select("c_custkey", "c_name"), path)
+    writers.write_plain(customers.where("c_acctbal > 0").select("c_custkey", "c_name"), path)
+    return spark.read.schema("c_custkey long, c_name string").parquet(path)
+
+
+@query("""SELECT o_custkey, count(*) AS n FROM orders GROUP BY o_custkey""")
+def write_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A report in order, as one text file with a header."""
+    path = new_folder(spark, "report")
+    writers.write_report(conform.count_by(_t(spark, sf_dir, "orders"), "o_custkey").orderBy("o_custkey"), path)
+    return spark.read.schema("o_custkey long, n long").option("header", True).csv(path)
+
+
+def _stored(df: DataFrame, *partition: str) -> str:
+    """The name of a new table of df in the shared folder."""
+    name = f"wattloom_{uuid.uuid4().hex}"
+    df.write.partitionBy(*partition).option("path", new_folder(df.sparkSession, "table")).saveAsTable(name)
+    return name
+
+
+@query("""SELECT c_custkey, c_name, CASE WHEN c_mktsegment = 'BUILDING' THEN c_mktsegment ELSE 'LATE' END AS segment FROM customer""")
+def insert_into(spark: SparkSession, sf_dir: str) -> DataFrame:
+    customers = _t(spark, sf_dir, "customer").select("c_custkey", "c_name", F.col("c_mktsegment").alias("segment"))
+    name = _stored(customers.where("segment = 'BUILDING'"), "segment")
+    writers.insert_into(customers.where("segment <> 'BUILDING'").select("c_name", "c_custkey"), name, segment="LATE")
+    return spark.table(name).select("c_custkey", "c_name", "segment")
+
+
+@query("""SELECT c_custkey, c_mktsegment FROM customer WHERE c_mktsegment <> 'BUILDING'""")
+def truncate_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    name = _stored(_t(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment"), "c_mktsegment")
+    writers.truncate_partition(spark, name, c_mktsegment="BUILDING")
+    return spark.table(name)
+
+
+@query("""SELECT o_orderkey, strftime(o_orderdate, '%Y-%m') AS month FROM orders WHERE strftime(o_orderdate, '%Y-%m') >= '1996-02'""")
+def drop_old_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    name = _stored(_orders(spark, sf_dir).select("o_orderkey", "month"), "month")
+    writers.drop_old_partitions(spark, name, "month", "1996-02", dry_run=False)
+    return spark.table(name)
+
+
+@query("""SELECT c_custkey, c_mktsegment FROM customer""")
+def sync_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Partitions that were written as files, behind the catalogue's back."""
+    customers = _t(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
+    name = _stored(customers.where("c_mktsegment = 'BUILDING'"), "c_mktsegment")
+    path = spark.sql(f"DESCRIBE FORMATTED {name}").where("col_name = 'Location'").first()["data_type"]
+    customers.where("c_mktsegment <> 'BUILDING'").write.mode("append").partitionBy("c_mktsegment").parquet(path)
+    writers.sync_partitions(spark, name)
+    return spark.table(name)
+
+
+@query("""SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus IN ('F', 'P')""")
+def union_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = _orders(spark, sf_dir).select("o_orderkey", "o_orderstatus")
+    writers.union_view({"F": orders, "P": orders}, "wattloom_by_status", column="o_orderstatus")
+    return spark.table("wattloom_by_status")
+
+
+@query("""SELECT o_orderkey, o_orderpriority FROM orders WHERE o_orderstatus = 'P'""")
+def current_run_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders of one status are the run."""
+    runs = _t(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", F.col("o_orderstatus").alias("run_dt"))
+    writers.current_run_view(runs, "P", "wattloom_run", order=("o_orderpriority", "o_orderkey"))
+    return spark.table("wattloom_run").select("o_orderkey", "o_orderpriority")
+
+
+@query(f"WITH {_RULES_SQL} SELECT event_id, regex_id, curated_reason FROM cl")
+def classify_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event files taken up as a stream, classified, and merged into a table by day."""
+    source, out, marks = (new_folder(spark, n) for n in ("event-files", "event-table", "stream-marks"))
+    events = _reasons(spark, sf_dir).join(_t(spark, sf_dir, "events").select("event_id", F.to_date("ts").cast("string").alias("day"), "ts"), "event_id")
+    events.write.parquet(source)
+    event_stream.classify_stream(spark, source, events.schema, _rules(spark), out, marks, key=["event_id"], order="ts", partition=["day"]).awaitTermination()
+    return spark.read.parquet(out).select("event_id", "regex_id", "curated_reason")
