@@ -1,22 +1,31 @@
 """Approximate nearest neighbours by randomly rotated one-bit codes.
 
-A vector is normalised and rotated by one random orthogonal matrix; its code is
-the signs of the result, packed into bits.  With the code's own inner product
-with the vector as a correction, the inner product with any query is estimated
-without bias, and the error is bounded by a factor of
-sqrt((1 - c^2) / c^2 / (d - 1)), c being that inner product.  Of all codes, those
-whose upper bound reaches the k-th best lower bound are scored on the original
-vectors in double precision.
-
-The index holds every vector.  Queries go round in blocks of a bounded size; each
-task keeps its own k best of each query, and the k best overall are taken from
-those.
-
-Edge cases: a vector that is null, has another length than the index, holds a
-null or a component that is not finite, or is all zero takes no part, neither as
-a query nor as a candidate.  Equal scores go to the smaller id.  A query's own
-row is no candidate; further rows that share its id are none either.  Fewer than
-k candidates: all of them.  No vectors: no rows.
+A vector is normalised, padded with zeros to eight times its dimensions and rotated by one
+random orthogonal matrix; its code is the signs of the result, packed into bits.
+The code's own inner product with the vector, c, is its correction scalar.  A
+query is rotated likewise and rounded to 4 bits a component, kept as bit planes.
+The inner product of code and query is then a weighted sum of counts of common
+bits; divided by c it estimates the cosine without bias, with an error of
+sqrt((1 - c^2) / c^2 / (bits - 1)) and a share for the rounding.  `width` of these
+standard errors make the bounds.
+
+1. Equal vectors are one class, with the k + 1 smallest of its rows: no other row
+   of it can be among a query's k nearest.
+2. Classes are dealt to chunks and queries to blocks, both of bounded size, and
+   every block meets every chunk in a group of its own.  A task streams a group's
+   codes past its queries and keeps a running bar for each query, the (k + 1)-th
+   best lower bound so far; what reaches it with its upper bound is a candidate.
+3. The bar over all chunks drops most candidates.  The others are scored on the
+   original vectors in double precision.
+
+Nothing passes through the driver but three counts.
+
+Edge cases: a vector that is null, has another length than `dims`, holds a null
+or a component that is not finite, or is all zero takes no part, neither as a
+query nor as a candidate.  Scores that agree to 12 decimals are equal and go to
+the smaller id.  A query's own row is no candidate; other rows with its id are,
+and rows that repeat a query's id are queries of their own.  A null id takes no
+part.  Fewer than k candidates: all of them.  No vectors: no rows.
 """
 
 from __future__ import annotations
@@ -27,10 +36,17 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import tidied
+from .common import materialize, tidied
 
-INDEX = "vec_id long, vector binary, code binary, norm double, correction double"
-_POP = np.array([bin(i).count("1") for i in range(256)], dtype=np.uint8)
+INDEX = "vec_id long, vector binary, code binary, correction double"
+CANDIDATES = "query long, cand long, low double, high double"
+_PLANES = 4
+_PARTS = 2048  # codes that are compared with as many queries as make a matrix of a million
+
+
+def code_bits(dims: int) -> int:
+    """The length of a code: eight times the vector's, in whole words."""
+    return max(64, -(-8 * dims // 64) * 64)
 
 
 def rotation(dims: int, seed: int) -> np.ndarray:
@@ -53,95 +69,163 @@ def _matrix(column: pa.Array, dims: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _unit(m: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    top = np.abs(m).max(axis=1, keepdims=True)
-    m = m / top  # so that squares neither overflow nor vanish
+    top = np.abs(m).max(axis=1, keepdims=True, initial=0)
+    m = m / np.where(top > 0, top, 1)  # so that squares neither overflow nor vanish
     norm = np.sqrt(np.einsum("ij,ij->i", m, m))[:, None]
-    return m / norm, (top * norm)[:, 0]
+    return m / np.where(norm > 0, norm, 1), (top * norm)[:, 0]
 
 
 def encode(m: np.ndarray, turn: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Packed sign bits, norms, and corrections of the rows of m."""
+    """Packed sign bits, norms, and corrections of the rows of m; turn: bits x dims, with orthonormal columns."""
     unit, norm = _unit(m)
     turned = unit @ turn.T
-    return np.packbits(turned >= 0, axis=1), norm, np.abs(turned).sum(axis=1) / np.sqrt(m.shape[1])
+    return np.packbits(turned >= 0, axis=1), norm, np.abs(turned).sum(axis=1) / np.sqrt(turn.shape[0])
+
+
+class Queries:
+    """Rotated queries as bit planes."""
+
+    def __init__(self, vectors: np.ndarray, turn: np.ndarray):
+        self.bits = turn.shape[0]
+        t = _unit(vectors)[0] @ turn.T
+        self.low = t.min(axis=1, initial=0)
+        self.step = np.maximum(t.max(axis=1, initial=0) - self.low, 1e-12) / ((1 << _PLANES) - 1)
+        u = np.rint((t - self.low[:, None]) / self.step[:, None]).astype(np.uint8)
+        self.total = self.low * self.bits + self.step * u.sum(axis=1, dtype=np.int64)
+        self.planes = np.stack([_words(np.packbits((u >> j) & 1, axis=1)) for j in range(_PLANES)])
+
+    def estimate(self, part: slice, codes: np.ndarray, correction: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of some queries and all codes: the estimated cosine, and its standard error."""
+        common = np.zeros((len(self.low[part]), len(codes)), dtype=np.uint16)
+        for j in range(_PLANES):
+            for w in range(codes.shape[1]):
+                common += np.bitwise_count(self.planes[j, part, w, None] & codes[None, :, w]).astype(np.uint16) << np.uint16(j)
+        ones = np.bitwise_count(codes).sum(axis=1)
+        c = np.maximum(correction, 1e-9)
+        low, step, total = (x[part, None] for x in (self.low, self.step, self.total))
+        value = (2 * (low * ones[None] + step * common) - total) / np.sqrt(self.bits) / c
+        error = np.sqrt((np.maximum(0, 1 - c**2) / max(1, self.bits - 1)) + step**2 / 3) / c
+        return value, error
+
+
+def _words(packed: np.ndarray) -> np.ndarray:
+    return np.ascontiguousarray(packed).view(np.uint64)
 
 
 def build_index(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str = "embedding", dims: int, seed: int = 7) -> DataFrame:
-    """One row for each vector that takes part: the original, code, norm, correction."""
+    """One row for each vector that takes part, written: row (its own number), vec_id, vector, code, correction, cls (equal vectors have the same)."""
 
     def run(batches):
-        turn = rotation(dims, seed)
+        turn = rotation(code_bits(dims), seed)[:, :dims]
         for batch in batches:
             rows, m = _matrix(batch.column(1), dims)
-            ids = batch.column(0).take(pa.array(rows))
             if not len(rows):
                 continue
-            code, norm, correction = encode(m, turn)
-            yield pa.RecordBatch.from_arrays([ids.cast(pa.int64()), pa.array([x.tobytes() for x in m], pa.binary()), pa.array([x.tobytes() for x in code], pa.binary()), pa.array(norm), pa.array(correction)], names=["vec_id", "vector", "code", "norm", "correction"])
-
-    return vectors.where(F.col(id_col).isNotNull()).select(id_col, vector_col).mapInArrow(tidied(run), INDEX)
-
-
-def _search_block(batch: pa.RecordBatch, ids: np.ndarray, queries: np.ndarray, k: int, turn: np.ndarray, width: float) -> pa.RecordBatch:
-    """The k best of this batch for each query: bounds from codes, then exact scores."""
-    d = queries.shape[1]
-    cand = np.asarray(batch.column(0))
-    m = np.frombuffer(b"".join(batch.column(1).to_pylist()), dtype=np.float64).reshape(-1, d)
-    code = np.frombuffer(b"".join(batch.column(2).to_pylist()), dtype=np.uint8).reshape(len(cand), -1)
-    correction = np.asarray(batch.column(4))
-    signs = np.unpackbits(code, axis=1, count=d).astype(np.float32) * 2 - 1
-    error = width * np.sqrt(np.maximum(0, 1 - correction**2) / np.maximum(correction, 1e-9) ** 2 / max(1, d - 1))
-    unit, _ = _unit(m)
-    unit_q, _ = _unit(queries)
-    turned = (unit_q @ turn.T / np.sqrt(d)).astype(np.float32)
-    out: list[list] = [[], [], []]
-    for a in range(0, len(ids), 256):
-        estimate = (turned[a : a + 256] @ signs.T) / np.maximum(correction, 1e-9)
-        low, high = estimate - error, estimate + error
-        own = ids[a : a + 256, None] == cand[None, :]
-        low[own], high[own] = -9, -9
-        bar = np.partition(low, -k, axis=1)[:, -k] if len(cand) > k else np.full(len(low), -8.0)
-        qi, ci = np.nonzero((high >= bar[:, None]) & ~own)
-        score = np.empty(len(qi))
-        for s in range(0, len(qi), 1 << 16):
-            score[s : s + (1 << 16)] = np.einsum("ij,ij->i", unit_q[a + qi[s : s + (1 << 16)]], unit[ci[s : s + (1 << 16)]])
-        order = np.lexsort((cand[ci], -score, qi))
-        qi, ci, score = qi[order], ci[order], score[order]
-        first = np.searchsorted(qi, qi)
-        best = np.arange(len(qi)) - first < k
-        out[0].append(ids[a + qi[best]])
-        out[1].append(cand[ci[best]])
-        out[2].append(score[best])
-    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in out], names=["query_id", "vec_id", "score"])
-
-
-def search(index: DataFrame, queries: DataFrame, *, k: int = 5, dims: int, seed: int = 7, width: float = 4.0, query_block: int = 2048) -> DataFrame:
+            code, _, correction = encode(m, turn)
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows)).cast(pa.int64()), pa.array([x.tobytes() for x in m], pa.binary()), pa.array([x.tobytes() for x in code], pa.binary()), pa.array(correction)], names=["vec_id", "vector", "code", "correction"])
+
+    some = vectors.where(F.col(f"`{id_col}`").isNotNull()).select(F.col(f"`{id_col}`"), F.col(f"`{vector_col}`"))
+    made = some.mapInArrow(tidied(run), INDEX)
+    return materialize(made.select(F.monotonically_increasing_id().alias("row"), "*", F.sha2("vector", 256).alias("cls")), "onebit-index")
+
+
+def _meet(dims: int, seed: int, k: int, width: float):
+    """Groups of (block, chunk), queries first: candidates of each query."""
+
+    def run(batches):
+        turn = rotation(code_bits(dims), seed)[:, :dims]
+        now, waiting, queries = None, [], None
+
+        def known():
+            vectors = np.frombuffer(b"".join(v for _, v in waiting), dtype=np.float64).reshape(-1, dims)
+            return Queries(vectors, turn), np.array([r for r, _ in waiting], dtype=np.int64), np.full((len(waiting), k), -9.0)
+
+        for whole in batches:
+            group = np.asarray(whole.column(0), dtype=np.int64) << 32 | np.asarray(whole.column(1), dtype=np.int64)
+            asks = np.asarray(whole.column(2))
+            cuts = np.flatnonzero((group[1:] != group[:-1]) | (asks[1:] != asks[:-1])) + 1
+            for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), whole.num_rows], strict=True):
+                if group[a] != now:
+                    now, waiting, queries = group[a], [], None
+                part = whole.slice(a, b - a)
+                if asks[a]:
+                    waiting += zip(part.column(3).to_pylist(), part.column(4).to_pylist(), strict=True)
+                    continue
+                if not waiting:
+                    continue
+                queries = queries or known()
+                for s in range(0, part.num_rows, _PARTS):
+                    some = part.slice(s, _PARTS)
+                    rows = np.asarray(some.column(3))
+                    codes = np.frombuffer(b"".join(some.column(5).to_pylist()), dtype=np.uint64).reshape(len(rows), -1)
+                    yield from _candidates(*queries, rows, codes, np.asarray(some.column(6)), width)
+
+    return run
+
+
+def _candidates(queries: Queries, ids: np.ndarray, best: np.ndarray, rows: np.ndarray, codes: np.ndarray, correction: np.ndarray, width: float):
+    """best: of each query the highest lower bounds so far; it is brought up to date."""
+    k = best.shape[1]
+    for q in range(0, len(ids), 512):
+        part = slice(q, q + 512)
+        value, error = queries.estimate(part, codes, correction)
+        low, high = value - width * error, value + width * error
+        every = np.concatenate([best[part], low], axis=1)
+        best[part] = np.partition(every, -k, axis=1)[:, -k:]
+        bar = best[part].min(axis=1)
+        qi, ci = np.nonzero(high >= bar[:, None])
+        yield pa.RecordBatch.from_arrays([pa.array(ids[part][qi]), pa.array(rows[ci]), pa.array(low[qi, ci]), pa.array(high[qi, ci])], names=["query", "cand", "low", "high"])
+
+
+def _score(dims: int):
+    def run(batches):
+        for batch in batches:
+            q, v = (np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype=np.float64).reshape(-1, dims) for c in (2, 3))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(np.einsum("ij,ij->i", _unit(q)[0], _unit(v)[0]))], names=["query", "cand", "score"])
+
+    return run
+
+
+def candidates(index: DataFrame, queries: DataFrame, *, k: int = 5, dims: int, seed: int = 7, width: float = 2.5, chunk: int = 65_536, query_block: int = 2048) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(query, cand) to be scored, both as the first row of a class; the classes (cls, row, vector); and each class' k + 1 smallest rows (cls, vec_id, row)."""
+    spark = index.sparkSession
+    smallest = Window.partitionBy("cls").orderBy("vec_id", "row")
+    members = materialize(index.select("cls", "vec_id", "row").withColumn("place", F.row_number().over(smallest)).where(F.col("place") <= k + 1), "members")
+    classes = materialize(index.join(members.where("place = 1").select("row"), "row").select("row", "cls", "vector", "code", "correction"), "classes")
+    asked = materialize(queries.select("cls").distinct().join(classes, "cls").select("row", "vector"), "queries")
+    n, n_asked = classes.count(), asked.count()
+    # At least as many chunks as there are tasks at a time, if they hold enough codes.
+    chunks = max(1, -(-n // chunk), min(spark.sparkContext.defaultParallelism, n // _PARTS))
+    blocks = max(1, -(-n_asked // query_block))
+    dealt = lambda count: F.pmod(F.xxhash64("row"), F.lit(count)).cast("int")
+    every = lambda count: F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
+    none = {"vector": F.lit(None).cast("binary"), "code": F.lit(None).cast("binary"), "correction": F.lit(None).cast("double")}
+    ask = asked.select(dealt(blocks).alias("block"), every(chunks).alias("chunk"), F.lit(True).alias("asks"), "row", "vector", none["code"].alias("code"), none["correction"].alias("correction"))
+    met = ask.unionByName(classes.select(every(blocks).alias("block"), dealt(chunks).alias("chunk"), F.lit(False).alias("asks"), "row", none["vector"].alias("vector"), "code", "correction"))
+    met = met.repartition("block", "chunk").sortWithinPartitions("block", "chunk", F.desc("asks"))
+    found = materialize(met.mapInArrow(tidied(_meet(dims, seed, k + 1, width)), CANDIDATES), "candidates")
+    best = found.withColumn("place", F.row_number().over(Window.partitionBy("query").orderBy(F.desc("low"), "cand"))).where(F.col("place") <= k + 1)
+    bars = materialize(best.groupBy("query").agg(F.when(F.count("*") > k, F.min("low")).otherwise(F.lit(-9.0)).alias("bar")), "bars")
+    return found.join(bars, "query").where(F.col("high") >= F.col("bar")).select("query", "cand"), classes, members
+
+
+def search(index: DataFrame, queries: DataFrame, *, k: int = 5, dims: int, seed: int = 7, width: float = 2.5, chunk: int = 65_536, query_block: int = 2048) -> DataFrame:
     """query_id, rank, vec_id, score of each query's k nearest by cosine.
 
-    queries: rows of an index.  width: the error bound in its own units; the
-    larger, the more vectors are scored exactly.  A block of queries is sent to
-    the tasks at a time: query_block vectors, so its size is bounded.
+    queries: rows of the index.  width: the bounds in standard errors; the larger,
+    the more vectors are scored exactly.  chunk, query_block: so many codes and
+    queries at most meet in one group.
     """
-    spark = index.sparkSession
-    queries = queries.groupBy("vec_id").agg(F.min("vector").alias("vector"))
-    n = queries.count()
-    blocks = max(1, -(-n // query_block))
-    found = None
-    for b in range(blocks):
-        part = queries.where(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == b).select("vec_id", "vector").toArrow()
-        ids = np.asarray(part.column(0).combine_chunks(), dtype=np.int64)
-        vectors = np.frombuffer(b"".join(part.column(1).to_pylist()), dtype=np.float64).reshape(-1, dims)
-        block = spark.sparkContext.broadcast((ids, vectors))
-
-        def run(batches, block=block):
-            turn = rotation(dims, seed)
-            ids, vectors = block.value
-            for batch in batches:
-                for s in range(0, batch.num_rows, 4096):
-                    if len(ids):
-                        yield _search_block(batch.slice(s, 4096), ids, vectors, k, turn, width)
-
-        each = index.mapInArrow(tidied(run), "query_id long, vec_id long, score double")
-        found = each if found is None else found.unionByName(each)
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    few, classes, members = candidates(index, queries, k=k, dims=dims, seed=seed, width=width, chunk=chunk, query_block=query_block)
+    vectors = classes.select("row", "vector")
+    pairs = few.join(vectors.withColumnsRenamed({"row": "query", "vector": "q"}), "query").join(vectors.withColumnsRenamed({"row": "cand", "vector": "v"}), "cand")
+    scored = pairs.select("query", "cand", "q", "v").mapInArrow(tidied(_score(dims)), "query long, cand long, score double")
+    nearest = Window.partitionBy("query").orderBy(F.desc(F.round("score", 12)), "vec_id", "row")
+    # The first row of a class has its smallest id, so k + 1 classes hold the k + 1 nearest rows.
+    named = scored.join(members.where("place = 1").select(F.col("row").alias("cand"), "cls", "vec_id"), "cand").withColumn("row", F.col("cand"))
+    top = materialize(named.withColumn("place", F.row_number().over(nearest)).where(F.col("place") <= k + 1).select("query", "cls", "score"), "nearest-classes")
+    rows = top.join(members.drop("place"), "cls").withColumn("place", F.row_number().over(nearest)).where(F.col("place") <= k + 1).drop("place", "cls")
+    asked = queries.select("cls", F.col("vec_id").alias("query_id"), F.col("row").alias("own")).join(classes.select("cls", F.col("row").alias("query")), "cls")
+    each = asked.join(materialize(rows, "nearest-rows"), "query").where(F.col("row") != F.col("own"))
+    last = Window.partitionBy("own").orderBy(F.desc(F.round("score", 12)), "vec_id", "row")
+    return each.withColumn("rank", F.row_number().over(last)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

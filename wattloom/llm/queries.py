@@ -29,7 +29,7 @@ def op2_onebit_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     sizes = vectors.where(F.size("embedding") > 0).groupBy(F.size("embedding").alias("d")).count()
     top = sizes.orderBy(F.desc("count"), "d").first()
     dims = top["d"] if top else 1
-    index = common.materialize(ann_onebit.build_index(vectors, dims=dims), "onebit-index")
+    index = ann_onebit.build_index(vectors, dims=dims)
     return ann_onebit.search(index, index.where(F.col("vec_id") % 50 == 0), k=5, dims=dims)
 
 
