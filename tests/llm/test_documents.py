@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -201,8 +202,22 @@ def test_token_files_round_trip(spark):
     path = public_tokenizers.path("word_bpe_49k.json")
     tokenizer = Tokenizer.from_file(path)
     docs = spark.createDataFrame([(i, t, 1) for i, t in _texts()], "doc_id long, text string, start int")
-    manifest = token_files.write_token_files(docs, common.new_folder(spark, "tokens"), tokenizer=path, end_id=1)
+    folder = common.new_folder(spark, "tokens")
+    manifest = token_files.write_token_files(docs, folder, tokenizer=path, end_id=1)
     got = token_files.read_token_files(manifest).collect()
+    small = token_files.write_token_files(docs.coalesce(1), common.new_folder(spark, "tokens"), tokenizer=path, end_id=1, shard_tokens=5, shard_docs=2)
+    assert small.count() > manifest.count() and small.where("n_docs > 2").count() == 0
+    assert sorted(map(tuple, token_files.read_token_files(small, run_docs=1, run_tokens=1).collect()), key=str) == sorted(map(tuple, got), key=str)
+    first = manifest.orderBy("base").first()
+    with open(first["path"].removeprefix("file://") + ".idx", "rb") as f:
+        assert len(f.read()) == 8 * (first["n_docs"] + 1)
+
+    class Store:  # not a local one
+        def open_input_file(self, name):
+            return pa.OSFile(name)
+
+    ranges = token_files._Ranges(Store(), first["path"].removeprefix("file://") + ".idx", "<u8")
+    assert ranges(first["n_docs"], first["n_docs"] + 1).tolist() == [first["n_tokens"]]
     at, want = 0, []
     for i, t in sorted(_texts(), key=lambda r: (r[0] is not None, r[0] or 0)):
         ids = np.array(tokenizer.encode(t or "", add_special_tokens=False).ids + [1], dtype="<u4")
