@@ -3,37 +3,39 @@
 A benchmark item is cut into windows of 13 consecutive words (an item of fewer
 words, but not none, is one window).  A window's shingles are ordered by how
 often they occur in the whole corpus; as a document must hold all of them, it is
-enough to look for the rarest one.  Where it occurs, its place in the window
-gives the only place where the window could start, the document's length bounds
-it, and the words are then compared one by one.
+enough to look for the rarest one, the window's prefix.  Documents are joined with
+windows on it.  Its place in the window gives the only place where the window could
+start, the document's length bounds it, and the words are then compared one by one.
 
-Two passes read the corpus: one counts the shingles, one joins.  The windows are
-sent to the tasks in blocks of a bounded number; a set with more windows than a
-block holds takes further passes, whose hits are united by document.
+Two passes read the corpus: one counts the shingles that windows have, one emits
+those that are a prefix, each with the words around it.  Both leave out what a
+filter of fixed size (two bits of 2^filter_bits for each hash) does not hold; it is
+all that goes through the driver, and what it lets through by chance meets no window
+in the join.  So only shared shingles are shuffled, and a frequent one is split by
+the join.
 
 Edge cases: a null or empty text has no words and no hits; an item without words
 has no window; a null item id is kept as the empty string in digests.  Windows
 that several items share count for each of them.  Repeated items are hit
 together and each counts once by its id.  Repeated documents each get their own
-row; should a benchmark take several blocks, rows that share an id and a text
-count as one row and come out as often as they went in.
+row; rows are told apart by a hash of id and text, each is judged by its own text,
+and a null id is as good as any other.  Other columns, whatever their names, go
+through.  No documents: no rows.  A worker needs about 60 bytes for each byte of
+its longest text.
 """
 
 from __future__ import annotations
 
-import hashlib
-from functools import reduce
-
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import add_columns, tidied
-from .kernels import ALNUM, Lookup, RangeHasher, U64, Words, mix, ragged, signed, text_blocks
+from .common import fresh, materialize, tidied
+from .kernels import ALNUM, RangeHasher, U64, Words, mix, signed, text_blocks
 
-HITS = "doc_id long, n_words long, hit_from array<long>, hit_to array<long>, items array<string>"
-REPORT = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
+WINDOWS = "words string, size int, shingles array<long>, item string"
+FOUND = "row long, doc_id {}, n_words long, s long, at int, since int, around string"
 
 
 def _words(buf: np.ndarray, offs: np.ndarray) -> Words:
@@ -41,7 +43,7 @@ def _words(buf: np.ndarray, offs: np.ndarray) -> Words:
 
 
 def benchmark_windows(benchmark: DataFrame, *, window: int = 13, shingle: int = 3, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """The distinct windows: words, hash, length in words, shingle hashes, items."""
+    """The distinct windows: words, size in words, shingle hashes, items."""
 
     def run(batches):
         for batch in batches:
@@ -49,57 +51,27 @@ def benchmark_windows(benchmark: DataFrame, *, window: int = 13, shingle: int =
             for i, j, buf, offs in text_blocks(batch.column(1)):
                 w = _words(buf, offs)
                 h = RangeHasher(w.hash)
-                rows: list[list] = [[], [], [], [], []]
+                rows: list[list] = [[], [], [], []]
                 for d in range(j - i):
                     a, b = int(w.first[d]), int(w.first[d + 1])
                     size = min(window, b - a)
                     for s in range(a, b - size + 1) if size else ():
                         k = min(shingle, size)
                         at = np.arange(s, s + size - k + 1)
-                        rows[0].append(w.text(s, s + size))
-                        rows[1].append(int(signed(h(np.array([s]), np.array([s + size])))[0]))
-                        rows[2].append(size)
-                        rows[3].append(signed(_shingle_hash(h(at, at + k), k)).tolist())
-                        rows[4].append(ids[i + d].as_py() or "")
-                yield pa.RecordBatch.from_arrays([pa.array(rows[0], pa.binary()), pa.array(rows[1], pa.int64()), pa.array(rows[2], pa.int32()), pa.array(rows[3], pa.list_(pa.int64())), pa.array(rows[4], pa.string())], names=["words", "hash", "size", "shingles", "item"])
+                        rows[0].append(w.text(s, s + size).decode())
+                        rows[1].append(size)
+                        rows[2].append(signed(_shingle_hash(h(at, at + k), k)).tolist())
+                        rows[3].append(ids[i + d].as_py() or "")
+                yield pa.RecordBatch.from_arrays([pa.array(rows[0], pa.string()), pa.array(rows[1], pa.int32()), pa.array(rows[2], pa.list_(pa.int64())), pa.array(rows[3], pa.string())], names=["words", "size", "shingles", "item"])
 
-    each = benchmark.select(F.col(id_col).cast("string"), text_col).mapInArrow(tidied(run), "words binary, hash long, size int, shingles array<long>, item string")
-    return each.groupBy("words").agg(F.first("hash").alias("hash"), F.first("size").alias("size"), F.first("shingles").alias("shingles"), F.array_sort(F.collect_set("item")).alias("items"))
+    each = benchmark.select(F.col(f"`{id_col}`").cast("string"), F.col(f"`{text_col}`")).mapInArrow(tidied(run), WINDOWS)
+    return each.groupBy("words").agg(F.first("size").alias("size"), F.first("shingles").alias("shingles"), F.array_sort(F.collect_set("item")).alias("items"))
 
 
 def _shingle_hash(h: np.ndarray, k: int) -> np.ndarray:
     return mix(h + U64(k))
 
 
-class _Index:
-    """A block of windows, arranged for the join; built on the driver, sent to tasks."""
-
-    def __init__(self, rows: list, shingle: int):
-        self.shingle = shingle
-        self.words = [bytes(r["words"]) for r in rows]
-        self.hash = np.array([r["hash"] for r in rows], dtype=np.int64).view(U64)
-        self.size = np.array([r["size"] for r in rows], dtype=np.int64)
-        self.items = [list(r["items"]) for r in rows]
-        self.shingles = [np.array(r["shingles"], dtype=np.int64).view(U64) for r in rows]
-        self.sizes = sorted({min(shingle, int(s)) for s in self.size})
-        self.lookup = Lookup(np.concatenate(self.shingles) if rows else np.zeros(0, U64))
-
-    def order(self, counts: np.ndarray) -> None:
-        """Keep of each window its rarest shingle (the first of equals)."""
-        rarest, place = [], []
-        for s in self.shingles:
-            c = counts[np.searchsorted(self.lookup.keys, s)]
-            p = int(np.argmin(c))
-            rarest.append(s[p])
-            place.append(p)
-        self.prefix = Lookup(np.array(rarest, dtype=U64))
-        slot = np.searchsorted(self.prefix.keys, np.array(rarest, dtype=U64))
-        self.by_slot = np.argsort(slot, kind="stable")
-        self.slot_from = np.searchsorted(slot[self.by_slot], np.arange(len(self.prefix.keys) + 1))
-        self.place = np.array(place, dtype=np.int64)
-        self.shingles = []
-
-
 def _doc_shingles(w: Words, h: RangeHasher, k: int) -> tuple[np.ndarray, np.ndarray]:
     """The positions that start a shingle of k words within their document, and the hashes."""
     at = np.arange(len(w.starts))
@@ -107,164 +79,122 @@ def _doc_shingles(w: Words, h: RangeHasher, k: int) -> tuple[np.ndarray, np.ndar
     return at, _shingle_hash(h(at, at + k), k)
 
 
-def _count(block, sizes: list[int]):
+class Filter:
+    """Two bits for each hash, in 2^bits."""
+
+    def __init__(self, shingles: DataFrame, bits: int):
+        self.bits = bits
+        self.words = np.zeros(max(1, (1 << bits) // 64), dtype=U64)
+        place = lambda shift: F.shiftrightunsigned(F.shiftleft("s", shift), 64 - bits)
+        both = shingles.select(F.explode(F.array(place(0), place(bits))).alias("p"))
+        table = both.groupBy(F.shiftright("p", 6).alias("w")).agg(F.expr("bit_or(shiftleft(1L, cast(p & 63 as int)))").alias("b")).toArrow()  # at most 2^bits / 64 rows
+        self.words[np.asarray(table.column("w"), dtype=np.int64)] = np.asarray(table.column("b"), dtype=np.int64).view(U64)
+
+    def holds(self, h: np.ndarray) -> np.ndarray:
+        """Positions in h that may be known."""
+        one = np.arange(len(h))
+        for shift in (0, self.bits):
+            p = (h[one] << U64(shift)) >> U64(64 - self.bits)
+            one = one[(self.words[p >> U64(6)] >> (p & U64(63))) & U64(1) > 0]
+        return one
+
+
+def _count(known, sizes: list[int]):
     def run(batches):
-        index = block.value
-        counts = np.zeros(len(index.lookup.keys), dtype=np.int64)
         for batch in batches:
+            found = [np.zeros(0, U64)]
             for _, _, buf, offs in text_blocks(batch.column(0)):
                 w = _words(buf, offs)
                 h = RangeHasher(w.hash)
                 for k in sizes:
                     _, s = _doc_shingles(w, h, k)
-                    counts += np.bincount(index.lookup.find(s)[1], minlength=len(counts))
-        seen = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(counts[seen])], names=["shingle", "n"])
+                    found.append(s[known.value.holds(s)])
+            s, n = np.unique(np.concatenate(found), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(signed(s)), pa.array(n.astype(np.int64))], names=["s", "n"])
 
     return run
 
 
-def _find(index: _Index, buf: np.ndarray, offs: np.ndarray):
-    """The words of a block, and (window start, window) of every confirmed occurrence."""
-    w = _words(buf, offs)
-    h = RangeHasher(w.hash)
-    last = w.last()
-    starts, windows = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    for k in index.sizes:
-        at, s = _doc_shingles(w, h, k)
-        hit, slot = index.prefix.find(s)
-        n = index.slot_from[slot + 1] - index.slot_from[slot]
-        win = index.by_slot[ragged(index.slot_from[slot], n)]
-        here = np.repeat(at[hit], n)
-        begin = here - index.place[win]
-        end = begin + index.size[win]
-        # the window must lie within the document that holds the shingle
-        ok = (begin >= 0) & (end <= last[here]) & (np.minimum(index.size[win], index.shingle) == k)
-        begin, end, win, here = begin[ok], end[ok], win[ok], here[ok]
-        ok = last[begin] == last[here]
-        begin, end, win = begin[ok], end[ok], win[ok]
-        ok = h(begin, end) == index.hash[win]
-        starts.append(begin[ok])
-        windows.append(win[ok])
-    begin, win = np.concatenate(starts), np.concatenate(windows)
-    sure = [w.text(int(b), int(b + index.size[v])) == index.words[v] for b, v in zip(begin, win, strict=True)]
-    sure = np.array(sure, dtype=bool)
-    return w, begin[sure], win[sure]
-
-
-def _report_row(n: int, hit: int, items: list[str], share: int) -> tuple:
-    return n, hit, len(items), hashlib.sha256(",".join(items).encode()).hexdigest(), bool(hit > 0 and share * hit >= n)
-
-
-def _join(block, share: int, whole: bool):
-    """Report rows, or with whole=False the parts that further blocks are united with."""
+def _emit(known, sizes: list[int], window: int):
+    """A row for each document with its number of words, and one for each prefix in it with the words around."""
 
     def run(batches):
-        index = block.value
+        names = ["row", "doc_id", "n_words", "s", "at", "since", "around"]
         for batch in batches:
-            for i, j, buf, offs in text_blocks(batch.column(1)):
-                w, begin, win = _find(index, buf, offs)
-                end = begin + index.size[win]
-                doc = np.searchsorted(w.first, begin, side="right") - 1
-                order = np.argsort(doc, kind="stable")
-                begin, end, win, doc = begin[order], end[order], win[order], doc[order]
-                edges = np.searchsorted(doc, np.arange(j - i + 1))
-                change = np.zeros(len(w.starts) + 1, dtype=np.int64)
-                np.add.at(change, begin, 1)
-                np.add.at(change, end, -1)
-                covered = np.concatenate([[0], np.cumsum(np.cumsum(change[:-1]) > 0)])
-                n_hit = covered[w.first[1:]] - covered[w.first[:-1]]
-                counts = w.counts
-                ids = batch.column(0).slice(i, j - i)
-                items = [sorted({x for v in win[edges[d] : edges[d + 1]] for x in index.items[v]}) if edges[d] < edges[d + 1] else [] for d in range(j - i)]
-                if whole:
-                    rows = [_report_row(int(counts[d]), int(n_hit[d]), items[d], share) for d in range(j - i)]
-                    columns = list(zip(*rows, strict=True))
-                    yield pa.RecordBatch.from_arrays([ids, *(pa.array(c) for c in columns)], names=["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"])
-                else:
-                    part = lambda x, d: (x[edges[d] : edges[d + 1]] - w.first[d]).tolist()
-                    yield pa.RecordBatch.from_arrays([ids, pa.array(counts), pa.array([part(begin, d) for d in range(j - i)], pa.list_(pa.int64())), pa.array([part(end, d) for d in range(j - i)], pa.list_(pa.int64())), pa.array(items, pa.list_(pa.string())), batch.column(2).slice(i, j - i)], names=["doc_id", "n_words", "hit_from", "hit_to", "items", "text_hash"])
+            for i, j, buf, offs in text_blocks(batch.column(2)):
+                w = _words(buf, offs)
+                h = RangeHasher(w.hash)
+                n = j - i
+                own = [batch.column(c).slice(i, n) for c in (0, 1)]
+                yield pa.RecordBatch.from_arrays([*own, pa.array(w.counts.astype(np.int64)), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.string())], names=names)
+                for k in sizes:
+                    at, s = _doc_shingles(w, h, k)
+                    hit = known.value.holds(s)
+                    at, s = at[hit], s[hit]
+                    doc = np.searchsorted(w.first, at, side="right") - 1
+                    since, to = np.maximum(w.first[doc], at - window + 1), np.minimum(w.first[doc + 1], at + window)
+                    around = [w.text(a, b).decode() for a, b in zip(since.tolist(), to.tolist(), strict=True)]
+                    which = pa.array(doc)
+                    yield pa.RecordBatch.from_arrays([own[0].take(which), own[1].take(which), pa.nulls(len(at), pa.int64()), pa.array(signed(s)), *(pa.array((x - w.first[doc]).astype(np.int32)) for x in (at, since)), pa.array(around, pa.string())], names=names)
 
     return run
 
 
-def _unite(share: int):
-    def run(batches):
-        for batch in batches:
-            rows = []
-            for r in batch.to_pylist():
-                hit: set[int] = set()
-                for a, b in zip(r["hit_from"], r["hit_to"], strict=True):
-                    hit.update(range(a, b))
-                row = (r["doc_id"], *_report_row(r["n_words"], len(hit), sorted(set(r["items"])), share), r["text_hash"])
-                rows += [row] * r["copies"]
-            columns = list(zip(*rows, strict=True)) or [[]] * 7
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_(), pa.int64()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "text_hash"])
-
-    return run
+def _covered(spans: Column) -> Column:
+    """How many places a list of (start, end) covers."""
+    begin = F.struct(F.lit(0).alias("e"), F.lit(0).cast("long").alias("t"))
+    step = lambda a, s: F.struct(F.greatest(a["e"], s["end"]).alias("e"), (a["t"] + F.greatest(F.lit(0), s["end"] - F.greatest(s["start"], a["e"]))).alias("t"))
+    return F.aggregate(F.array_sort(spans), begin, step, lambda a: a["t"])
 
 
-def _indexes(texts: DataFrame, benchmark: DataFrame, window: int, shingle: int, item_col: str, item_text_col: str, block_windows: int) -> list:
-    """The benchmark's windows in blocks, each ordered by the corpus' counts and sent to the tasks."""
+def _report(texts: DataFrame, benchmark: DataFrame, window: int, shingle: int, item_col: str, item_text_col: str, share: int, filter_bits: int) -> tuple[DataFrame, DataFrame]:
+    """texts (row, doc_id, text): a row for each with n_words, and for those with a hit row, spans, items."""
     spark = texts.sparkSession
-    windows = benchmark_windows(benchmark, window=window, shingle=shingle, id_col=item_col, text_col=item_text_col)
-    blocks = max(1, -(-windows.count() // block_windows))
-    sent = []
-    for b in range(blocks):
-        index = _Index(windows.where(F.pmod("hash", F.lit(blocks)) == b).orderBy("words").collect(), shingle)
-        counts = np.zeros(len(index.lookup.keys), dtype=np.int64)
-        counted = texts.select("text").mapInArrow(tidied(_count(spark.sparkContext.broadcast(index), index.sizes)), "shingle long, n long")
-        for r in counted.groupBy("shingle").agg(F.sum("n").alias("n")).collect():  # at most the block's shingles
-            counts[r["shingle"]] = r["n"]
-        index.order(counts)
-        sent.append(spark.sparkContext.broadcast(index))
-    return sent
-
-
-def _united(texts: DataFrame, indexes: list, share: int, hit_only: bool = False) -> DataFrame:
-    """The report of each row and its text_hash, from the parts of all blocks; hit_only: of rows with a hit, each different one once."""
-    hashed = texts.withColumn("text_hash", F.xxhash64("text"))
-    found = reduce(DataFrame.unionByName, [hashed.mapInArrow(tidied(_join(i, share, False)), HITS + ", text_hash long") for i in indexes])
-    copies = F.lit(1) if hit_only else F.count("*") / F.lit(len(indexes))
-    found = found.where(F.size("hit_from") > 0) if hit_only else found
-    parts = F.collect_set(F.struct("hit_from", "hit_to", "items")).alias("parts")  # copies have equal ones
-    united = found.groupBy("doc_id", "text_hash", "n_words").agg(parts, copies.cast("int").alias("copies"))
-    lists = [F.flatten(f"parts.{c}").alias(c) for c in ("hit_from", "hit_to", "items")]
-    return united.select("doc_id", "text_hash", "n_words", *lists, "copies").mapInArrow(tidied(_unite(share)), REPORT + ", text_hash long")
-
-
-def contamination(docs: DataFrame, benchmark: DataFrame, *, window: int = 13, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", share: int = 20, block_windows: int = 200_000) -> DataFrame:
+    windows = materialize(benchmark_windows(benchmark, window=window, shingle=shingle, id_col=item_col, text_col=item_text_col), "benchmark-windows")
+    sizes = sorted(r["k"] for r in windows.select(F.least(F.lit(shingle), "size").alias("k")).distinct().collect())  # at most `shingle` rows
+    each = windows.select("words", "size", "items", F.posexplode("shingles").alias("place", "s"))
+    known = spark.sparkContext.broadcast(Filter(each.select("s"), filter_bits))
+    counts = texts.select("text").mapInArrow(tidied(_count(known, sizes)), "s long, n long").groupBy("s").agg(F.sum("n").alias("n"))
+    # A window with a shingle that no document has is in none.
+    ordered = each.select("words", "size", "place", "s").join(counts, "s", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    rarest = ordered.groupBy("words").agg(F.min(F.struct("n", "place", "s")).alias("r")).where("r.n > 0").select("words", "r.place", "r.s")
+    prefixes = materialize(rarest.join(windows.select("words", "size", "items"), "words"), "prefixes")
+    sent = spark.sparkContext.broadcast(Filter(prefixes.select("s"), filter_bits))
+    kind = texts.schema["doc_id"].dataType.simpleString()
+    found = materialize(texts.mapInArrow(tidied(_emit(sent, sizes, window)), FOUND.format(kind)), "prefix-places")
+    start = F.col("at") - F.col("place")
+    met = found.where("s is not null").select("row", "s", "at", "since", "around").join(prefixes, "s").where(start >= 0)
+    same = F.array_join(F.slice(F.split("around", " "), start - F.col("since") + 1, F.col("size")), " ") == F.col("words")
+    spans = met.where(same).select("row", "items", F.struct(start.alias("start"), (start + F.col("size")).alias("end")).alias("span"))
+    hits = spans.groupBy("row").agg(F.collect_set("span").alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
+    hits = hits.select("row", _covered(F.col("spans")).alias("n_hit"), "items")
+    return found.where("s is null").select("row", "doc_id", "n_words"), hits
+
+
+def _contaminated(share: int) -> Column:
+    return (F.col("n_hit") > 0) & (share * F.col("n_hit") >= F.col("n_words"))
+
+
+def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    doc_id, text = F.col(f"`{id_col}`"), F.col(f"`{text_col}`")
+    return docs.select(F.xxhash64(doc_id, text).alias("row"), doc_id.alias("doc_id"), text.alias("text"))
+
+
+def contamination(docs: DataFrame, benchmark: DataFrame, *, window: int = 13, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", share: int = 20, filter_bits: int = 24) -> DataFrame:
     """One row per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated.
 
     A document is contaminated when it has a hit word and share * n_hit >= n_words.
-    block_windows: so many windows, of a few hundred bytes each, are sent to the
-    tasks at a time.
-    """
-    texts = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
-    indexes = _indexes(texts, benchmark, window, shingle, item_col, item_text_col, block_windows)
-    if len(indexes) == 1:
-        return texts.mapInArrow(tidied(_join(indexes[0], share, True)), REPORT)
-    return _united(texts, indexes, share).drop("text_hash")
-
-
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, *, window: int = 13, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", share: int = 20, block_windows: int = 200_000) -> DataFrame:
-    """The documents that are not contaminated, with their own columns.
-
-    Each row is judged by its own text, however many blocks of windows there are:
-    with one block where it is read; with more, by the hashes of its id, which may
-    be null, and of its text.
     """
-    row, text = F.xxhash64(F.col(f"`{id_col}`")), F.col(f"`{text_col}`")
-    texts = docs.select(row.alias("doc_id"), text.alias("text"))
-    indexes = _indexes(texts, benchmark, window, shingle, item_col, item_text_col, block_windows)
-    if len(indexes) > 1:
-        bad = _united(texts, indexes, share, hit_only=True).where("contaminated").select(F.col("doc_id").alias("__bad"), F.col("text_hash").alias("__bad_text"))
-        return docs.join(bad, (row == F.col("__bad")) & (F.xxhash64(text) == F.col("__bad_text")), "left_anti")
-
-    def judge(column: pa.Array):
-        nothing = pa.nulls(len(column), pa.int64())
-        found = list(_join(indexes[0], share, True)([pa.RecordBatch.from_arrays([nothing, column], names=["doc_id", "text"])]))
-        return [pa.chunked_array([b.column(5) for b in found], pa.bool_()).combine_chunks()]
-
-    return add_columns(docs, judge, [text_col], "__contaminated boolean").where("not __contaminated").drop("__contaminated")
+    each, hits = _report(_rows(docs, id_col, text_col), benchmark, window, shingle, item_col, item_text_col, share, filter_bits)
+    found = each.join(materialize(hits, "hits"), "row", "left").withColumns({"n_hit": F.coalesce("n_hit", F.lit(0).cast("long")), "items": F.coalesce("items", F.array().cast("array<string>"))})
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), _contaminated(share).alias("contaminated"))
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, *, window: int = 13, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", share: int = 20, filter_bits: int = 24) -> DataFrame:
+    """The documents that are not contaminated, with their own columns; each row goes or stays by its own text."""
+    texts = _rows(docs, id_col, text_col)
+    each, hits = _report(texts, benchmark, window, shingle, item_col, item_text_col, share, filter_bits)
+    (key,) = fresh(docs, "__row")
+    bad = materialize(each.join(materialize(hits, "hits"), "row").where(_contaminated(share)).select(F.col("row").alias(key)).distinct(), "contaminated")
+    marked = docs.withColumn(key, F.xxhash64(F.col(f"`{id_col}`"), F.col(f"`{text_col}`")))
+    return marked.join(bad, key, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
