@@ -73,6 +73,114 @@ def test_repeated_phrases_against_brute_force(spark, limit):
     assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
 
 
+def _plain_bytes(rows, size):
+    counts = Counter(t.encode()[k : k + size] for _, t in rows if t for k in range(len(t.encode()) - size + 1))
+    out = []
+    for i, t in rows:
+        raw = (t or "").encode()
+        gone = bytearray(len(raw))
+        for k in range(len(raw) - size + 1):
+            if counts[raw[k : k + size]] > 1:
+                gone[k : k + size] = b"\1" * size
+        out.append((i, len(raw), sum(gone), hashlib.sha256(bytes(c for c, g in zip(raw, gone, strict=True) if not g)).hexdigest()))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("limit", [None, 3])
+def test_repeats_with_nul_bytes(spark, limit):
+    random.seed(21)
+    text = lambda n: "".join(random.choices("abcdefghij", k=n))
+    p = text(180)
+    rows = [(1, "x" * 30 + p + "\0" * 20), *((2 + k, text(25) + p) for k in range(11)), (50, "y" * 31 + p + "\0" * 20)]
+    rows += [(60, text(40) + p + "\0" * 10), (61, "\0" * 300), (62, "z" + "\0" * 250), (63, "\0" * 20 + p), (64, "\0" * 20 + p + "q")]
+    for _ in range(2):
+        got = suffix_repeats.repeated_bytes(_frame(spark, rows), limit=limit).select("doc_id", "n_bytes", "n_removed", "kept_sha256").collect()
+        assert sorted(map(tuple, got), key=str) == _plain_bytes(rows, 200)
+        random.shuffle(rows)
+
+
+@pytest.mark.parametrize("limit", [None, 2])
+def test_groups_hold_all_occurrences_of_a_maximal_repeat(spark, limit):
+    random.seed(22)
+    text = lambda n: "".join(random.choices("abcdefgh", k=n))
+    size, core = 80, text(100)
+    rows = [(1, "A" + core + "B"), (2, "C" + core + "B"), (3, "A" + core + "D"), (4, "E" + core[:85] + "F" + text(50)), (5, text(300)), (6, "A" + core + "B"), (7, text(30) + core + text(30) + core), (None, core)]
+    texts = {i: t for i, t in rows}
+    groups: dict[int, set] = {}
+    for r in suffix_repeats.repeat_groups(_frame(spark, rows), size=size, limit=limit).collect():
+        groups.setdefault(r["group"], set()).add((r["doc_id"], r["start"], r["length"]))
+    found = set()
+    for members in groups.values():
+        (content,) = {texts[i][a : a + n] for i, a, n in members}
+        every = {(i, a) for i, t in texts.items() if i is not None for a in range(len(t)) if t.startswith(content, a)}
+        assert {(i, a) for i, a, _ in members} == every and len(every) > 1  # all occurrences, wherever they stand
+        before, after = {texts[i][a - 1] if a else i for i, a, _ in members}, {texts[i][a + n : a + n + 1] or i for i, a, n in members}
+        found.add((content, len(before) > 1, len(after) > 1))
+    # A context reaches 16 bytes to the left and 80 to the right (less where a group was split), so some are cut there.
+    assert all(size <= len(c) <= 96 for c, _, _ in found) and (limit or any(left and right for _, left, right in found))
+    assert any(c in core[:85] for c, _, _ in found)
+    removed = {(r["doc_id"]): r["spans"] for r in suffix_repeats.repeated_bytes(_frame(spark, rows), size=size, limit=limit).collect() if r["doc_id"]}
+    for i, spans in removed.items():
+        covered = {x for members in groups.values() for d, a, n in members if d == i for x in range(a, a + n)}
+        assert covered == {x for s in spans for x in range(s["start"], s["end"])}
+
+
+def test_texts_of_one_id_are_cut_each_by_its_own(spark):
+    random.seed(23)
+    words = lambda n: [random.choice("abcdefgh") + str(random.randrange(50)) for _ in range(n)]
+    shared, other = words(30), words(25)
+    rows = [(3, words(4) + shared), (3, words(9) + shared + words(3)), (5, shared), (5, other + words(2)), (1, other), (7, words(20)), (7, words(200) + other)]
+    rows = [(i, " ".join(w)) for i, w in rows]
+    size, first = 12, {}
+    for i, t in rows:
+        w = t.split()
+        for k in range(len(w) - size + 1):
+            first[tuple(w[k : k + size])] = min(i, first.get(tuple(w[k : k + size]), i))
+    want = []
+    for i, t in rows:
+        w = t.split()
+        gone = {k + x for k in range(len(w) - size + 1) if first[tuple(w[k : k + size])] < i for x in range(size)}
+        want.append((i, len(w), len(gone), hashlib.sha256(" ".join(x for k, x in enumerate(w) if k not in gone).encode()).hexdigest()))
+    got = phrases.repeated_phrases(_frame(spark, rows), size=size).drop("spans").collect()
+    assert sorted(map(tuple, got)) == sorted(want)
+    got = suffix_repeats.repeated_bytes(_frame(spark, rows), size=80).select("doc_id", "n_bytes", "n_removed", "kept_sha256").collect()
+    assert sorted(map(tuple, got), key=str) == _plain_bytes(rows, 80)
+
+
+def test_a_shard_locates_periodic_and_overlapping_passages():
+    random.seed(24)
+    for _ in range(200):
+        alphabet = random.choice([["a"], ["a", "b"], list("abcde")])
+        words = lambda n: random.choices(alphabet, k=n)  # noqa: B023, E731
+        size = random.choice([3, 4, 7])
+        passages = [words(random.randrange(1, 25)) for _ in range(random.randrange(1, 4))]
+        text = words(random.randrange(40))
+        known = {tuple(p[k : k + size]) for p in passages for k in range(len(p) - size + 1)}
+        want = {k + x for k in range(len(text) - size + 1) if tuple(text[k : k + size]) in known for x in range(size)}
+        shard = phrases.Shard([" ".join(p).encode() for p in passages], size)
+        assert {x for a, b in shard.locate(" ".join(text).encode()) for x in range(a, b)} == want
+
+
+def test_long_texts(spark):
+    random.seed(25)
+    long = " ".join(random.choice("abcdefgh") + str(random.randrange(500)) for _ in range(200_000))  # a megabyte
+    rows = [(1, long), (2, long[500_000:700_000]), (3, "x " + long), (4, "other words")]
+    got = {r["doc_id"]: r["n_removed"] for r in suffix_repeats.repeated_bytes(_frame(spark, rows)).collect()}
+    assert got == {1: len(long), 2: 200_000, 3: len(long), 4: 0}
+    got = {r["doc_id"]: (r["n_words"], r["n_removed"]) for r in phrases.repeated_phrases(_frame(spark, rows)).collect()}
+    assert got[1] == (200_000, 0) and got[3] == (200_001, 200_000) and got[2][0] - got[2][1] <= 2 and got[4] == (2, 0)
+    text = "\n".join(f"line {k} {'w ' * 20}" for k in range(20_000))
+    got = {r["doc_id"]: r["n_removed"] for r in lines.line_report(_frame(spark, [(1, text), (2, text), (3, "x" * 3_000_000), (4, "x" * 3_000_000)]), words=50).collect()}
+    assert got == {1: 0, 2: 20_000, 3: 0, 4: 0}
+
+
+def test_matches_name_the_place_they_repeat(spark):
+    a = [f"a{k}" for k in range(9)]
+    rows = [(1, a), (2, ["x", *a[2:7], "y"]), (3, [*a[0:3], "z", *a[2:7]]), (4, a[:2])]
+    got = {tuple(r) for r in lines.matches(_frame(spark, [(i, "\n".join(w)) for i, w in rows])).drop("row").collect()}
+    assert got == {(2, 1, 5, 1, 2), (3, 0, 3, 1, 0), (3, 4, 5, 1, 2)}
+
+
 def test_intervals_are_those_of_the_common_prefixes():
     entries = sorted(["aab", "aabc", "aac", "b", "ba", "ba"])
     lcp = [0] + [len([1 for x, y in zip(a, b, strict=False) if x == y and a[: a.index(x) + 1] == b[: a.index(x) + 1]]) for a, b in zip(entries, entries[1:], strict=False)]

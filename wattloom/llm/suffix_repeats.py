@@ -18,7 +18,8 @@ A group whose different contexts exceed 4 MB is split in two by where the anchor
 stands in the window: for either half the windows share a longer core, which
 becomes part of the group's key.  Contexts that are equal within a half are one
 leaf from there on.  At the latest when one place is left, all contexts of a group
-are equal.
+are equal.  The contexts of a half reach less far, and its groups are maximal as
+far as they do.
 
 Edge cases: a null text is empty.  A text under 200 bytes, or one without
 repeats, keeps everything.  Bytes may have any value, 0 included.  Repeated rows
@@ -57,6 +58,7 @@ def _eights(buf: np.ndarray) -> np.ndarray:
     """A mixed value of the eight bytes at every position."""
     n = len(buf) - 7
     words = np.ndarray(n, dtype="<u8", buffer=np.ascontiguousarray(buf), strides=(1,)).astype(U64)
+    words += U64(0xA0761D6478BD642F)  # eight zero bytes are no zero
     words *= U64(0x9E3779B97F4A7C15)
     words ^= words >> U64(32)
     words *= U64(0xD6E8FEB86659FD93)
