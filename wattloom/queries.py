@@ -786,6 +786,16 @@ def score_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return model.score_forest(found, docs, features=names).select("doc_id", "y_pred", F.round("pred_0", 6).alias("pred_0"), F.round("pred_1", 6).alias("pred_1"))
 
 
+@query("""SELECT o_orderkey, (o_orderstatus = 'F')::INT AS y_pred, (o_orderstatus <> 'F')::INT::DOUBLE AS pred_0, (o_orderstatus = 'F')::INT::DOUBLE AS pred_1 FROM orders""")
+def train_and_score_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A forest on clear cases: each feature alone tells the label, so every tree must, whichever features it is given."""
+    final = (F.col("o_orderstatus") == "F").cast("int")
+    orders = _t(spark, sf_dir, "orders").select("o_orderkey", final.alias("label"), *[(final * 10 + F.pmod(F.xxhash64(F.lit(k), "o_orderkey"), F.lit(4))).cast("double").alias(name) for k, name in enumerate(model.FEATURES)])
+    train, _ = model.stratified_split(orders, "label", "o_orderkey")
+    found = model.train_forest(train, key="o_orderkey", folds=2, grid={"numTrees": [10], "maxDepth": [3]})
+    return model.score_forest(found, orders).select("o_orderkey", "y_pred", "pred_0", "pred_1")
+
+
 _BETTER = f"""SELECT md.meter AS serial, md.meter + 1 AS current_pole, (md.meter % 10)::INT AS decile, md.pole AS new_pole, round(least_distance, 6) AS pred_distance, round(median_distance, 6) AS pred_median_distance, round(dist_ft, 1) AS dist_ft, rank, md.meter * 2 AS premise
     FROM md JOIN (SELECT meter, min(least_distance) AS m FROM md GROUP BY 1) b ON md.meter = b.meter AND least_distance = m JOIN nr ON nr.meter = md.meter AND nr.pole = md.pole AND rank <= 5 WHERE md.meter % 10 >= 7"""
 
