@@ -21,7 +21,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..constants import ENERGY_REGISTER_PREFIX, ENERGY_UNITS, INTERVALS_A_DAY
+from ..constants import ENERGY_REGISTER_PREFIX, ENERGY_UNITS, INTERVALS_A_DAY, REGULAR_SOURCE_CODES, REGULAR_TARGET_CODES
 from ..functions import conform as fn
 from .dedupe import union_all
 from .joins import dense_rank
@@ -56,7 +56,7 @@ def source_by_uom(df: DataFrame, *, before: str | None = None) -> DataFrame:
     return _sums(_source(df, before, None), "UOM", ["opco", "usage_dt", "usage_type", "register"])
 
 
-def source_by_quality(df: DataFrame, actual: Sequence[str], *, before: str | None = None, registers: Sequence[str] | None = None) -> DataFrame:
+def source_by_quality(df: DataFrame, actual: Sequence[str] = REGULAR_SOURCE_CODES, *, before: str | None = None, registers: Sequence[str] | None = None) -> DataFrame:
     """actual: the condition codes of a regular reading."""
     classed = _source(df, before, registers).withColumn("quality", fn.quality_class(F.col("condition"), actual))
     return _sums(classed, "DATA_QUALITY", ["opco", "usage_dt", "usage_type", "register", "quality"])
@@ -90,7 +90,7 @@ def source_days(df: DataFrame, *, expected: int = INTERVALS_A_DAY, before: str |
     return _source(df, before, None).groupBy(*DAY, "condition", "config_id", "component_id").agg(F.sum("cnt").alias("cnt"), F.sum(total).alias("total"), *parts)
 
 
-def source_interval_count(df: DataFrame, actual: Sequence[str], *, expected: int = INTERVALS_A_DAY, before: str | None = None, registers: Sequence[str] | None = None) -> DataFrame:
+def source_interval_count(df: DataFrame, actual: Sequence[str] = REGULAR_SOURCE_CODES, *, expected: int = INTERVALS_A_DAY, before: str | None = None, registers: Sequence[str] | None = None) -> DataFrame:
     """By intervals in a meter's day: complete actual days, complete estimated ones of meters without, and the latest configuration's others, summed.
 
     df: measurements, or source_days of them.
@@ -152,7 +152,7 @@ def target_by_uom(df: DataFrame, *, days: DataFrame | None = None, quarantined:
     return _target_sums(_days_of(df, days, quarantined), "UOM", ["opco", "usage_dt", "usage_type", "register"], one_count)
 
 
-def target_by_quality(df: DataFrame, actual: Sequence[str], *, days: DataFrame | None = None) -> DataFrame:
+def target_by_quality(df: DataFrame, actual: Sequence[str] = REGULAR_TARGET_CODES, *, days: DataFrame | None = None) -> DataFrame:
     """Without quarantined readings; the target's codes of a regular reading may be fewer than the source's."""
     classed = _days_of(df, days).where("arm = 0").withColumn("quality", fn.quality_class(F.col("condition"), actual))
     return _target_sums(classed, "DATA_QUALITY", ["opco", "usage_dt", "usage_type", "register", "quality"], True)

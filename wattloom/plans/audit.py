@@ -7,18 +7,19 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..constants import REGULAR_SOURCE_CODES, REGULAR_TARGET_CODES
 from ..operators import alerts, audit
 from ..operators.dedupe import union_all
 from ..session import stage
 
 
-def source_aggregates(df: DataFrame, actual: Sequence[str], *, expected: int = 96, before: str | None = None, registers: Sequence[str] | None = None) -> DataFrame:
-    """All five, from one pass over the measurements."""
+def source_aggregates(df: DataFrame, actual: Sequence[str] = REGULAR_SOURCE_CODES, *, expected: int = 96, before: str | None = None, registers: Sequence[str] | None = None) -> DataFrame:
+    """All five, from one pass over the measurements.  registers: those that are audited, such as constants.AUDITED_REGISTERS; all if not given."""
     days = stage(audit.source_days(df, expected=expected, before=before), "source-days")
     return union_all([audit.source_by_date(days, registers=registers), audit.source_by_uom(days), audit.source_by_quality(days, actual, registers=registers), audit.source_zero_usage(days, registers=registers), audit.source_interval_count(days, actual, expected=expected, registers=registers)])
 
 
-def target_aggregates(df: DataFrame, actual: Sequence[str], *, quarantined: DataFrame | None = None, days: DataFrame | None = None) -> DataFrame:
+def target_aggregates(df: DataFrame, actual: Sequence[str] = REGULAR_TARGET_CODES, *, quarantined: DataFrame | None = None, days: DataFrame | None = None) -> DataFrame:
     """All five, from one pass over the readings and one over the quarantined ones."""
     each = stage(audit.target_days(df, days=days, quarantined=quarantined), "target-days")
     return union_all([audit.target_by_date(each), audit.target_by_uom(each), audit.target_by_quality(each, actual), audit.target_zero_usage(each), audit.target_interval_count(each)])
