@@ -59,6 +59,40 @@ def test_near_duplicates_against_brute_force(spark, k, percent, block):
     assert sorted(map(tuple, got), key=str) == sorted(_near_truth(rows, k, percent), key=str)
 
 
+def test_texts_of_a_large_family_move_once(spark, monkeypatch):
+    random.seed(18)
+    vocabulary = [f"w{k}" for k in range(5000)]
+    base = random.choices(vocabulary, k=80)
+    rows = []
+    for k in range(700):
+        w = list(base)
+        for _ in range(random.randrange(6)):
+            w[random.randrange(len(w))] = random.choice(vocabulary)
+        rows.append((1000 + k, " ".join(w)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    sent, plain = {}, minhash.sorted_groups
+
+    def counted(df, keys, *rest, **options):
+        sent[tuple(keys)] = df
+        return plain(df, keys, *rest, **options)
+
+    monkeypatch.setattr(minhash, "sorted_groups", counted)
+    got = minhash.near_duplicates(docs, shingle=3, percent=85, block=16).collect()
+    assert sorted(map(tuple, got)) == sorted(_near_truth(rows, 3, 85))
+    members, parts = sent["family", "part"], 700 / 16
+    assert members.count() <= 700 + parts + 2  # each member's text once, and the head's for each part
+
+
+def test_rows_of_one_id_are_compared_each_by_its_own_text(spark):
+    random.seed(19)
+    words = lambda: random.choices([f"w{k}" for k in range(300)], k=60)
+    a, b = words(), words()
+    near = a[:-1] + ["changed"]
+    rows = [(9, " ".join(a)), (9, " ".join(b)), (4, " ".join(near)), (12, " ".join(b)), (3, " ".join(words()))]
+    got = {(r["doc_id"], i): r["component_id"] for i, r in enumerate(sorted(minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), shingle=3, percent=85).collect(), key=lambda r: (r["doc_id"], r["component_id"])))}
+    assert got == {(3, 0): 3, (4, 1): 4, (9, 2): 4, (9, 3): 9, (12, 4): 9}
+
+
 def test_pipeline_keeps_unique_texts_of_a_shared_id(spark):
     random.seed(15)
     words = lambda: " ".join(random.choices([f"w{k}" for k in range(300)], k=60))

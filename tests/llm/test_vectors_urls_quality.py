@@ -38,6 +38,43 @@ def test_nearest_neighbours_against_brute_force(spark):
     assert ann_onebit.search(index.limit(0), index.limit(0), dims=16).count() == 0
 
 
+def test_a_small_share_is_scored_exactly_and_recall_is_high(spark):
+    import pyarrow.parquet as pq
+
+    table = pq.read_table("/root/testdata/sf0.01/embeddings.parquet")
+    m = np.array(table.column("embedding").to_pylist(), dtype=np.float64)
+    ids = np.array(table.column("vec_id").to_pylist())
+    rng = np.random.default_rng(6)  # more of their kind, so that shares mean something
+    m = np.concatenate([m, m[rng.integers(0, len(m), 4000)] + 0.5 * m.std() * rng.standard_normal((4000, m.shape[1]))])
+    ids = np.concatenate([ids, ids.max() + 1 + np.arange(4000)])
+    index = ann_onebit.build_index(spark.createDataFrame([(int(i), v.tolist()) for i, v in zip(ids, m, strict=True)], "vec_id long, embedding array<double>"), dims=m.shape[1])
+    queries = index.where("vec_id % 50 = 0")
+    scored, _, _ = ann_onebit.candidates(index, queries, dims=m.shape[1], chunk=1000, query_block=16)
+    n_queries = int((ids % 50 == 0).sum())
+    assert scored.count() < 0.1 * n_queries * len(ids)
+    unit = m / np.linalg.norm(m, axis=1)[:, None]
+    got: dict[int, set] = {}
+    for r in ann_onebit.search(index, queries, dims=m.shape[1], chunk=1000, query_block=16).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    hits = 0
+    for at in np.flatnonzero(ids % 50 == 0):
+        s = unit @ unit[at]
+        s[at] = -9
+        hits += len(got[int(ids[at])] & set(ids[np.argsort(-s)[:5]].tolist()))
+    assert hits >= 0.97 * 5 * n_queries
+
+
+def test_rows_that_share_an_id_are_queries_and_candidates_of_their_own(spark):
+    a, b, c = [1.0, 0.0, 0.0], [0.9, 0.1, 0.0], [0.0, 1.0, 0.0]
+    rows = [(50, a), (50, a), (50, b), (1, c), (2, [2.0, 0.0, 0.0]), (3, None), (4, [1.0, 2.0])]
+    index = ann_onebit.build_index(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), dims=3)
+    got: dict[tuple, list] = {}
+    for r in ann_onebit.search(index, index.where("vec_id = 50"), k=2, dims=3).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], round(r["score"], 6)))
+    near = round(0.9 / math.hypot(0.9, 0.1), 6)
+    assert sorted(got[50]) == sorted([(1, 2, 1.0), (2, 50, 1.0)] * 2 + [(1, 2, near), (2, 50, near)])
+
+
 def test_estimates_keep_to_their_bounds():
     rng = np.random.default_rng(5)
     m = rng.standard_normal((2000, 64))
@@ -245,3 +282,30 @@ def test_pipeline_stages_against_brute_force(stages, spark):
     before, after = stages["best-fit packing"]
     assert {r["doc_id"] for r in after} == {r["doc_id"] for r in before}
     assert all(0 < r["length"] <= 1024 and r["offset"] + r["length"] <= 1024 for r in after)
+
+
+def test_pipeline_stages_on_odd_tables(spark, tmp_path):
+    import corpus_pipeline as p
+    from wattloom.llm.common import materialize
+
+    random.seed(31)
+    words = lambda n: " ".join(random.choices(["lorem", "ipsum", "dolor", "sit", "amet", "magna"], k=n))
+    passage = words(40)
+    texts = [(1, words(50)), (None, words(30)), (None, None), (2, None), (3, ""), (4, words(4000)), (5, words(20)), (5, words(25)), (6, passage), (None, passage), (7, "x\ny"), (7, "x\ny"), (8, "\0 \0"), (9, "\n\n\n\n")]
+    clashes = ["__row", "__runs", "__id", "__n_removed", "__keep", "__host", "component_id", "row", "n_hit", "__contaminated"]
+    rows = [(i, t, None if k % 4 == 0 else "en", "s" if k % 3 else None, len(t or ""), *["own"] * len(clashes)) for k, (i, t) in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{c} string" for c in clashes))
+    spark.createDataFrame([(1, 1, 0), (4, 1, 0), (5, 1, 0), (None, 0, 1)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, passage), (None, None)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    kept = docs
+    for name, stage in p.STAGES[:-1]:
+        after = materialize(stage(spark, kept, str(tmp_path)), "odd")
+        assert after.columns == docs.columns and {r["__keep"] for r in after.collect()} == {"own"}, name
+        assert stage(spark, kept.limit(0), str(tmp_path)).count() == 0
+        kept = after
+    left = sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str)
+    assert (None, None) in left and (2, None) in left and (1, texts[0][1]) in left and len([x for x in left if x[0] == 5]) == 2
+    assert not [x for x in left if x[1] == passage] and len([x for x in left if x[0] == 7]) == 1
+    packed = p.STAGES[-1][1](spark, kept, str(tmp_path)).collect()
+    assert len({(r["doc_id"], r["start"], r["ids_crc32"]) for r in packed}) >= len(set(left)) - 3 and all(r["offset"] + r["length"] <= 1024 for r in packed)
+    assert p.STAGES[-1][1](spark, kept.limit(0), str(tmp_path)).count() == 0
