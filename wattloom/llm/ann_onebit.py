@@ -13,9 +13,10 @@ standard errors make the bounds.
    of it can be among a query's k nearest.
 2. Classes are dealt to chunks and queries to blocks, both of bounded size, and
    every block meets every chunk in a group of its own.  A task streams a group's
-   codes past its queries and keeps a running bar for each query, the (k + 1)-th
-   best lower bound so far; what reaches it with its upper bound is a candidate.
-3. The bar over all chunks drops most candidates.  The others are scored on the
+   codes past its queries and keeps each query's k + 1 best lower bounds; over all
+   chunks the (k + 1)-th best is the query's bar.
+3. A second pass over the codes gives what reaches the bar with its upper bound:
+   a few hundredths, fewer the more vectors there are.  These are scored on the
    original vectors in double precision.
 
 Nothing passes through the driver but three counts.
@@ -30,6 +31,8 @@ part.  Fewer than k candidates: all of them.  No vectors: no rows.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -39,7 +42,8 @@ from pyspark.sql import functions as F
 from .common import materialize, tidied
 
 INDEX = "vec_id long, vector binary, code binary, correction double"
-CANDIDATES = "query long, cand long, low double, high double"
+LOWS = "query long, low double"
+CANDIDATES = "query long, cand long"
 _PLANES = 4
 _PARTS = 2048  # codes that are compared with as many queries as make a matrix of a million
 
@@ -49,6 +53,7 @@ def code_bits(dims: int) -> int:
     return max(64, -(-8 * dims // 64) * 64)
 
 
+@lru_cache(maxsize=4)
 def rotation(dims: int, seed: int) -> np.ndarray:
     """A random orthogonal matrix, the same for the same seed."""
     q, r = np.linalg.qr(np.random.default_rng(seed).standard_normal((dims, dims)))
@@ -116,12 +121,11 @@ def build_index(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str =
     """One row for each vector that takes part, written: row (its own number), vec_id, vector, code, correction, cls (equal vectors have the same)."""
 
     def run(batches):
-        turn = rotation(code_bits(dims), seed)[:, :dims]
         for batch in batches:
             rows, m = _matrix(batch.column(1), dims)
             if not len(rows):
                 continue
-            code, _, correction = encode(m, turn)
+            code, _, correction = encode(m, rotation(code_bits(dims), seed)[:, :dims])
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows)).cast(pa.int64()), pa.array([x.tobytes() for x in m], pa.binary()), pa.array([x.tobytes() for x in code], pa.binary()), pa.array(correction)], names=["vec_id", "vector", "code", "correction"])
 
     some = vectors.where(F.col(f"`{id_col}`").isNotNull()).select(F.col(f"`{id_col}`"), F.col(f"`{vector_col}`"))
@@ -129,16 +133,22 @@ def build_index(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str =
     return materialize(made.select(F.monotonically_increasing_id().alias("row"), "*", F.sha2("vector", 256).alias("cls")), "onebit-index")
 
 
-def _meet(dims: int, seed: int, k: int, width: float):
-    """Groups of (block, chunk), queries first: candidates of each query."""
+def _meet(dims: int, seed: int, k: int, width: float, bars: bool):
+    """Groups of (block, chunk), queries first: each query's k best lower bounds (bars), or what reaches its bar."""
 
     def run(batches):
-        turn = rotation(code_bits(dims), seed)[:, :dims]
-        now, waiting, queries = None, [], None
+        now, waiting, held = None, [], None
 
         def known():
-            vectors = np.frombuffer(b"".join(v for _, v in waiting), dtype=np.float64).reshape(-1, dims)
-            return Queries(vectors, turn), np.array([r for r, _ in waiting], dtype=np.int64), np.full((len(waiting), k), -9.0)
+            vectors = np.frombuffer(b"".join(w[1] for w in waiting), dtype=np.float64).reshape(-1, dims)
+            ids, bar = (np.array([w[c] for w in waiting], dtype=t) for c, t in ((0, np.int64), (2, np.float64)))
+            return Queries(vectors, rotation(code_bits(dims), seed)[:, :dims]), ids, bar, np.full((len(waiting), k), -9.0)
+
+        def lows():
+            if held and bars:
+                _, ids, _, best = held
+                some = best > -9
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids, some.sum(axis=1))), pa.array(best[some])], names=["query", "low"])
 
         for whole in batches:
             group = np.asarray(whole.column(0), dtype=np.int64) << 32 | np.asarray(whole.column(1), dtype=np.int64)
@@ -146,35 +156,36 @@ def _meet(dims: int, seed: int, k: int, width: float):
             cuts = np.flatnonzero((group[1:] != group[:-1]) | (asks[1:] != asks[:-1])) + 1
             for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), whole.num_rows], strict=True):
                 if group[a] != now:
-                    now, waiting, queries = group[a], [], None
+                    yield from lows()
+                    now, waiting, held = group[a], [], None
                 part = whole.slice(a, b - a)
                 if asks[a]:
-                    waiting += zip(part.column(3).to_pylist(), part.column(4).to_pylist(), strict=True)
+                    waiting += zip(*(part.column(c).to_pylist() for c in (3, 4, 5)), strict=True)
                     continue
                 if not waiting:
                     continue
-                queries = queries or known()
+                held = held or known()
                 for s in range(0, part.num_rows, _PARTS):
                     some = part.slice(s, _PARTS)
                     rows = np.asarray(some.column(3))
-                    codes = np.frombuffer(b"".join(some.column(5).to_pylist()), dtype=np.uint64).reshape(len(rows), -1)
-                    yield from _candidates(*queries, rows, codes, np.asarray(some.column(6)), width)
+                    codes = np.frombuffer(b"".join(some.column(6).to_pylist()), dtype=np.uint64).reshape(len(rows), -1)
+                    yield from _compare(*held, rows, codes, np.asarray(some.column(7)), width, bars)
+        yield from lows()
 
     return run
 
 
-def _candidates(queries: Queries, ids: np.ndarray, best: np.ndarray, rows: np.ndarray, codes: np.ndarray, correction: np.ndarray, width: float):
-    """best: of each query the highest lower bounds so far; it is brought up to date."""
+def _compare(queries: Queries, ids: np.ndarray, bar: np.ndarray, best: np.ndarray, rows: np.ndarray, codes: np.ndarray, correction: np.ndarray, width: float, bars: bool):
+    """Bring best, the highest lower bounds of each query so far, up to date; or yield what reaches the bar."""
     k = best.shape[1]
     for q in range(0, len(ids), 512):
         part = slice(q, q + 512)
         value, error = queries.estimate(part, codes, correction)
-        low, high = value - width * error, value + width * error
-        every = np.concatenate([best[part], low], axis=1)
-        best[part] = np.partition(every, -k, axis=1)[:, -k:]
-        bar = best[part].min(axis=1)
-        qi, ci = np.nonzero(high >= bar[:, None])
-        yield pa.RecordBatch.from_arrays([pa.array(ids[part][qi]), pa.array(rows[ci]), pa.array(low[qi, ci]), pa.array(high[qi, ci])], names=["query", "cand", "low", "high"])
+        if bars:
+            best[part] = np.partition(np.concatenate([best[part], value - width * error], axis=1), -k, axis=1)[:, -k:]
+        else:
+            qi, ci = np.nonzero(value + width * error >= bar[part, None])
+            yield pa.RecordBatch.from_arrays([pa.array(ids[part][qi]), pa.array(rows[ci])], names=["query", "cand"])
 
 
 def _score(dims: int):
@@ -199,14 +210,18 @@ def candidates(index: DataFrame, queries: DataFrame, *, k: int = 5, dims: int, s
     blocks = max(1, -(-n_asked // query_block))
     dealt = lambda count: F.pmod(F.xxhash64("row"), F.lit(count)).cast("int")
     every = lambda count: F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
-    none = {"vector": F.lit(None).cast("binary"), "code": F.lit(None).cast("binary"), "correction": F.lit(None).cast("double")}
-    ask = asked.select(dealt(blocks).alias("block"), every(chunks).alias("chunk"), F.lit(True).alias("asks"), "row", "vector", none["code"].alias("code"), none["correction"].alias("correction"))
-    met = ask.unionByName(classes.select(every(blocks).alias("block"), dealt(chunks).alias("chunk"), F.lit(False).alias("asks"), "row", none["vector"].alias("vector"), "code", "correction"))
-    met = met.repartition("block", "chunk").sortWithinPartitions("block", "chunk", F.desc("asks"))
-    found = materialize(met.mapInArrow(tidied(_meet(dims, seed, k + 1, width)), CANDIDATES), "candidates")
-    best = found.withColumn("place", F.row_number().over(Window.partitionBy("query").orderBy(F.desc("low"), "cand"))).where(F.col("place") <= k + 1)
-    bars = materialize(best.groupBy("query").agg(F.when(F.count("*") > k, F.min("low")).otherwise(F.lit(-9.0)).alias("bar")), "bars")
-    return found.join(bars, "query").where(F.col("high") >= F.col("bar")).select("query", "cand"), classes, members
+    null = lambda kind, name: F.lit(None).cast(kind).alias(name)
+
+    def met(ask: DataFrame) -> DataFrame:
+        left = ask.select(dealt(blocks).alias("block"), every(chunks).alias("chunk"), F.lit(True).alias("asks"), "row", "vector", "bar", null("binary", "code"), null("double", "correction"))
+        right = classes.select(every(blocks).alias("block"), dealt(chunks).alias("chunk"), F.lit(False).alias("asks"), "row", null("binary", "vector"), null("double", "bar"), "code", "correction")
+        return left.unionByName(right).repartition("block", "chunk").sortWithinPartitions("block", "chunk", F.desc("asks"))
+
+    lows = met(asked.withColumn("bar", F.lit(-9.0))).mapInArrow(tidied(_meet(dims, seed, k + 1, width, True)), LOWS)
+    best = lows.withColumn("place", F.row_number().over(Window.partitionBy("query").orderBy(F.desc("low")))).where(F.col("place") <= k + 1)
+    bars = best.groupBy(F.col("query").alias("row")).agg(F.when(F.count("*") > k, F.min("low")).otherwise(F.lit(-9.0)).alias("bar"))
+    known = materialize(asked.join(bars, "row"), "bars")
+    return met(known).mapInArrow(tidied(_meet(dims, seed, k + 1, width, False)), CANDIDATES), classes, members
 
 
 def search(index: DataFrame, queries: DataFrame, *, k: int = 5, dims: int, seed: int = 7, width: float = 2.5, chunk: int = 65_536, query_block: int = 2048) -> DataFrame:
