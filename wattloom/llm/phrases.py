@@ -1,8 +1,8 @@
 """Substring deduplication with automata of repeated phrases.
 
 1. Passages of 50 words and more that recur are confirmed among the contexts of a
-   shared anchor (see anchored): of each window the owner is the document of the
-   smallest id that has it.  A passage is a stretch of its owner's text.
+   shared anchor (see anchored): of each window the owner is a document of a smaller
+   id that has it, as a rule the smallest.  A passage is a stretch of its owner's text.
 2. The passages of one owner are a shard.  They are cut into phrases of half a
    window, and the shard's phrases are compiled into an Aho-Corasick automaton over
    words.  Whatever repeats over a window holds one whole phrase.
@@ -34,11 +34,11 @@ from pyspark.sql import functions as F
 from . import anchored
 from .anchored import context_batches, merged
 from .common import apart, materialize, named, parts, sorted_groups, tidied
-from .kernels import RangeHasher, U64, Words, mix, signed, text_blocks, window_minima
+from .kernels import RangeHasher, U64, Words, mix, text_blocks, window_minima
 
 GRAM = 10
 OWNERS = "a long, c long, owner long, owner_row int, start int, end int"
-WINDOWS = "w long, a long, c long, doc long, row int, start int"
+HALVES = "key long, cls long, a long, c long, doc long, row int, pos int, left int, content binary, lo int, hi int, edge int"
 SPANS = "doc_id long, row int, spans array<struct<start:int,end:int>>"
 REPORT = "doc_id long, n_words long, n_removed long, kept_sha256 string, spans array<struct<start:int,end:int>>"
 
@@ -105,13 +105,61 @@ class WordUnit:
         columns = [pa.array(key[r[first]]), pa.array(cls[r[first]]), pa.array(doc[o[first]]), pa.array(own[o[first]]), pa.array(start[first].astype(np.int32)), pa.array((start[last] + self.size).astype(np.int32))]
         yield pa.RecordBatch.from_arrays(columns, names=["a", "c", "owner", "owner_row", "start", "end"])
 
-    def window_rows(self, batches):
+    def halve(self, batches):
+        """Each context twice: for the anchors in the first and in the second half of their places in a window."""
+        names = [c.split()[0] for c in HALVES.split(", ")]
         for whole in batches:
             for batch in parts(whole, whole.schema.get_field_index("content"), 1 << 20):
-                get = lambda c: np.asarray(batch.column(batch.schema.get_field_index(c)))  # noqa: B023, E731
-                row, at, h = self.windows(batch.column(batch.schema.get_field_index("content")).to_pylist(), get("key"))
-                columns = [pa.array(signed(h)), *(pa.array(get(c)[row]) for c in ("key", "cls", "doc", "row")), pa.array((get("pos")[row] - get("left")[row] + at).astype(np.int32))]
-                yield pa.RecordBatch.from_arrays(columns, names=["w", "a", "c", "doc", "row", "start"])
+                rows = []
+                for r in batch.to_pylist():
+                    words, left = r["content"].split(b" "), r["left"]
+                    right = len(words) - left
+                    middle = (r["lo"] + r["hi"]) // 2
+                    for lo, hi in ((r["lo"], middle), (middle, r["hi"])):
+                        if lo >= hi or max(lo, self.size - right) > min(left, hi - 1):
+                            continue  # no window has its anchor there
+                        core = b" ".join(words[left - lo : left - hi + 1 + self.size])
+                        start, end = max(0, left - hi + 1), min(len(words), left - lo + self.size)
+                        part = b" ".join(words[start:end])
+                        rows.append((_hash(r["key"], lo, core), _hash(left - start, part), r["a"], r["c"], r["doc"], r["row"], r["pos"], left - start, part, lo, hi, end - left))
+                yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in rows], t) for k, t in enumerate([pa.int64()] * 5 + [pa.int32()] * 3 + [pa.binary()] + [pa.int32()] * 3)], names=names)
+
+
+def _hash(*values) -> int:
+    return int.from_bytes(hashlib.blake2b(b"\0".join(p if isinstance(p, bytes) else str(p).encode() for p in values), digest_size=8).digest(), "little", signed=True)
+
+
+def _split(rows: DataFrame, unit: WordUnit, limit: int) -> DataFrame:
+    """OWNERS of the classes of anchors with more than `limit` contexts.
+
+    A group is split in two by where the anchor stands in the window: for either half
+    the windows share a longer core, which becomes part of the group's key.  Of
+    contexts that are equal within a half, all windows are the smallest document's,
+    and only that goes on.  At the latest when one place is left, all contexts of a
+    group are equal.
+    """
+    rows = rows.select("key", "a", "c", "doc", "row", "pos", "left", "content", F.lit(0).alias("lo"), F.lit(unit.window).alias("hi"))
+    out, level = [], 0
+    while True:
+        level += 1
+        halves = materialize(rows.mapInArrow(tidied(unit.halve), HALVES), f"halves-{level}")
+        fields = ["a", "c", "doc", "row", "pos", "left", "content", "lo", "hi", "edge"]
+        classes = materialize(halves.groupBy("key", "cls").agg(F.min_by(F.struct(*fields), F.struct("doc", "row", "pos", "a", "c")).alias("one"), F.max("doc").alias("last")), f"half-classes-{level}")
+        copied = materialize(classes.where(F.col("last") > F.col("one.doc")).select("key", "cls", F.col("one.doc").alias("owner"), F.col("one.row").alias("owner_row"), (F.col("one.pos") - F.col("one.left")).alias("start"), (F.col("one.pos") + F.col("one.edge")).alias("end")), f"half-copies-{level}")
+        out.append(halves.join(copied, ["key", "cls"]).where(F.col("doc") > F.col("owner")).select("a", "c", "owner", "owner_row", "start", "end"))
+        sizes = materialize(classes.groupBy("key").agg(F.count("*").alias("k")).where("k > 1"), f"half-groups-{level}")
+        few = F.col("k") <= limit
+        compared = sorted_groups(classes.join(sizes.where(few), "key").select("key", "cls", "one.doc", "one.row", "one.pos", "one.left", "one.content"), ["key"], [], unit.owners, OWNERS)
+        named_ = compared.withColumnsRenamed({"a": "key", "c": "cls"})
+        out.append(materialize(named_, f"half-owners-{level}").join(classes.select("key", "cls", "one.a", "one.c"), ["key", "cls"]).select("a", "c", "owner", "owner_row", "start", "end"))
+        many = sizes.where(~few)
+        if many.isEmpty():
+            break
+        rows = classes.join(many, "key").select("key", "one.*").drop("edge")
+    whole = out[0]
+    for part in out[1:]:
+        whole = whole.unionByName(part)
+    return whole
 
 
 def _owners(docs: DataFrame, found: anchored.Anchors, unit: WordUnit, limit: int) -> DataFrame:
@@ -130,11 +178,7 @@ def _owners(docs: DataFrame, found: anchored.Anchors, unit: WordUnit, limit: int
     else:
         texts = materialize(texts, "contexts")
         some = sorted_groups(texts.where(few).select(*columns), ["key"], [], unit.owners, OWNERS)
-        # Anchors of very many contexts: their windows are rows, with a minimum for each different one.
-        each = materialize(texts.where(~few).mapInArrow(tidied(unit.window_rows), WINDOWS), "windows")
-        least = materialize(each.groupBy("w").agg(F.min(F.struct("doc", "row", "start")).alias("o"), F.max("doc").alias("last")).where(F.col("last") > F.col("o.doc")).select("w", "o"), "window-owners")
-        known = each.join(least, "w").where(F.col("doc") > F.col("o.doc"))
-        some = some.unionByName(known.groupBy("a", "c", F.col("o.doc").alias("owner"), F.col("o.row").alias("owner_row")).agg(F.min("o.start").alias("start"), (F.max("o.start") + unit.size).alias("end")))
+        some = some.unionByName(_split(texts.where(~few), unit, limit))
     firsts = found.classes.select("a", "c", F.col("first.doc_id").alias("first"))
     return materialize(whole.unionByName(some).join(firsts, ["a", "c"]), "owners")
 
