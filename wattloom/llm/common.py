@@ -57,12 +57,13 @@ def parts(batch: pa.RecordBatch, column: int, most: int = 4 << 20) -> Iterator[p
         yield batch.slice(first)
 
 
-def sorted_groups(df: DataFrame, keys: list[str], order: list[str], fn, schema: str, least: int = 4000) -> DataFrame:
+def sorted_groups(df: DataFrame, keys: list[str], order: list[str], fn, schema: str, least: int = 4000, heavy: bool = False) -> DataFrame:
     """Runs fn on pyarrow tables of whole groups, in key order.
 
     Rows are shuffled by the keys and sorted; each call gets at least `least`
     rows (fewer at the end), cut where a group ends.  So many small groups cost
-    one call, and a group is never split.
+    one call, and a group is never split.  heavy: fn takes long for its bytes, so
+    adaptive execution, which goes by bytes, is kept from putting partitions together.
     """
 
     def run(batches):
@@ -93,7 +94,8 @@ def sorted_groups(df: DataFrame, keys: list[str], order: list[str], fn, schema:
         if rows:
             yield from fn(pa.Table.from_batches(held).combine_chunks())
 
-    return df.repartition(*keys).sortWithinPartitions(*keys, *order).mapInArrow(tidied(run), schema)
+    dealt = df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys) if heavy else df.repartition(*keys)
+    return dealt.sortWithinPartitions(*keys, *order).mapInArrow(tidied(run), schema)
 
 
 def named(df: DataFrame, key: str = "doc_id") -> tuple[DataFrame, DataFrame]:

@@ -22,6 +22,13 @@ def _least(links: DataFrame, key: str, other: str, own: bool) -> DataFrame:
     return found.select(apart(key).alias(key), (F.least(key, "m") if own else F.col("m")).alias("m"))
 
 
+def _settled(edges: DataFrame) -> bool:
+    """Whether all links are stars: no node has two smaller neighbours, or a smaller and a larger one."""
+    ends = F.array(F.struct(F.col("hi").alias("node"), F.lit(1).alias("up")), F.struct(F.col("lo").alias("node"), F.lit(0).alias("up")))
+    nodes = edges.select(F.explode(ends).alias("e")).select("e.*").groupBy("node").agg(F.sum("up").alias("ups"), F.min("up").alias("least"))
+    return nodes.where("ups > 1 or (ups = 1 and least = 0)").agg(F.count("*")).first()[0] == 0
+
+
 def components(links: DataFrame) -> DataFrame:
     """(id, component) of every node of links (a, b); component is the smallest id reachable.
 
@@ -36,12 +43,7 @@ def components(links: DataFrame) -> DataFrame:
         return spark.read.schema(df.schema).parquet(made[-1])
 
     edges = written(links.where("a <> b").select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).distinct(), "edges")
-    state = None
-    while True:
-        found = edges.agg(F.count("*"), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)"))).first()
-        if tuple(found) == state:
-            break
-        state = tuple(found)
+    while not _settled(edges):
         both = edges.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionByName(edges.select(F.col("lo").alias("u"), F.col("hi").alias("v")))
         large = both.where("v > u").join(_least(both, "u", "v", True), "u").select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct()
         large = written(large, "large")

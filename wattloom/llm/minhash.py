@@ -315,7 +315,7 @@ def linked_sets(sets: list[np.ndarray], percent: int) -> np.ndarray:
         row, column = row[keep], (np.cumsum(shared) - 1)[column[keep]]
         order = np.argsort(column, kind="stable")
         row, column = row[order], column[order]
-        width = max(256, (1 << 22) // max(1, n))
+        width = max(256, (1 << 20) // max(1, n))
         for c in range(0, int(shared.sum()), width):
             a, b = np.searchsorted(column, [c, c + width])
             m = np.zeros((n, width), dtype=np.float32)
@@ -335,7 +335,7 @@ def _family_links(members: DataFrame, texts: DataFrame, shingle: int, percent: i
     own = F.pmod(F.xxhash64("row"), F.col("parts")).cast("int")
     at = F.when((F.col("row") == F.col("family")) & (F.col("parts") > 1), F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(F.array(own))
     dealt = members.withColumn("parts", parts).join(texts.select("row", "text"), "row").withColumn("part", F.explode(at)).select("family", "part", "row", "parts", "text")
-    stars = materialize(sorted_groups(dealt, ["family", "part"], ["row"], _star(shingle, percent), STARS, least=512), "stars")
+    stars = materialize(sorted_groups(dealt, ["family", "part"], ["row"], _star(shingle, percent), STARS, least=256, heavy=True), "stars")
     found = stars.where("other is not null").select(F.col("row").alias("a"), F.col("other").alias("b"))
     found = found.unionByName(stars.where("linked").select(F.col("row").alias("a"), F.col("family").alias("b")))
     wide = stars.where("diff is not null")
