@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann_onebit, common, decontam, lines, minhash, packing, phrases, quality, suffix_repeats, token_files, urls
+from . import ann_onebit, common, conversations, decontam, lines, minhash, packing, phrases, quality, suffix_repeats, token_files, urls
 
 URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/")]
 
@@ -72,6 +72,93 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def damaged_conversations(rows: DataFrame) -> DataFrame:
+    """The contract's damage, by crc32 of `conv_id:turn`."""
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    rows = rows.select("conv_id", "turn", text("role").alias("role"), text("text").alias("text"), (F.crc32(F.concat(text("conv_id"), F.lit(":"), text("turn"))) % 20).alias("kind"))
+    damage = F.col("kind")
+    texts = F.when(damage == 1, "").when(damage == 2, F.translate("text", ".!?", "")).otherwise(F.col("text"))
+    copies = F.explode(F.when(damage == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
+    return rows.where(damage != 0).select("conv_id", "turn", F.when(damage == 4, "user").otherwise(F.col("role")).alias("role"), texts.alias("text"), copies.alias("copy")).drop("copy")
+
+
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "conversations")
+    repair = conversations.repair(damaged_conversations(rows), every=rows)
+    digests = conversations.digests(repair.rows).alias("d")
+    joined = repair.report.alias("r").join(digests, F.col("r.conv_id").eqNullSafe(F.col("d.conv_id")), "left")
+    return joined.select("r.*", F.coalesce("repaired_sha256", F.sha2(F.lit(b""), 256)).alias("repaired_sha256"))
+
+
+def _repair_sql() -> str:
+    """The least edits by a sweep over each conversation's rows: for each state the least of ten digits of cost and the audit."""
+
+    def plus(v: str, cost: str, edit: str) -> str:
+        return f"lpad((left({v}, 10)::BIGINT + {cost})::VARCHAR, 10, '0') || substr({v}, 11) || '{edit}'"
+
+    def ways(states: list[str], edit: str) -> str:
+        return ", ".join(plus(v, {"K": "cut", "R": "2 + cut"}[edit], edit) for v in states)
+
+    return f"""
+        WITH RECURSIVE src AS (
+          SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+            coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k FROM conversations
+        ), crc AS (
+          SELECT *, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length(k) + 1), lambda i: ascii(substr(k, i, 1))::BIGINT)),
+            lambda acc, b: list_reduce(list_prepend(xor(acc, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+              lambda x, z: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384::BIGINT) ELSE x >> 1 END)), 4294967295::BIGINT) % 20 AS d FROM src
+        ), dam AS (
+          SELECT conv_id, turn, CASE d WHEN 4 THEN 'user' ELSE role END AS role, unnest(CASE d WHEN 3 THEN [0, 1] ELSE [0] END) AS copy,
+            CASE d WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text FROM crc WHERE d <> 0
+        ), num AS (
+          SELECT conv_id, turn, role, text, left(role, 1) AS f,
+            row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+            row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) > 1 AS again,
+            regexp_extract(text, '([^\\x20\\x09-\\x0D])[\\x20\\x09-\\x0D]*$', 1) AS final FROM dam
+        ), flt AS (
+          SELECT *, final = '' AS blank, final <> '' AND again AS duplicate, final NOT IN ('', '.', '!', '?') AND NOT again AS truncated,
+            i > 1 AND coalesce(lag(f) OVER (PARTITION BY conv_id ORDER BY i) || f, '') NOT IN ('su', 'ua', 'au') AS illegal FROM num
+        ), dp AS (
+          SELECT conv_id, 0::BIGINT AS i, '0000000000' AS v0, NULL::VARCHAR AS v1, '0000000002I' AS v2, '0000000004II' AS v3 FROM (SELECT DISTINCT conv_id FROM flt)
+          UNION ALL
+          SELECT conv_id, i, t0, t1, c2, least(t3, {plus("c2", "2", "I")}) FROM (
+            SELECT *, least(t2, {plus("t0", "2", "I")}, {plus("t1", "2", "I")}, {plus("t3", "2", "I")}) AS c2 FROM (
+              SELECT conv_id, i, {plus("v0", "3", "D")} AS t0,
+                least({plus("v1", "3", "D")}, CASE WHEN ok AND f = 's' THEN {ways(["v0"], "K")} END) AS t1,
+                least({plus("v2", "3", "D")}, CASE WHEN ok AND f = 'u' THEN least({ways(["v0", "v1", "v3"], "K")}) END, CASE WHEN ok THEN least({ways(["v0", "v1", "v3"], "R")}) END) AS t2,
+                least({plus("v3", "3", "D")}, CASE WHEN ok AND f = 'a' THEN {ways(["v2"], "K")} END, CASE WHEN ok THEN {ways(["v2"], "R")} END) AS t3
+              FROM (SELECT dp.*, flt.f, NOT blank AND NOT duplicate AS ok, truncated::BIGINT AS cut, flt.i AS i2 FROM dp JOIN flt ON flt.conv_id IS NOT DISTINCT FROM dp.conv_id AND flt.i = dp.i + 1) AS x(conv_id, i0, v0, v1, v2, v3, f, ok, cut, i)
+            )
+          )
+        ), ends AS (
+          SELECT conv_id, least(arg_max(v0, i), arg_max(v3, i)) AS v FROM dp GROUP BY conv_id
+        ), best AS (
+          SELECT conv_id, left(v, 10)::BIGINT AS cost, substr(v, 11) AS audit FROM ends
+        ), edits AS (
+          SELECT conv_id, p, substr(audit, p, 1) AS e,
+            sum((substr(audit, p, 1) <> 'I')::INT) OVER (PARTITION BY conv_id ORDER BY p) AS i,
+            sum((substr(audit, p, 1) <> 'D')::INT) OVER (PARTITION BY conv_id ORDER BY p) AS item
+          FROM (SELECT conv_id, audit, unnest(range(1, length(audit) + 1)) AS p FROM best)
+        ), kept AS (
+          SELECT edits.conv_id, p, e, role, CASE e WHEN 'I' THEN '' ELSE text END AS text, item,
+            max((e = 'K' AND item = 1 AND f = 's')::INT) OVER (PARTITION BY edits.conv_id) AS system
+          FROM edits LEFT JOIN num ON num.conv_id IS NOT DISTINCT FROM edits.conv_id AND num.i = edits.i
+        ), texts AS (
+          SELECT conv_id, sha256(string_agg(CASE WHEN e = 'K' THEN role WHEN (item - 1 - system) % 2 = 0 THEN 'user' ELSE 'assistant' END || ':' || text, chr(10) ORDER BY p)) AS repaired_sha256
+          FROM kept WHERE e <> 'D' GROUP BY conv_id
+        ), facts AS (
+          SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count_if(blank) AS blank, count_if(duplicate) AS duplicate, count_if(truncated) AS truncated, count_if(illegal) AS illegal
+          FROM flt GROUP BY conv_id
+        )
+        SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+          coalesce(illegal, 0)::BIGINT AS illegal, coalesce(cost, 0)::BIGINT AS cost, coalesce(audit, '') AS audit, coalesce(repaired_sha256, sha256('')) AS repaired_sha256
+        FROM (SELECT DISTINCT conv_id FROM conversations) AS o
+        LEFT JOIN facts ON facts.conv_id IS NOT DISTINCT FROM o.conv_id
+        LEFT JOIN best ON best.conv_id IS NOT DISTINCT FROM o.conv_id
+        LEFT JOIN texts ON texts.conv_id IS NOT DISTINCT FROM o.conv_id
+    """
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_repeats": op1_suffix_repeats,
     "op2_onebit_ann": op2_onebit_ann,
@@ -83,9 +170,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_files": op8_token_files,
     "op9_url_rules": op9_url_rules,
     "op10_decontamination": op10_decontamination,
+    "op11_conversation_repair": op11_conversation_repair,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op11_conversation_repair": _repair_sql(),
     "op1_suffix_repeats": """
         WITH d AS (
           SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
