@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann_onebit, common, conversations, decontam, lines, minhash, packing, phrases, quality, suffix_repeats, token_files, urls
+from . import ann_onebit, common, conversations, decontam, divergence, lines, minhash, packing, phrases, quality, suffix_repeats, token_files, urls
 
 URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/")]
 
@@ -159,6 +159,10 @@ def _repair_sql() -> str:
     """
 
 
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(_table(spark, sf_dir, "documents"), least=10, top=10)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_repeats": op1_suffix_repeats,
     "op2_onebit_ann": op2_onebit_ann,
@@ -171,10 +175,44 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_url_rules": op9_url_rules,
     "op10_decontamination": op10_decontamination,
     "op11_conversation_repair": op11_conversation_repair,
+    "op13_source_divergence": op13_source_divergence,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op11_conversation_repair": _repair_sql(),
+    "op13_source_divergence": """
+        WITH d AS (
+          SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+            regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS terms FROM documents
+        ), w AS (
+          SELECT id, lang, source, unnest(terms) AS term FROM d
+        ), kept AS (
+          SELECT lang, term FROM (SELECT DISTINCT id, lang, term FROM w) GROUP BY lang, term HAVING count(*) >= 10
+        ), c AS (
+          SELECT lang, source, term, count(*) AS n FROM w SEMI JOIN kept USING (lang, term) GROUP BY lang, source, term
+        ), v AS (
+          SELECT lang, count(*) AS v FROM kept GROUP BY lang
+        ), g AS (
+          SELECT lang, source, coalesce(v, 0) AS v, coalesce(total, 0) AS total
+          FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN v USING (lang) LEFT JOIN (SELECT lang, source, sum(n) AS total FROM c GROUP BY lang, source) USING (lang, source)
+        ), p AS (
+          SELECT g.lang, g.source, kept.term, coalesce(n, 0) AS n, 1 + (1000000000::HUGEINT * (coalesce(n, 0) + 2)) // (total + 2 * v) AS p
+          FROM g JOIN kept USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = kept.term
+        ), q AS (
+          SELECT lang, term, 1 + (1000000000::HUGEINT * (n + 2)) // (total + 2 * v) AS q
+          FROM (SELECT lang, term, sum(n) AS n FROM c GROUP BY lang, term) JOIN (SELECT lang, any_value(v) AS v, sum(total) AS total FROM g GROUP BY lang) USING (lang)
+        ), s AS (
+          SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+          FROM p AS a JOIN p AS b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY a.lang, a.source, b.source
+        ), r AS (
+          SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0)::BIGINT AS value
+          FROM g AS a JOIN g AS b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+          UNION ALL
+          SELECT lang, source, 'term', term, ((p - q) * (p - q) // (p + q))::BIGINT FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q
+        )
+        SELECT lang, source, part, item, value, rank::INTEGER AS rank
+        FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM r) WHERE part = 'pair' OR rank <= 10
+    """,
     "op1_suffix_repeats": """
         WITH d AS (
           SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
