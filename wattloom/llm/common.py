@@ -145,4 +145,5 @@ def add_columns(df: DataFrame, fn, inputs: list[str], outputs: str, replaced: st
                 columns[hole] = new.pop(0)
             yield pa.RecordBatch.from_arrays([*columns, *new], names=[*names, *added])
 
-    return df.mapInArrow(tidied(run), ", ".join([*fields, *([outputs] if outputs else [])]))
+    plain = df.toDF(*(f"c{k}" for k in range(len(names))))  # mapInArrow takes no names with dots
+    return plain.mapInArrow(tidied(run), ", ".join([*fields, *([outputs] if outputs else [])]))

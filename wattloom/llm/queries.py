@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann_onebit, common, conversations, decontam, divergence, lines, minhash, packing, phrases, quality, suffix_repeats, token_files, urls
+from . import ann_onebit, bpe, common, conversations, decontam, divergence, lines, minhash, packing, phrases, quality, suffix_repeats, token_files, urls
 
 URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/")]
 
@@ -159,6 +159,13 @@ def _repair_sql() -> str:
     """
 
 
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    ids = bpe.encode(_table(spark, sf_dir, "documents").select("doc_id", "text"), ranks=ranks, pattern=public_tokenizers.PATTERN).drop("text")
+    decoded = bpe.id_bytes(bpe.decode(ids, ranks=ranks))
+    return decoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2("id_bytes", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(_table(spark, sf_dir, "documents"), least=10, top=10)
 
@@ -175,6 +182,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_url_rules": op9_url_rules,
     "op10_decontamination": op10_decontamination,
     "op11_conversation_repair": op11_conversation_repair,
+    "op12_byte_bpe": op12_byte_bpe,
     "op13_source_divergence": op13_source_divergence,
 }
 

@@ -22,8 +22,8 @@ import numpy as np
 
 from .kernels import BYTE_VALUES, RangeHasher, U64, ragged, text_blocks
 
-_SLOTS = 1 << 19
-_POOL = 1 << 21
+_SLOTS = 1 << 19  # pieces that the cache of an encoder holds
+_POOL = 1 << 21  # their ids
 
 _LETTER = np.zeros(256, dtype=bool)
 _LETTER[0x41:0x5B] = True
@@ -80,6 +80,7 @@ def cut_words(buf: np.ndarray, offs: np.ndarray, letters: tuple) -> tuple[np.nda
 class Encoder:
     """ids of many texts; one for each process and tokenizer file."""
 
+    slots, pool_size = _SLOTS, _POOL
     _known: dict[tuple, Encoder] = {}
 
     @classmethod
@@ -122,10 +123,10 @@ class Encoder:
         return None
 
     def _clear(self) -> None:
-        self.keys = np.zeros(_SLOTS, dtype=U64)
-        self.begin = np.zeros(_SLOTS, dtype=np.int32)
-        self.length = np.zeros(_SLOTS, dtype=np.int32)
-        self.pool = np.zeros(_POOL, dtype=np.uint32)
+        self.keys = np.zeros(self.slots, dtype=U64)
+        self.begin = np.zeros(self.slots, dtype=np.int32)
+        self.length = np.zeros(self.slots, dtype=np.int32)
+        self.pool = np.zeros(self.pool_size, dtype=np.uint32)
         self.used = 0
 
     def _encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -172,13 +173,13 @@ class Encoder:
         from_where[simple] = np.cumsum(found[1]) - found[1]
         from_where[rest] = len(found[0]) + np.cumsum(other_lengths) - other_lengths
         flat = np.concatenate([found[0], others])[ragged(from_where, lengths)]
-        if self.used + len(flat) > _POOL:
+        if self.used + len(flat) > self.pool_size:
             self._clear()
-        if len(flat) <= _POOL:
+        if len(flat) <= self.pool_size:
             begin = self.used + np.cumsum(lengths) - lengths
             self.pool[self.used : self.used + len(flat)] = flat
             self.used += len(flat)
-            slot = (h % U64(_SLOTS)).astype(np.int64)
+            slot = (h % U64(self.slots)).astype(np.int64)
             self.keys[slot], self.begin[slot], self.length[slot] = h, begin, lengths
         return flat, lengths
 
@@ -189,7 +190,7 @@ class Encoder:
         letters = _classes(buf)
         starts, ends = self.cut(buf, offs, letters)
         h = RangeHasher(BYTE_VALUES[buf])(starts, ends)
-        slot = (h % U64(_SLOTS)).astype(np.int64)
+        slot = (h % U64(self.slots)).astype(np.int64)
         hit = self.keys[slot] == h
         begin, length, pool = self.begin[slot].astype(np.int64), self.length[slot].astype(np.int64), self.pool
         miss = np.flatnonzero(~hit)
