@@ -47,25 +47,42 @@ BILLION = 1_000_000_000
 TERM_BYTES = np.zeros(256, dtype=bool)
 TERM_BYTES[0x61:0x7B] = True  # after lower-casing
 TERM_BYTES[0x80:] = True
-BLOCK = 4 << 20
+BLOCK = 2 << 20
 TOLD = "lang string, source string, shard int, ordinal long, n long"
 _SHARD = "keys binary, target binary, skip binary, final binary"
 _SENT = "shard int, salt int, kind int, lang string, sources array<string>, terms binary, lengths array<int>, term array<int>, source array<int>, n array<long>, " + _SHARD
 
 
+_LOW = np.array([(1 << 8 * k) - 1 for k in range(9)], dtype=np.uint64)  # the first k of eight bytes
+
+
+def _eights(buf: np.ndarray) -> np.ndarray:
+    """Eight bytes from each place on, as one number; zeros beyond the end."""
+    return np.ndarray((len(buf),), "<u8", np.concatenate([buf, np.zeros(8, np.uint8)]), strides=(1,))
+
+
+def _equal(words: Words, other: np.ndarray) -> bool:
+    """Are all words the same as their others, which have the same lengths?  Eight bytes at a time."""
+    at, length, a, b = _eights(words.buf), words.ends - words.starts, words.starts, words.starts[other]
+    while len(a):
+        if ((at[a] ^ at[b]) & _LOW[np.minimum(length, 8)]).any():
+            return False
+        more = length > 8
+        length, a, b = length[more] - 8, a[more] + 8, b[more] + 8
+    return True
+
+
 def _kinds(words: Words) -> tuple[np.ndarray, np.ndarray]:
     """For each word the number of its term, and for each term one of its words."""
     h = words.hash
-    order = np.argsort(h, kind="stable")
+    order = np.argsort(h)
     new = np.ones(len(h), dtype=bool)
     new[1:] = h[order[1:]] != h[order[:-1]]
     kind = np.empty(len(h), dtype=np.int64)
     kind[order] = np.cumsum(new) - 1
     first = order[new]
     length = words.ends - words.starts
-    same = bool((length == length[first][kind]).all())
-    same = same and bool((words.buf[ragged(words.starts, length)] == words.buf[ragged(words.starts[first][kind], length)]).all())
-    if not same:  # two terms share a hash
+    if not (length == length[first][kind]).all() or not _equal(words, first[kind]):  # two terms share a hash
         numbers: dict[bytes, int] = {}
         each = [words.buf[a:b].tobytes() for a, b in zip(words.starts.tolist(), words.ends.tolist(), strict=True)]
         kind = np.array([numbers.setdefault(x, len(numbers)) for x in each], dtype=np.int64)
@@ -73,6 +90,23 @@ def _kinds(words: Words) -> tuple[np.ndarray, np.ndarray]:
     return kind, first
 
 
+class _Router:
+    """Which shard's range a term falls in, by its first eight bytes; where these are a shard's own, by all of them."""
+
+    def __init__(self, firsts: list[bytes]):
+        self.firsts = firsts
+        self.heads = np.array([int.from_bytes(f[:8].ljust(8, b"\0"), "big") for f in firsts], dtype=np.uint64)
+
+    def __call__(self, words: Words, which: np.ndarray) -> np.ndarray:
+        """For each of these words the place of its shard, or -1."""
+        length = words.ends[which] - words.starts[which]
+        heads = (_eights(words.buf)[words.starts[which]] & _LOW[np.minimum(length, 8)]).byteswap()
+        out = np.searchsorted(self.heads, heads, side="right") - 1
+        for k in np.flatnonzero(self.heads[np.maximum(out, 0)] == heads).tolist():
+            out[k] = bisect_right(self.firsts, words.buf[words.starts[which[k]] : words.ends[which[k]]].tobytes()) - 1
+        return out
+
+
 def _names(column: pa.Array) -> tuple[np.ndarray, list[str]]:
     found = column.dictionary_encode()
     return found.indices.to_numpy(zero_copy_only=False).astype(np.int64), found.dictionary.to_pylist()
@@ -164,7 +198,7 @@ class Vocabulary:
 
 def _sender(vocabulary: Vocabulary, salts: int):
     """A block's terms and counts, in a row for each shard that they fall in."""
-    firsts, numbers = vocabulary.firsts, vocabulary.numbers
+    routers, numbers = {lang: _Router(firsts) for lang, firsts in vocabulary.firsts.items()}, vocabulary.numbers
     kinds = [pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.list_(pa.string()), pa.binary(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.int64()), *[pa.binary()] * 4]
     names = [c.split()[0] for c in _SENT.split(", ")]
 
@@ -179,22 +213,20 @@ def _sender(vocabulary: Vocabulary, salts: int):
                 groups, group = np.unique(group, return_inverse=True)
                 keys, n = np.unique(kind * len(groups) + group, return_counts=True)
                 term, group = keys // len(groups), keys % len(groups)
-                text = [words.buf[a:b].tobytes() for a, b in zip(words.starts[first].tolist(), words.ends[first].tolist(), strict=True)]
                 of_lang = groups // len(sources)
                 for number in np.unique(of_lang).tolist():
                     name = langs[number]
-                    if name not in firsts:
+                    if name not in routers:
                         continue
                     mine = of_lang[group] == number
                     terms, back = np.unique(term[mine], return_inverse=True)
-                    shard = np.array([bisect_right(firsts[name], text[t]) for t in terms.tolist()], dtype=np.int64) - 1
-                    entry = shard[back]
+                    entry = routers[name](words, first[terms])[back]
                     order = np.argsort(entry, kind="stable")
                     order = order[np.searchsorted(entry[order], 0) :]  # terms before the first shard are not kept
                     if not len(order):
                         continue
                     own, counts, terms_of = group[mine][order], n[mine][order], back[order]
-                    edges = np.flatnonzero(np.diff(entry[order], prepend=-1, append=len(firsts[name])))
+                    edges = np.flatnonzero(np.diff(entry[order], prepend=-1, append=len(numbers[name])))
                     for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
                         used, term_at = np.unique(terms_of[a:b], return_inverse=True)
                         data, length = _ranges(words, first[terms[used]])
@@ -232,14 +264,16 @@ def _counted(batches):
             buf = np.frombuffer(row["terms"].as_py(), np.uint8)
             ends = np.cumsum(row["lengths"].values.to_numpy()).astype(np.int64)
             ordinal = transducer.ordinals(buf, ends - row["lengths"].values.to_numpy(), ends)[row["term"].values.to_numpy()]
-            source, n = row["source"].values.to_numpy(), row["n"].values.to_numpy()
-            for j, name in enumerate(row["sources"].as_py()):
-                one = (source == j) & (ordinal >= 0)
+            order = np.argsort(row["source"].values.to_numpy(), kind="stable")
+            order = order[ordinal[order] >= 0]
+            ordinal, n, names = ordinal[order], row["n"].values.to_numpy()[order], row["sources"].as_py()
+            edges = np.searchsorted(row["source"].values.to_numpy()[order], np.arange(len(names) + 1)).tolist()
+            for j, name in enumerate(names):
                 if name not in held:
                     if len(held) == 64:
                         yield from told()
                     held[name] = np.zeros(size, dtype=np.int64)
-                held[name][ordinal[one]] += n[one]  # a term is once in a row for each source
+                held[name][ordinal[edges[j] : edges[j + 1]]] += n[edges[j] : edges[j + 1]]  # a term is once in a row for each source
     if at:
         yield from told()
 
