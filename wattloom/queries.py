@@ -1019,3 +1019,6 @@ def classify_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     events.write.parquet(source)
     event_stream.classify_stream(spark, source, events.schema, _rules(spark), out, marks, key=["event_id"], order="ts", partition=["day"]).awaitTermination()
     return spark.read.parquet(out).select("event_id", "regex_id", "curated_reason")
+
+
+from . import run_queries  # noqa: E402, F401  registers more

@@ -54,6 +54,17 @@ def existing_paths(spark: SparkSession, paths: Sequence[str]) -> list[str]:
     return [p for p, h in at if h.getFileSystem(conf).exists(h)]
 
 
+def _literal(value: object) -> str:
+    return str(value) if isinstance(value, (int, float)) and not isinstance(value, bool) else "'" + str(value).replace("'", "''") + "'"
+
+
+def company_query(table: str, columns: Sequence[str], *, column: str, codes: Sequence[object], quote: str = '"') -> str:
+    """A query of a table's columns, filtered by company codes in the database; no codes, no rows."""
+    name = lambda c: f"{quote}{c.replace(quote, quote * 2)}{quote}"
+    where = f"{name(column)} IN ({', '.join(map(_literal, codes))})" if codes else "1 = 0"
+    return f"SELECT {', '.join(map(name, columns))} FROM {table} WHERE {where}"
+
+
 def jdbc_options(url: str, query: str, *, driver: str | None = None, fetch_size: int = 10_000, column: str | None = None, bounds: tuple[object, object] | None = None, partitions: int = 8, properties: Mapping[str, str] | None = None) -> dict[str, str]:
     """Options of a read whose query runs in the database, by several connections if it has a column to split on."""
     options = {"url": url, "dbtable": f"({query}) q", "fetchsize": str(fetch_size)} | ({"driver": driver} if driver else {})
@@ -62,8 +73,24 @@ def jdbc_options(url: str, query: str, *, driver: str | None = None, fetch_size:
     return options | dict(properties or {})
 
 
-def read_jdbc(spark: SparkSession, **options) -> DataFrame:
-    return spark.read.format("jdbc").options(**jdbc_options(**options)).load()
+def read_jdbc(spark: SparkSession, *, url: str, query: str, column: str | None = None, bounds: tuple[object, object] | None = None, partitions: int = 8, even: bool = False, quote: str = '"', **options) -> DataFrame:
+    """The rows of a query that runs in the database; filters and columns that are asked of the result go there as well.
+
+    column: it is read in `partitions` ranges of this column, each by a connection of its
+    own; rows where it is null come with the first.  Without bounds the database is asked
+    for the least and the greatest value.  Ranges have the same width, so where values
+    crowd, even=True deals whole numbers by their remainder instead.
+    """
+    if column and even:
+        name = quote + column.replace(quote, quote * 2) + quote
+        predicates = [f"ABS(MOD({name}, {partitions})) = {k}" + (f" OR {name} IS NULL" if not k else "") for k in range(partitions)]
+        made = jdbc_options(url, query, **options)
+        return spark.read.jdbc(made.pop("url"), made.pop("dbtable"), predicates=predicates, properties=made)
+    if column and bounds is None:
+        name = quote + column.replace(quote, quote * 2) + quote
+        ends = spark.read.format("jdbc").options(**jdbc_options(url, f"SELECT MIN({name}) AS lo, MAX({name}) AS hi FROM ({query}) b", **options)).load().first()
+        bounds = None if ends[0] is None else (ends[0], ends[1])
+    return spark.read.format("jdbc").options(**jdbc_options(url, query, column=column, bounds=bounds, partitions=partitions, **options)).load()
 
 
 def latest_snapshot(df: DataFrame, as_of: str, keys: Sequence[str] = ()) -> DataFrame:
