@@ -35,16 +35,19 @@ import heapq
 import duckdb
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from .common import add_columns
+from .common import parts, tidied
 from .kernels import ragged
 from .tokens import Encoder, cut_bytes
 
 LONG = 400
 RUN = 20_000  # words a query
-RUN_IDS = 1 << 20  # ids a query
+RUN_IDS = 1 << 18  # ids a query
+PART = 2 << 20  # bytes of text, or of ids, that are turned at once
 
 CONTRACT = """
     WITH RECURSIVE steps(w, ids, best) AS (
@@ -90,7 +93,7 @@ def _connection() -> duckdb.DuckDBPyConnection:
 class RankEncoder(Encoder):
     """ids by a table of ranks and a pattern; one for each process, rank file and pattern."""
 
-    slots, pool_size = 1 << 22, 1 << 24
+    slots, pool_size = 1 << 21, 1 << 23
     cut = staticmethod(cut_bytes)
     specials: list[bytes] = []
     _made: dict[tuple[str, str], RankEncoder] = {}
@@ -203,10 +206,14 @@ class Decoder:
         self.con.execute("CREATE TABLE vocabulary AS SELECT * FROM given")
         self.con.unregister("given")
 
-    def column(self, ids: pa.ListArray) -> pa.Array:
-        """The bytes of each list."""
-        lengths = ids.value_lengths().fill_null(0).to_numpy().astype(np.int64)
-        flat = ids.flatten().to_numpy(zero_copy_only=False)
+    def column(self, ids: pa.ListArray | pa.BinaryArray) -> pa.Array:
+        """The bytes of each list, or of each binary that holds ids in 32 bits."""
+        if pa.types.is_binary(ids.type):
+            lengths = pc.fill_null(pc.binary_length(ids), 0).to_numpy().astype(np.int64) // 4
+            flat = np.frombuffer(b"".join(x for x in ids.to_pylist() if x), "<u4").astype(np.int32)
+        else:
+            lengths = ids.value_lengths().fill_null(0).to_numpy().astype(np.int64)
+            flat = ids.flatten().to_numpy(zero_copy_only=False)
         top = len(self.known) - 1
         if len(flat) and not self.known[np.clip(flat, -1, top)].all():
             raise ValueError("ids that are not in the vocabulary")
@@ -227,35 +234,36 @@ class Decoder:
         return pa.array([None if null else b for null, b in zip(ids.is_null().to_pylist(), out, strict=True)], pa.binary())
 
 
-def _placed(df: DataFrame, name: str) -> DataFrame:
-    return df.drop(name) if name.lower() in {c.lower() for c in df.columns} else df
+def _turned(df: DataFrame, column: str, out: str, kind: str, fn, dropped: bool) -> DataFrame:
+    """df with a further column of that type, made of a column's parts of bounded size; dropped: without the column itself."""
+    names = [c for c in df.columns if c.lower() != out.lower()]
+    at = names.index(column)
+    kept = [k for k in range(len(names)) if not (dropped and k == at)]
+    fields = [f"`{names[k].replace('`', '``')}` {df.schema[names[k]].dataType.simpleString()}" for k in kept]
+    plain = df.select(*(F.col("`" + n.replace("`", "``") + "`").alias(f"c{k}") for k, n in enumerate(names)))  # mapInArrow takes no names with dots
 
+    def run(batches):
+        for whole in batches:
+            for batch in parts(whole, at, PART):
+                yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in kept), fn(batch.column(at))], names=[*(f"c{k}" for k in kept), "out"])
 
-def encode(docs: DataFrame, *, ranks: str, pattern: str, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
-    """docs with the ids of each whole text."""
-
-    def ids(texts):
-        encoder = RankEncoder.of(ranks, pattern)
-        blocks = [(flat, counts) for _, _, flat, counts in encoder.column(texts)]
-        flat = np.concatenate([np.zeros(0, np.uint32), *(f for f, _ in blocks)])
-        counts = np.concatenate([np.zeros(0, np.int64), *(c for _, c in blocks)])
-        offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
-        return (pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat.astype(np.int32))),)
-
-    return add_columns(_placed(docs, ids_col), ids, [text_col], f"`{ids_col}` array<int>")
+    return plain.mapInArrow(tidied(run), ", ".join([*fields, f"`{out}` {kind}"]))
 
 
-def decode(rows: DataFrame, *, ranks: str, ids_col: str = "ids", bytes_col: str = "decoded") -> DataFrame:
-    """rows with the bytes that their ids stand for."""
-    return add_columns(_placed(rows, bytes_col), lambda ids: (Decoder.of(ranks).column(ids),), [ids_col], f"`{bytes_col}` binary")
+def encode(docs: DataFrame, *, ranks: str, pattern: str, text_col: str = "text", ids_col: str = "ids", as_bytes: bool = False, drop_text: bool = False) -> DataFrame:
+    """docs with the ids of each whole text: an array, or little-endian unsigned integers of 32 bits back to back."""
 
+    def ids(texts: pa.Array) -> pa.Array:
+        blocks = [(flat, counts) for _, _, flat, counts in RankEncoder.of(ranks, pattern).column(texts)]
+        flat = np.concatenate([np.zeros(0, np.uint32), *(f for f, _ in blocks)])
+        offsets = np.concatenate([[0], np.cumsum(np.concatenate([np.zeros(0, np.int64), *(c for _, c in blocks)]))])
+        if as_bytes:
+            return pa.Array.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer((offsets * 4).astype(np.int32)), pa.py_buffer(flat.astype("<u4"))])
+        return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(flat.astype(np.int32)))
 
-def id_bytes(rows: DataFrame, *, ids_col: str = "ids", bytes_col: str = "id_bytes") -> DataFrame:
-    """rows with their ids as little-endian unsigned 32-bit integers."""
+    return _turned(docs, text_col, ids_col, "binary" if as_bytes else "array<int>", ids, drop_text)
 
-    def raw(ids):
-        flat, ends = ids.flatten().to_numpy(zero_copy_only=False).astype("<u4"), np.cumsum(ids.value_lengths().fill_null(0).to_numpy().astype(np.int64))
-        offsets = np.concatenate([[0], ends * 4]).astype(np.int32)
-        return (pa.Array.from_buffers(pa.binary(), len(ids), [None, pa.py_buffer(offsets), pa.py_buffer(flat.tobytes())]),)
 
-    return add_columns(_placed(rows, bytes_col), raw, [ids_col], f"`{bytes_col}` binary")
+def decode(rows: DataFrame, *, ranks: str, ids_col: str = "ids", bytes_col: str = "decoded") -> DataFrame:
+    """rows with the bytes that their ids stand for; ids as encode gives them, in either form."""
+    return _turned(rows, ids_col, bytes_col, "binary", lambda ids: Decoder.of(ranks).column(ids), False)

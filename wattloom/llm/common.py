@@ -46,7 +46,8 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], Iterator[pa.Record
 
 def parts(batch: pa.RecordBatch, column: int, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Runs of a batch's rows that hold about `most` bytes of a column, one row at least; it bounds what is turned into Python objects at once."""
-    lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+    cells = batch.column(column)
+    lengths = pc.fill_null(pc.multiply(pc.list_value_length(cells), 4) if pa.types.is_list(cells.type) else pc.binary_length(cells), 0).to_numpy(zero_copy_only=False)
     first = held = 0
     for k, n in enumerate(lengths.tolist()):
         if held and held + n > most:

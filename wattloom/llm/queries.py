@@ -161,9 +161,10 @@ def _repair_sql() -> str:
 
 def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    ids = bpe.encode(_table(spark, sf_dir, "documents").select("doc_id", "text"), ranks=ranks, pattern=public_tokenizers.PATTERN).drop("text")
-    decoded = bpe.id_bytes(bpe.decode(ids, ranks=ranks))
-    return decoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2("id_bytes", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    ids = bpe.encode(docs, ranks=ranks, pattern=public_tokenizers.PATTERN, as_bytes=True, drop_text=True)
+    decoded = bpe.decode(ids, ranks=ranks)
+    return decoded.select("doc_id", F.expr("octet_length(ids) div 4").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
