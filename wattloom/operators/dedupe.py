@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 
 
 def dedupe_latest(df: DataFrame, keys: Sequence[str], order: str, *, ties: Sequence[str] = ()) -> DataFrame:
-    """The row of each key that is latest; of equally late ones the greatest by the tie columns.
+    """The row of each key that is latest; of equally late ones the greatest by the tie columns, then by all others that have an order.
 
     An aggregate with partial results before the shuffle, so that a key with very
     many rows is no single task.  Null keys are keys like others.
     """
-    order_by = F.struct(*[F.col(c) for c in (order, *ties)])
+    others = [f.name for f in df.schema.fields if f.name not in (order, *ties, *keys) and "map<" not in f.dataType.simpleString() and "variant" not in f.dataType.simpleString()]
+    order_by = F.struct(*[F.col(f"`{c}`") for c in (order, *ties, *others)])
     rest = [c for c in df.columns if c not in keys]
     latest = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), order_by).alias("__row"))
     return latest.select(*keys, *[F.col(f"__row.{c}").alias(c) for c in rest]).select(*df.columns)

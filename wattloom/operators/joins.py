@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .back import join_back
+
 
 def enrich(df: DataFrame, dim: DataFrame, on: Sequence[str], *, columns: Sequence[str] | None = None, one_row: bool = False) -> DataFrame:
     """Columns of a dimension, where it has the key (left outer).
@@ -38,7 +40,7 @@ def exists(df: DataFrame, other: DataFrame, on: Sequence[str]) -> DataFrame:
 def arg_min(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """The rows with the smallest value of their key, all of them on a tie."""
     least = df.groupBy(*keys).agg(F.min(value).alias("__least"))
-    return df.join(least, list(keys)).where(F.col(value) == F.col("__least")).drop("__least")
+    return join_back(df, least, keys).where(F.col(value) == F.col("__least")).drop("__least")
 
 
 def top_k(df: DataFrame, keys: Sequence[str], order: Sequence, k: int) -> DataFrame:

@@ -8,19 +8,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import vectors
+from .back import join_back
 from .series import explode_day
 
 
 def group_size(df: DataFrame, group: Sequence[str], out: str = "group_size") -> DataFrame:
-    """Rows of the group, attached to each."""
+    """Rows of the group, attached to each; rows without a group are one."""
     sizes = df.groupBy(*group).agg(F.count("*").alias(out))
-    return df.join(sizes, list(group))
+    return join_back(df, sizes, group)
 
 
 def distinct_group_size(df: DataFrame, group: Sequence[str], member: str, out: str = "group_size") -> DataFrame:
     """Distinct members of the group, attached to each row."""
     sizes = df.groupBy(*group).agg(F.count_distinct(member).alias(out))
-    return df.join(sizes, list(group))
+    return join_back(df, sizes, group)
 
 
 def group_curve(df: DataFrame, group: Sequence[str], *, curve: str = "curve", out: str = "group_curve", peers_of: str | None = None) -> DataFrame:
@@ -56,14 +57,14 @@ def compare_curves(df: DataFrame, *, curve: str = "curve", other: str = "peer_cu
 
 
 def zscore(df: DataFrame, group: Sequence[str], columns: Sequence[str], *, least: int = 2) -> DataFrame:
-    """<c>_mean, <c>_stddev and <c>_z within groups of more than `least` rows; null in smaller ones.
+    """<c>_mean, <c>_stddev and <c>_z within groups of more than `least` rows; null in smaller ones.  Rows without a group are one.
 
     Group statistics are aggregated and joined back, so a large group is no
     single task.
     """
     stats = df.groupBy(*group).agg(F.count("*").alias("__n"), *[f(c).alias(f"{c}_{n}") for c in columns for f, n in ((F.avg, "mean"), (F.stddev_samp, "stddev"))])
     big = F.col("__n") > least
-    out = df.join(stats, list(group))
+    out = join_back(df, stats, group)
     return out.withColumns(
         {f"{c}_z": F.when(big, F.try_divide(F.col(c) - F.col(f"{c}_mean"), F.col(f"{c}_stddev"))) for c in columns}
         | {f"{c}_{n}": F.when(big, F.col(f"{c}_{n}")) for c in columns for n in ("mean", "stddev")}
@@ -83,7 +84,7 @@ def exact_median(df: DataFrame, keys: Sequence[str], column: str, out: str = "me
 
 def attach_medians(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """Medians joined back to the rows they come from."""
-    return df.join(median_over_days(df, keys, columns), list(keys), "left")
+    return join_back(df, median_over_days(df, keys, columns), keys)
 
 
 def peer_score(df: DataFrame, group: Sequence[str], member: str, *, curve: str = "curve") -> DataFrame:

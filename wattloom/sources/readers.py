@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.back import join_back
 
 def read_delimited(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType | str, *, sep: str = ",", header: bool = False) -> DataFrame:
     """Text with a declared schema; any separator, any number of paths."""
@@ -94,10 +95,10 @@ def read_jdbc(spark: SparkSession, *, url: str, query: str, column: str | None =
 
 
 def latest_snapshot(df: DataFrame, as_of: str, keys: Sequence[str] = ()) -> DataFrame:
-    """Rows of the latest as-of date, of all or of each key: one plan, no action."""
+    """Rows of the latest as-of date, of all or of each key: one plan, no action.  A null key is a key; a row without a date is never the latest."""
     if keys:
         latest = df.groupBy(*keys).agg(F.max(as_of).alias("__latest"))
-        return df.join(latest, list(keys)).where(F.col(as_of) == F.col("__latest")).drop("__latest")
+        return join_back(df, latest, keys).where(F.col(as_of) == F.col("__latest")).drop("__latest")
     latest = df.agg(F.max(as_of).alias("__latest"))
     return df.join(F.broadcast(latest), F.col(as_of) == F.col("__latest"), "left_semi")  # one row
 
