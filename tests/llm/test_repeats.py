@@ -188,6 +188,16 @@ def test_intervals_are_those_of_the_common_prefixes():
     assert sorted(suffix_repeats.intervals(lcp, 1)) == sorted([(3, 0, 1), (2, 0, 2), (1, 3, 5), (2, 4, 5)])
 
 
+def test_fingerprints_of_one_place_are_dropped(spark):
+    random.seed(31)
+    line = lambda: "".join(random.choices("abcdefgh ", k=30))
+    rows = [(k, "\n".join(line() for _ in range(38))) for k in range(200)]
+    each = lambda rows, **kw: lines._repeated(lines._texts(_frame(spark, rows), "doc_id", "text"), 3, **kw)
+    assert each(rows, words=None).count() == 0 and each(rows, words=2).count() == 0
+    again = rows + [(500, "\n".join(rows[3][1].split("\n")[5:9] + [line()]))]
+    assert 0 < each(again, words=None).count() < 40
+
+
 def test_line_dedup_against_brute_force(spark):
     random.seed(7)
     line = lambda: random.choice(["", "one", "two é", "three", "four"])

@@ -2,7 +2,7 @@
 
 A text's lines are hashed; of every window of three lines the smallest hash is a
 fingerprint, so whatever repeats over at least three lines shares one at the same
-place.  Fingerprints that occur once are dropped.  The others are extended both
+place.  Fingerprints that stand in one place only are dropped.  The others are extended both
 ways as far as a window reaches: each window that holds the fingerprint as its
 minimum is keyed by 128 bits of all its lines, and joined with the first position
 that has the key.  Matches that go on from one another in both places are put
@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from .common import add_columns, apart, fresh, materialize, named, tidied
 from .kernels import BYTE_VALUES, RangeHasher, U64, Words, mix, signed, text_blocks, window_minima
 
-FINGERPRINTS = "f long, doc_id long, row int, at int, n int, w long, v long"
+FINGERPRINTS = "f long, doc_id long, row int, line int, at int, n int, w long, v long"
 
 
 def _lines(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -82,19 +82,25 @@ def _fingerprints(size: int, words: int | None):
                     ok = valid[begin] & (least[begin] == h[line])
                     begin, line = begin[ok], line[ok]
                     doc = pa.array(np.searchsorted(first, begin, side="right") - 1 + i)
-                    place = (begin - first[np.asarray(doc) - i]).astype(np.int32)
+                    place, own = ((x - first[np.asarray(doc) - i]).astype(np.int32) for x in (begin, line))
                     f = mix(h[line] + U64(size - k)) if k < size else h[line]  # windows of another number of lines are no occurrence
                     key = [pa.array(signed(mix(o(begin, begin + k) + U64(k)))) for o in (over, over_again)]
-                    yield pa.RecordBatch.from_arrays([pa.array(signed(f)), batch.column(0).take(doc), batch.column(1).take(doc), pa.array(place), pa.array(np.full(len(begin), k, np.int32)), *key], names=["f", "doc_id", "row", "at", "n", "w", "v"])
+                    yield pa.RecordBatch.from_arrays([pa.array(signed(f)), batch.column(0).take(doc), batch.column(1).take(doc), pa.array(own), pa.array(place), pa.array(np.full(len(begin), k, np.int32)), *key], names=["f", "doc_id", "row", "line", "at", "n", "w", "v"])
 
     return run
 
 
+def _repeated(texts: DataFrame, size: int, words: int | None) -> DataFrame:
+    """Windows around fingerprints that stand in more than one place; a line that is the fingerprint of several windows is one place."""
+    each = texts.mapInArrow(tidied(_fingerprints(size, words)), FINGERPRINTS)
+    place = F.struct("doc_id", "row", "line")
+    again = each.groupBy("f").agg(F.min(place).alias("lo"), F.max(place).alias("hi")).where("lo < hi").select(apart("f").alias("f"))
+    return each.join(again, "f", "left_semi").drop("f", "line")
+
+
 def _later_windows(texts: DataFrame, size: int, words: int | None) -> DataFrame:
     """(doc_id, row, at, n, first): windows of n lines that also start earlier, and where first."""
-    each = texts.mapInArrow(tidied(_fingerprints(size, words)), FINGERPRINTS)
-    again = each.groupBy("f").agg(F.count("*").alias("k")).where("k > 1").select(apart("f").alias("f"))
-    windows = materialize(each.join(again, "f", "left_semi").select("w", "v", "doc_id", "row", "at", "n").distinct(), "line-windows")
+    windows = materialize(_repeated(texts, size, words).select("w", "v", "doc_id", "row", "at", "n").distinct(), "line-windows")
     owners = materialize(windows.groupBy("w", "v").agg(F.min(F.struct("doc_id", "at")).alias("first"), F.count("*").alias("k")).where("k > 1").select("w", "v", "first"), "first-windows")
     return windows.join(owners, ["w", "v"]).where(F.struct("doc_id", "at") > F.col("first")).select("doc_id", "row", "at", "n", "first")
 
