@@ -21,7 +21,10 @@ standard errors make the bounds.
 
 Nothing passes through the driver but three counts.
 
-Edge cases: a vector that is null, has another length than `dims`, holds a null
+A cosine needs two vectors of one length, so vectors are searched among those of
+their own (`nearest`): an index and a search for each length that occurs.
+
+Edge cases: a vector that is null, has another length than the index, holds a null
 or a component that is not finite, or is all zero takes no part, neither as a
 query nor as a candidate.  Scores that agree to 12 decimals are equal and go to
 the smaller id.  A query's own row is no candidate; other rows with its id are,
@@ -31,12 +34,12 @@ part.  Fewer than k candidates: all of them.  No vectors: no rows.
 
 from __future__ import annotations
 
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import materialize, tidied
@@ -244,3 +247,17 @@ def search(index: DataFrame, queries: DataFrame, *, k: int = 5, dims: int, seed:
     each = asked.join(materialize(rows, "nearest-rows"), "query").where(F.col("row") != F.col("own"))
     last = Window.partitionBy("own").orderBy(F.desc(F.round("score", 12)), "vec_id", "row")
     return each.withColumn("rank", F.row_number().over(last)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+def nearest(vectors: DataFrame, asked: Column, *, k: int = 5, id_col: str = "vec_id", vector_col: str = "embedding", **options) -> DataFrame:
+    """query_id, rank, vec_id, score: the k nearest of each row that `asked` (a condition on vec_id) chooses, among the vectors of its length.
+
+    The driver learns which lengths occur; a table has few.
+    """
+    length = F.size(F.col(f"`{vector_col}`"))
+    lengths = sorted(r["d"] for r in vectors.where(length > 0).select(length.alias("d")).distinct().collect())
+    found = []
+    for dims in lengths or [1]:
+        index = build_index(vectors.where(length == dims) if lengths[1:] else vectors, id_col=id_col, vector_col=vector_col, dims=dims)
+        found.append(search(index, index.where(asked), k=k, dims=dims, **options))
+    return reduce(DataFrame.unionByName, found)

@@ -25,13 +25,7 @@ def op1_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_onebit_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Vectors of the commonest length (the smallest of equally common ones) take part; a cosine needs two of one length."""
-    vectors = _table(spark, sf_dir, "embeddings")
-    sizes = vectors.where(F.size("embedding") > 0).groupBy(F.size("embedding").alias("d")).count()
-    top = sizes.orderBy(F.desc("count"), "d").first()
-    dims = top["d"] if top else 1
-    index = ann_onebit.build_index(vectors, dims=dims)
-    return ann_onebit.search(index, index.where(F.col("vec_id") % 50 == 0), k=5, dims=dims)
+    return ann_onebit.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
 
 def op3_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
