@@ -89,7 +89,11 @@ def filter_urls(pages: DataFrame, rules: DataFrame, *, url: str = "url", prefix_
     )
     kept = [F.col(f"`{c}`") for c in pages.columns if c not in ("host", "path", "rule", "verdict")]
     left = pages.select(*kept)
-    key, hit = fresh(left, "__url", "__hit")
-    joined = left.withColumn(key, F.col(f"`{url}`")).join(hits.withColumnsRenamed({"__url": key, "__hit": hit}), key, "left")
+    key, hit, spread = fresh(left, "__url", "__hit", "__spread")
+    # The hits' key is no longer known to be what they lie by, so both sides are dealt and a frequent URL's
+    # pages can be split; pages without a URL, which have no hit, are dealt by number.
+    told = hits.select(F.concat("__url", F.lit("")).alias(key), F.lit(0).alias(spread), F.col("__hit").alias(hit))
+    number = F.when(F.col(f"`{url}`").isNull(), F.pmod(F.monotonically_increasing_id(), F.lit(4096)).cast("int")).otherwise(0)
+    joined = left.withColumns({key: F.col(f"`{url}`"), spread: number}).join(told, [key, spread], "left")
     found = {"host": url_host(F.col(key)), "path": url_path(F.col(key)), "rule": F.col(f"{hit}.rule"), "verdict": F.coalesce(F.col(f"{hit}.verdict"), F.lit(default))}
     return joined.select(*kept, *[c.alias(n) for n, c in found.items()])
