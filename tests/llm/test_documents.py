@@ -270,3 +270,12 @@ def test_no_documents(spark):
     assert decontam.contamination(none, items).count() == 0
     some = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
     assert [tuple(r)[1:4] for r in decontam.contamination(some, items).collect()] == [(2, 0, 0)]
+
+
+def test_packing_takes_columns_of_any_name(spark):
+    pieces = spark.createDataFrame([(k, 1 + k % 9, "x", 1, 2) for k in range(200)], "id int, `le.ngth` long, __task string, `rank` int, whole_rank int")
+    rows = packing.best_fit(pieces, length_col="le.ngth", capacity=10).collect()
+    assert sorted(r["id"] for r in rows) == list(range(200)) and {r["__task"] for r in rows} == {"x"}
+    for number in {r["sequence_id"] for r in rows}:
+        held = sorted((r["offset"], r["le.ngth"]) for r in rows if r["sequence_id"] == number)
+        assert [o for o, _ in held] == [sum(n for _, n in held[:k]) for k in range(len(held))] and sum(n for _, n in held) <= 10

@@ -11,13 +11,16 @@ Ranks come from the tasks: each counts its pieces of each length, prefix sums
 over the tasks give each count its base, and no piece is moved for it.  Pieces of
 equal length and gaps of equal size are alike, so a sweep moves ranges of ranks;
 its state has an entry for each range, which the capacity bounds and not the
-number of pieces.  The sweeps yield a table of (length, ranks, sequence, offset)
+number of pieces.  That state is small enough for one place, so the sweeps run in the
+driver, on at most `capacity` counts; no piece passes through it.  The sweeps yield a table of (length, ranks, sequence, offset)
 ranges, and every piece looks its own place up.
 
 Edge cases: a null or empty text is a document of the end id alone.  A null
 document id is kept.  Repeated rows are packed each.  A text of more tokens than
-fit is cut: the first piece takes the remainder, all others are full.  No
-documents: no pieces.  Lengths must be from 1 to the capacity.
+fit is cut: the first piece takes the remainder, all others are full; a text is
+encoded whole, for which a worker needs about 60 bytes for each of its own.  Extra
+columns of the documents are left out, those of the pieces are kept, whatever their
+names.  No documents: no pieces.  Lengths must be from 1 to the capacity.
 """
 
 from __future__ import annotations
@@ -62,7 +65,7 @@ def token_pieces(docs: DataFrame, *, tokenizer: str, end_id: int, capacity: int,
                     columns.append(pa.array([c.tobytes() for c in cuts], pa.binary()))
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "piece", "start", "length", "ids_crc32", "ids"][: len(columns)])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(tidied(run), PIECES + (", ids binary" if with_ids else ""))
+    return docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").alias("text")).mapInArrow(tidied(run), PIECES + (", ids binary" if with_ids else ""))
 
 
 def sweeps(counts: dict[int, int], capacity: int) -> np.ndarray:
@@ -110,8 +113,10 @@ def sweeps(counts: dict[int, int], capacity: int) -> np.ndarray:
 def best_fit(pieces: DataFrame, *, length_col: str = "length", capacity: int) -> DataFrame:
     """pieces with sequence_id and offset."""
     spark = pieces.sparkSession
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema.fields]
-    at = pieces.columns.index(length_col)
+    names, at = pieces.columns, pieces.columns.index(length_col)
+    kinds = [f.dataType.simpleString() for f in pieces.schema.fields]
+    plain = pieces.toDF(*(f"c{k}" for k in range(len(names))))  # no name is taken, and none has a dot
+    fields, length = ", ".join(f"c{k} {t}" for k, t in enumerate(kinds)), F.col(f"c{at}")
 
     def rank(batches):
         seen = np.zeros(capacity + 2, dtype=np.int64)
@@ -122,13 +127,13 @@ def best_fit(pieces: DataFrame, *, length_col: str = "length", capacity: int) ->
             ranks = np.empty(len(n), dtype=np.int64)
             ranks[order] = np.arange(len(n)) - np.searchsorted(n[order], n[order]) + seen[n[order]]
             seen += np.bincount(n, minlength=capacity + 2)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.full(len(n), task)), pa.array(ranks)], names=[*batch.schema.names, "__task", "__rank"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.full(len(n), task)), pa.array(ranks)], names=[*batch.schema.names, "task", "rank"])
 
-    ranked = materialize(pieces.mapInArrow(tidied(rank), ", ".join([*fields, "__task long", "__rank long"])), "pieces")
-    by_task = ranked.groupBy("__task", F.col(f"`{length_col}`").alias("__length")).agg(F.count("*").alias("__n"))
-    before = Window.partitionBy("__length").orderBy("__task").rowsBetween(Window.unboundedPreceding, -1)
-    bases = by_task.select("__task", "__length", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__base"))
-    counts = {r["__length"]: r["n"] for r in by_task.groupBy("__length").agg(F.sum("__n").alias("n")).collect()}  # at most `capacity` rows
+    ranked = materialize(plain.mapInArrow(tidied(rank), fields + ", task long, rank long"), "pieces")
+    by_task = ranked.groupBy("task", length.alias("length")).agg(F.count("*").alias("n"))
+    before = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    bases = by_task.select(F.col("task").alias("t"), "length", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+    counts = {r["length"]: r["n"] for r in by_task.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # at most `capacity` rows
     plan = spark.sparkContext.broadcast(sweeps(counts, capacity))  # bounded by the capacity
 
     def place(batches):
@@ -136,9 +141,10 @@ def best_fit(pieces: DataFrame, *, length_col: str = "length", capacity: int) ->
         key = rows[:, 0] << 48 | rows[:, 1]
         for batch in batches:
             n = np.asarray(batch.column(at), dtype=np.int64)
-            r = np.asarray(batch.column(batch.schema.get_field_index("__global")), dtype=np.int64)
+            r = np.asarray(batch.column(len(names)), dtype=np.int64)
             i = np.searchsorted(key, n << 48 | r, side="right") - 1
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(fields)], pa.array(rows[i, 3] + r - rows[i, 1]), pa.array(rows[i, 4])], names=[*batch.schema.names[: len(fields)], "sequence_id", "offset"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], pa.array(rows[i, 3] + r - rows[i, 1]), pa.array(rows[i, 4])], names=[*batch.schema.names[: len(names)], "sequence_id", "offset"])
 
-    together = ranked.join(bases, (ranked["__task"] == bases["__task"]) & (ranked[f"`{length_col}`"] == bases["__length"]))
-    return together.select(*[ranked[f"`{c}`"] for c in pieces.columns], (F.col("__rank") + F.col("__base")).alias("__global")).mapInArrow(tidied(place), ", ".join([*fields, "sequence_id long", "offset long"]))
+    together = ranked.join(bases, (F.col("task") == F.col("t")) & (length == F.col("length")))
+    placed = together.select(*(f"c{k}" for k in range(len(names))), (F.col("rank") + F.col("base")).alias("whole_rank"))
+    return placed.mapInArrow(tidied(place), fields + ", sequence_id long, offset long").toDF(*names, "sequence_id", "offset")
