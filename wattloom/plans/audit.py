@@ -11,6 +11,7 @@ from ..constants import REGULAR_SOURCE_CODES, REGULAR_TARGET_CODES
 from ..operators import alerts, audit
 from ..operators.dedupe import union_all
 from ..session import stage
+from .ledger import Ledger, Run
 
 
 def source_aggregates(df: DataFrame, actual: Sequence[str] = REGULAR_SOURCE_CODES, *, expected: int = 96, before: str | None = None, registers: Sequence[str] | None = None) -> DataFrame:
@@ -25,6 +26,49 @@ def target_aggregates(df: DataFrame, actual: Sequence[str] = REGULAR_TARGET_CODE
     return union_all([audit.target_by_date(each), audit.target_by_uom(each), audit.target_by_quality(each, actual), audit.target_zero_usage(each), audit.target_interval_count(each)])
 
 
+PARTITION = ("opco", "usage_dt")
+MOST_LISTED = 100_000
+
+
+def listed_only(df: DataFrame, listed: DataFrame, *, known: int | None = None) -> DataFrame:
+    """Rows of df in the listed partitions (company and day).
+
+    The list is sent to all tasks if it has at most MOST_LISTED rows (known: their number), so a
+    partitioned table is pruned by it before it is read; a longer list is most of the table anyway.
+    """
+    named = listed.select(*PARTITION).where("opco IS NOT NULL AND usage_dt > ''").distinct()  # a filter, without which Spark sees nothing to prune by
+    count = named.count() if known is None else known
+    return df.join(F.broadcast(named) if count <= MOST_LISTED else named, list(PARTITION), "left_semi")
+
+
+def audit_target(run: Run, readings: DataFrame, days_path: str, aggregates_path: str, actual: Sequence[str] = REGULAR_TARGET_CODES, *, quarantined: DataFrame | None = None) -> None:
+    """Stage in a run the target's days and the five aggregates of them, both by company and day."""
+    run.write(audit.target_days(readings, quarantined=quarantined), days_path, PARTITION)
+    days = run.staged(days_path)
+    made = [audit.target_by_date(days), audit.target_by_uom(days), audit.target_by_quality(days, actual), audit.target_zero_usage(days), audit.target_interval_count(days)]
+    run.write(union_all(made), aggregates_path, PARTITION)
+
+
+def re_audit(ledger: Ledger, owner: str, listed: DataFrame, readings: DataFrame, days_path: str, aggregates_path: str, actual: Sequence[str] = REGULAR_TARGET_CODES, *, quarantined: DataFrame | None = None) -> int:
+    """Audit the listed companies and days again (alerts.reprocess_list), and replace only them in both tables; how many there were.
+
+    All keys of the aggregates hold company and day, so the rest of the tables stays as a full audit would make
+    it.  A listed partition without readings is not replaced: nothing says that its rows are to go.
+    """
+    wanted = stage(listed.select(*PARTITION).distinct(), "listed")
+    n = wanted.count()
+    if n:
+        run = ledger.begin(owner)
+        try:
+            some = listed_only(quarantined, wanted, known=n) if quarantined is not None else None
+            audit_target(run, listed_only(readings, wanted, known=n), days_path, aggregates_path, actual, quarantined=some)
+        except Exception:
+            run.abort()
+            raise
+        run.commit(re_audited=n)
+    return n
+
+
 def reconcile_all(source: DataFrame, target: DataFrame, *, expected: int = 96, run: str | None = None, exclude: Sequence[str] = ()) -> DataFrame:
     """Interval counts by bucket and both sides' keys; all else from the source's keys.
 
