@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import REGULAR_SOURCE_CODES, REGULAR_TARGET_CODES
-from ..operators import alerts, audit
+from ..operators import alerts, audit, rollup
 from ..operators.dedupe import union_all
 from ..session import stage
 from .ledger import Ledger, Run
@@ -26,6 +26,22 @@ def target_aggregates(df: DataFrame, actual: Sequence[str] = REGULAR_TARGET_CODE
     return union_all([audit.target_by_date(each), audit.target_by_uom(each), audit.target_by_quality(each, actual), audit.target_zero_usage(each), audit.target_interval_count(each)])
 
 
+def source_rollup(df: DataFrame, actual: Sequence[str] = REGULAR_SOURCE_CODES, *, expected: int = 96, before: str | None = None, registers: Sequence[str] | None = None) -> DataFrame:
+    """source_aggregates with the meters of four of the five counted in bitmaps (operators.rollup); nothing is staged but the meters' numbers."""
+    days = audit.source_days(df, expected=expected, before=before)
+    meters = days.groupBy(*audit.DAY, "condition").agg(F.sum("cnt").alias("n"), F.sum("total").alias("use"))
+    counts = audit.source_interval_count(days, actual, expected=expected, registers=registers)
+    return union_all([rollup.rolled_up(meters, actual, numbers=rollup.numbered(df, "serial"), registers=registers), counts])
+
+
+def target_rollup(df: DataFrame, actual: Sequence[str] = REGULAR_TARGET_CODES, *, quarantined: DataFrame | None = None, days: DataFrame | None = None, one_count: bool = False) -> DataFrame:
+    """target_aggregates likewise; one_count: meters of both arms counted once."""
+    each = audit.target_days(df, days=days, quarantined=quarantined)
+    serials = df.select("serial") if quarantined is None else union_all([df.select("serial"), quarantined.select("serial")])
+    rolled = rollup.rolled_up(each, actual, numbers=rollup.numbered(serials, "serial"), one_count=one_count, all_arms=False)
+    return union_all([rolled, audit.target_interval_count(each)])
+
+
 PARTITION = ("opco", "usage_dt")
 MOST_LISTED = 100_000
 
