@@ -93,8 +93,9 @@ def _fingerprints(size: int, words: int | None):
 def _repeated(texts: DataFrame, size: int, words: int | None) -> DataFrame:
     """Windows around fingerprints that stand in more than one place; a line that is the fingerprint of several windows is one place."""
     each = texts.mapInArrow(tidied(_fingerprints(size, words)), FINGERPRINTS)
-    place = F.struct("doc_id", "row", "line")
-    again = each.groupBy("f").agg(F.min(place).alias("lo"), F.max(place).alias("hi")).where("lo < hi").select(apart("f").alias("f"))
+    line = F.shiftleft(F.col("row").cast("long"), 32).bitwiseOR(F.col("line").cast("long"))  # of one text; as a number, so that no sort is needed to aggregate
+    ends = [end(c).alias(f"{name}_{k}") for k, c in enumerate((F.col("doc_id"), line)) for name, end in (("lo", F.min), ("hi", F.max))]
+    again = each.groupBy("f").agg(*ends).where("lo_0 < hi_0 OR lo_1 < hi_1").select(apart("f").alias("f"))
     return each.join(again, "f", "left_semi").drop("f", "line")
 
 
