@@ -235,6 +235,25 @@ def test_k_nearest_against_brute_force(spark):
     assert few.count() == 6
 
 
+def test_a_stack_of_equal_places_changes_neither_rounds_nor_pairs(spark, monkeypatch):
+    random.seed(15)
+    poles = [(k, 50 + random.random() / 5, 8 + random.random() / 5) for k in range(1000)]
+    stack = [(5000 + k, 50.1, 8.1) for k in range(500)]
+    meters = [(k, 50 + random.random() / 5, 8 + random.random() / 5) for k in range(60)] + [(99, 50.1, 8.1)]
+    frame = lambda rows, name: spark.createDataFrame(rows, f"{name} int, lat double, long double")
+    widths: list[float] = []
+    plain = ties.near_pairs
+    monkeypatch.setattr(ties, "near_pairs", lambda q, c, width: widths.append(width) or plain(q, c, width))
+    found, counts = [], []
+    for rows in (poles, poles + stack):
+        widths.clear()
+        found.append({(r["meter"], r["rank"]): r["pole"] for r in ties.k_nearest(frame(meters, "meter"), frame(rows, "pole"), k=4).collect()})
+        counts.append(list(widths))
+    assert counts[0] == counts[1]
+    assert [found[1][99, n] for n in (1, 2, 3, 4)] == [5000, 5001, 5002, 5003]
+    assert all(found[0][m, 1] == found[1][m, 1] or found[1][m, 1] >= 5000 for m in range(60))
+
+
 def test_k_nearest_of_a_town_and_a_stray_place(spark):
     random.seed(14)
     n, k = 10_000, 5

@@ -60,11 +60,13 @@ def k_nearest(queries: DataFrame, candidates: DataFrame, *, k: int = 10, query_i
     times the width, until one cube holds the earth.  The first width is that at which
     the fullest cube holds a few times k candidates, so where places are dense each
     query meets a bounded number of them, and only queries far from most places see
-    wider cubes.  Ties go to the smaller candidate.  Poles and the date line need
+    wider cubes.  Of candidates at one place only the k smallest take part, as ties go to
+    the smaller: a stack of them (a usual default in address data) counts as k.  Poles and the date line need
     no special case.
     """
     q = stage(_placed(queries, query_id, lat, long, "q"), "nearest-queries")
-    c = stage(_placed(candidates, candidate_id, lat, long, "c"), "nearest-candidates")
+    place = Window.partitionBy("c_x", "c_y", "c_z").orderBy("c_id")
+    c = stage(_placed(candidates, candidate_id, lat, long, "c").withColumn("__n", F.row_number().over(place)).where(F.col("__n") <= k).drop("__n"), "nearest-candidates")
     most = geo.EARTH_KM * 4
     width = start_width(c, k, most)
     done = None
