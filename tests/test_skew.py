@@ -67,3 +67,18 @@ def test_struct_keys_of_several_columns(spark):
     frame = spark.createDataFrame([(None, 1, 1.0), (None, 1, 3.0), ("a", None, 5.0), ("a", None, 5.0), ("a", 2, 9.0)], "g string, h int, v double")
     sizes = {(r["g"], r["h"]): r["group_size"] for r in peers.group_size(frame, ["g", "h"]).collect()}
     assert sizes == {(None, 1): 2, ("a", None): 2, ("a", 2): 1}
+
+
+def test_a_large_partition_is_written_by_several_tasks(spark, tmp_path):
+    from wattloom.sources import files, writers
+
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", None)
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256k")
+    try:
+        rows = spark.range(200_000).select("id", F.when(F.col("id") % 50 > 0, "big").otherwise(F.concat(F.lit("p"), (F.col("id") % 200).cast("string"))).alias("day.of"), F.sha2(F.col("id").cast("string"), 256).alias("x"))
+        writers.write_partitioned(rows.withColumnRenamed("day.of", "day"), f"{tmp_path}/t", ["day"], sort=["id"])
+        count = lambda p: len([n for n in files.Folder(spark, f"{tmp_path}/t").names(p) if n.endswith(".parquet")])
+        assert count("day=big") == 4 and count("day=p0") == 1  # at most one for each task that read the rows
+        assert spark.read.parquet(f"{tmp_path}/t").count() == 200_000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes") if old is None else spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)

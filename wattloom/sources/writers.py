@@ -13,11 +13,15 @@ def write_partitioned(df: DataFrame, path: str, partition: Sequence[str], *, sor
     """Write by partition columns; overwriting replaces only the partitions that df has rows for.
 
     sort: order within files.  blooms: column -> expected distinct values.
-    spread: files that one partition may be dealt over, by a hash of the sort
-    columns, so that a large partition is not one task.
+    Rows are dealt by partition, and adaptive execution divides a large partition among
+    tasks by its size and puts small ones together.  spread: files that one partition is dealt
+    over in any case, by a hash of the sort columns.
     """
-    salt = [F.pmod(F.xxhash64(*(sort or df.columns)), F.lit(spread))] if spread > 1 else []
-    ordered = df.repartition(*partition, *salt).sortWithinPartitions(*partition, *sort)
+    if spread > 1:
+        dealt = df.repartition(*partition, F.pmod(F.xxhash64(*(sort or df.columns)), F.lit(spread)))
+    else:
+        dealt = df.hint("rebalance", *(f"`{c}`" for c in partition))
+    ordered = dealt.sortWithinPartitions(*partition, *sort)
     writer = ordered.write.format(fmt).mode(mode).partitionBy(*partition).option("partitionOverwriteMode", "dynamic").option("compression", "snappy")
     if max_records:
         writer = writer.option("maxRecordsPerFile", max_records)
