@@ -52,3 +52,19 @@ def test_late_events_of_the_query_are_older_than_a_day(spark):
     late = spark.read.parquet(f"{root}/errors").where("error = 'late'")
     latest = spark.read.parquet(f"{root}/events").selectExpr("user_id", "event_type", "ts AS latest")
     assert late.count() and not late.join(latest, ["user_id", "event_type"]).where("ts >= latest - INTERVAL 1 DAY").count()
+
+
+def test_python_is_called_for_groups_and_not_for_each_key(spark, tmp_path):
+    """The state has a row for each group at most, though keys are many; null keys and those of equal text stay apart."""
+    root, many = str(tmp_path), event_stream.GROUPS * 3
+    keys = [(f"s{k}", "a") for k in range(many)] + [(None, "a"), ("", "a"), ("null", "a")]
+    _file(spark, root, [(s, t, "2024-01-01 10:00:00", f"low {s}", "d") for s, t in keys])
+    _run(spark, root, 1)
+    _file(spark, root, [(s, t, "2024-01-01 08:00:00" if k % 2 else "2024-01-01 11:00:00", f"low new {s}", "d") for k, (s, t) in enumerate(keys)])
+    _run(spark, root, 1)
+    state = spark.read.format("statestore").load(f"{root}/checkpoint")
+    assert 0 < state.count() <= event_stream.GROUPS
+    found = _rows(spark, root, "events", "serial", "curated_reason")
+    assert len(found) == len(keys) and dict(found) == {s: None if s is None else f"L {s}" if k % 2 else f"L new {s}" for k, (s, _) in enumerate(keys)}  # no rule is tried on a null key
+    late = [s for s, e in _rows(spark, root, "errors", "serial", "error") if e == "late"]
+    assert sorted(late) == sorted(s for k, (s, _) in enumerate(keys) if k % 2)

@@ -48,33 +48,47 @@ def classify_stream(spark: SparkSession, source: str, schema: T.StructType | str
     return stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+#: The state has one row for each group of keys; a checkpoint goes with the number of groups.
+GROUPS = 1024
+_UNKNOWN, _NO_TIME = -(1 << 63), -(1 << 62)
+
+
 def _latest(order: str, late: float):
-    """Of each key the time of its latest row, which decides what becomes of the rows that come."""
-
-    def run(key: tuple, rows: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows), ignore_index=True)  # a key's rows of one batch
-        times = batch[order].astype("datetime64[us]").astype("int64").where(batch[order].notna(), -(1 << 62))
-        known = state.get[0] if state.exists else None
-        best = int(times.max()) if known is None else max(int(times.max()), known)
-        state.update((best,))
-        yield batch[times == best].assign(outcome="latest")
-        if known is not None:
-            yield batch[times < known - int(late * 1_000_000)].assign(outcome="late")
+    """Of each key of a group the time of its latest row, which decides what becomes of the rows that come."""
+
+    def run(_: tuple, rows: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        batch = pd.concat(list(rows), ignore_index=True)  # a group's rows of one batch
+        keys, batch = batch["__key"], batch.drop(columns=["__key", "__group"])
+        times = batch[order].astype("datetime64[us]").astype("int64").where(batch[order].notna(), _NO_TIME)
+        names, micros = state.get if state.exists else ([], [])
+        stored = pd.Series(list(micros), index=pd.Index(list(names), dtype=object), dtype="int64")
+        known = pd.Series(stored.reindex(keys, fill_value=_UNKNOWN).to_numpy(), index=batch.index)
+        latest = times == times.groupby(keys).transform("max").clip(lower=known)
+        passed = known != _UNKNOWN
+        too_late = passed & (times < known.where(passed, 0) - int(late * 1_000_000))
+        now = pd.concat([stored, times.groupby(keys).max()]).groupby(level=0).max()
+        state.update((now.index.tolist(), now.tolist()))
+        if (chosen := latest | too_late).any():
+            yield batch[chosen].assign(outcome=latest[chosen].map({True: "latest", False: "late"}))
 
     return run
 
 
-def latest_events(stream: DataFrame, key: Sequence[str], order: str, *, late: float) -> DataFrame:
+def latest_events(stream: DataFrame, key: Sequence[str], order: str, *, late: float, groups: int = GROUPS) -> DataFrame:
     """Rows of a stream that are the latest of their key so far, and rows that come too late, told by `outcome`.
 
-    The state store has one time for each key, for as long as the stream lives; where keys are many, set the
-    session to keep it in RocksDB.  Rows that are older than their key's latest are dropped, as the latest has
+    The state store has one time for each key, for as long as the stream lives.  Keys are held in `groups` by
+    their hash, so that Python is called for each group of a batch and not for each key; where keys are so many that
+    a group's are too much for one row, take more groups, and set the session to keep the state in
+    RocksDB.  Rows that are older than their key's latest are dropped, as the latest has
     been passed on; those that are older by more than `late` seconds than what was known before
     their batch are `late` instead of dropped.  Rows of the same time are all passed on: the table's
     merge decides between them.  A row without a time is the oldest.
     """
     kinds = T.StructType([*stream.schema.fields, T.StructField("outcome", T.StringType())])
-    return stream.groupBy(*key).applyInPandasWithState(_latest(order, late), kinds, "micros long", "append", GroupStateTimeout.NoTimeout)
+    name = F.to_json(F.array(*[F.col(f"`{k}`").cast("string") for k in key]))  # a null is a value like others
+    held = stream.withColumn("__key", name).withColumn("__group", F.pmod(F.xxhash64("__key"), F.lit(groups)))
+    return held.groupBy("__group").applyInPandasWithState(_latest(order, late), kinds, "names array<string>, micros array<long>", "append", GroupStateTimeout.NoTimeout)
 
 
 def classify_latest_stream(
