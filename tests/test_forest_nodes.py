@@ -44,3 +44,14 @@ def test_confusion_of_the_scores(spark, trained):
     scored = model.score_forest(forest, frame, features=FEATURES)
     counts = {(r["label"], r["y_pred"]): r["n"] for r in model.confusion(scored).collect()}
     assert sum(counts.values()) == 588 and counts[0, 0] + counts[1, 1] > 500
+
+
+def test_the_forest_query_reads_texts_once(spark):
+    """What training and scores read is the staged shares, and they are those of plain replacements."""
+    from wattloom import queries
+
+    sf = "/root/testdata/sf0.001"
+    assert not [f for f in queries.score_forest(spark, sf).inputFiles() if "documents.parquet" in f]
+    docs = spark.createDataFrame([(1, "A b|c.\nÄ😀 Z?!"), (2, ""), (3, None)], "doc_id long, text string")
+    got = {r["doc_id"]: (r["marks"], r["stops"], r["capitals"]) for r in queries.text_shares(docs).collect()}
+    assert got == {1: (2 / 13, 2 / 13, 2 / 13), 2: (0.0, 0.0, 0.0), 3: (None, None, None)}
