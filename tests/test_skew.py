@@ -82,3 +82,16 @@ def test_a_large_partition_is_written_by_several_tasks(spark, tmp_path):
         assert spark.read.parquet(f"{tmp_path}/t").count() == 200_000
     finally:
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes") if old is None else spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+
+
+def test_no_task_ranks_all_pairs_of_a_full_cube(spark, monkeypatch):
+    """Queries that crowd in one cube are dealt over tasks, by the pairs that they make."""
+    from wattloom.operators import ties
+
+    monkeypatch.setattr(ties, "MOST_PAIRS", 2_000, raising=False)
+    q = spark.range(900).selectExpr("id AS q_id", "1.5 + id / 10000 AS q_x", "1.5 AS q_y", "1.5 AS q_z")
+    c = spark.range(20).selectExpr("id AS c_id", "1.2 + id / 100 AS c_x", "1.5 AS c_y", "1.5 AS c_z").unionByName(spark.range(20, 24).selectExpr("id AS c_id", "2.5 AS c_x", "1.5 AS c_y", "id / 12 AS c_z"))
+    found = ties.near_pairs(q, c, 1.0)
+    sizes = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 900 * 24 == found.select("q_id", "c_id").distinct().count()
+    assert max(sizes) <= 8_000

@@ -40,15 +40,40 @@ def start_width(candidates: DataFrame, k: int, most: float, crowd: int = 8) -> f
     return max(1e-6, most / 2 ** (first(range(level - 6, level + 1)) if level else 0))
 
 
+#: Pairs that one task makes and ranks, about.
+MOST_PAIRS = 500_000
+_AXES = ["__x", "__y", "__z"]
+
+
+def _around(cells: DataFrame) -> DataFrame:
+    """Each row in its own cube and in the 26 around it."""
+    for d in _AXES:
+        cells = cells.withColumn("__s", F.explode(F.array(F.lit(-1), F.lit(0), F.lit(1)))).withColumn(d, F.col(d) + F.col("__s")).drop("__s")
+    return cells
+
+
 def near_pairs(queries: DataFrame, candidates: DataFrame, width: float) -> DataFrame:
-    """(q_id, c_id, dist_ft): each query with the candidates of its own cube and the 26 around it."""
-    step = F.array(F.lit(-1), F.lit(0), F.lit(1))
-    around = queries.select("*", *_cell("q", width))
-    for d in "xyz":
-        around = around.withColumn("__s", F.explode(step)).withColumn(f"__{d}", F.col(f"__{d}") + F.col("__s")).drop("__s")
-    cells = candidates.select("*", *_cell("c", width))
+    """(q_id, c_id, dist_ft): each query with the candidates of its own cube and the 26 around it.
+
+    Both sides are small next to the pairs, so it is the pairs of each cube, counted before, that decide
+    over how many tasks cubes are dealt.  In a cube with more than MOST_PAIRS of them the queries are dealt over
+    several tasks, each with all of its candidates.
+    """
+    around, cells = _around(queries.select("*", *_cell("q", width))), candidates.select("*", *_cell("c", width))
+    asking = _around(queries.groupBy(*_cell("q", width)).agg(F.count("*").alias("__q"))).groupBy(*_AXES).agg(F.sum("__q").alias("__q"))
+    pairs = asking.join(cells.groupBy(*_AXES).agg(F.count("*").alias("__c")), _AXES).select(*_AXES, (F.col("__q") * F.col("__c")).alias("__pairs"))
+    every, most = pairs.agg(F.sum("__pairs"), F.max("__pairs")).first()
+    if (most or 0) > MOST_PAIRS:
+        full = F.broadcast(pairs.where(F.col("__pairs") > MOST_PAIRS).select(*_AXES, F.ceil(F.col("__pairs") / MOST_PAIRS).alias("__n")))  # at most a row for MOST_PAIRS pairs
+        parts = F.coalesce("__n", F.lit(1))
+        around = around.join(full, _AXES, "left").withColumn("__part", F.pmod(F.xxhash64("q_id"), parts)).drop("__n")
+        cells = cells.join(full, _AXES, "left").withColumn("__part", F.explode(F.sequence(F.lit(0).cast("long"), parts.cast("long") - 1))).drop("__n")
+    else:
+        around, cells = (d.withColumn("__part", F.lit(0).cast("long")) for d in (around, cells))
+    tasks = max(1, -(-(every or 0) // MOST_PAIRS))
+    around, cells = (d.repartition(tasks, *_AXES, "__part") for d in (around, cells))
     dist = geo.chord_ft({d: F.col(f"q_{d}") for d in "xyz"}, {d: F.col(f"c_{d}") for d in "xyz"})
-    return around.join(cells, ["__x", "__y", "__z"]).select("q_id", "c_id", dist.alias("dist_ft"))
+    return around.join(cells, [*_AXES, "__part"]).select("q_id", "c_id", dist.alias("dist_ft"))
 
 
 def k_nearest(queries: DataFrame, candidates: DataFrame, *, k: int = 10, query_id: str = "meter", candidate_id: str = "pole", lat: str = "lat", long: str = "long") -> DataFrame:
