@@ -39,3 +39,14 @@ def test_numbers_have_no_gaps(spark):
 
 def test_no_days(spark):
     assert rollup.rolled_up(_days(spark).limit(0), ["1"]).count() == 0
+
+
+def test_all_aggregates_share_one_shuffle_of_meters(spark):
+    """Each aggregate shuffled all meters' days for itself, and two of them several times over (Expand)."""
+    days = _days(spark)
+    apart = [audit.target_by_date(days), audit.target_by_uom(days), audit.target_by_quality(days, ["1"]), audit.target_zero_usage(days), audit.target_interval_count(days)]
+    found = audit.target_all(days, ["1"])
+    assert _sorted(found) == _sorted(union_all(apart))
+    plan = found._jdf.queryExecution().sparkPlan().toString() + found._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("Initial Plan")[-1].count("hashpartitioning(") == 2 and "Expand" not in plan
+    assert "Expand" not in audit.target_by_date(days)._jdf.queryExecution().executedPlan().toString()

@@ -10,8 +10,8 @@ value.  Quarantined readings: the same with a flag instead of usage_type.
 Totals are summed as double.
 
 Every aggregate is a roll-up of one table for each side, of a meter's day by
-register, condition and configuration: `source_days` and `target_days`.  Staged, it
-serves all five, and the readings are read and shuffled once.
+register, condition and configuration: `source_days` and `target_days`; `source_all` and
+`target_all` make all five of it, dealt by meter and day once.
 """
 
 from __future__ import annotations
@@ -75,6 +75,39 @@ def rank_configs(df: DataFrame) -> DataFrame:
 
 
 DAY = ["opco", "usage_type", "usage_dt", "register", "serial"]
+#: Rows dealt by these need no other shuffle to be grouped by any keys that hold them.
+DEALT = ["opco", "usage_dt", "serial"]
+
+
+def _kind(aggr_type: str, register: Column | None = None, quality: Column | None = None) -> Column:
+    given = {"aggr_type": F.lit(aggr_type), "register": register, "quality": quality}
+    return F.struct(*[(F.lit("") if c is None else c).alias(k) for k, c in given.items()])
+
+
+#: A task's hash tables have a few rows for each of these, so memory does not grow with the table.
+ROWS_A_TASK = 200_000
+
+
+def tasks_for(staged: DataFrame) -> int:
+    """Tasks to deal staged rows over; files know their number of rows."""
+    return max(1, -(-staged.count() // ROWS_A_TASK))
+
+
+def _dealt(days: DataFrame, tasks: int | None) -> DataFrame:
+    return days.repartition(tasks, *DEALT) if tasks else days.repartition(*DEALT)
+
+
+def _by_meter(days: DataFrame, kinds: Sequence[Column], sums: Sequence[str], tasks: int | None) -> DataFrame:
+    """A meter's sums in each kind of aggregate, after one shuffle for all of them; kinds: null where a row has no part."""
+    held = [c for c in ("arm", "opco", "usage_type", "usage_dt", "serial") if c in days.columns]
+    rows = _dealt(days, tasks).select(*held, *sums, F.explode(F.array_compact(F.array(*kinds))).alias("k")).select(*held, *sums, "k.*")
+    return rows.groupBy(*held, "aggr_type", "register", "quality").agg(*[F.sum(c).alias(c) for c in sums])
+
+
+def _of_meters(each: DataFrame, intervals: Column, cnt: str, usage: str) -> DataFrame:
+    """Meters' sums (_by_meter) added up; a meter has one row for each arm, so a count of rows counts meters."""
+    found = each.withColumn("intervals", intervals).groupBy(*KEYS).agg(F.sum(cnt).cast("long").alias("cnt"), F.sum(usage).cast("double").alias("usage"), F.count("serial").cast("long").alias("meters"))
+    return found.select(*KEYS, *MEASURES)
 
 
 def source_days(df: DataFrame, *, expected: int = INTERVALS_A_DAY, before: str | None = None) -> DataFrame:
@@ -90,13 +123,13 @@ def source_days(df: DataFrame, *, expected: int = INTERVALS_A_DAY, before: str |
     return _source(df, before, None).groupBy(*DAY, "condition", "config_id", "component_id").agg(F.sum("cnt").alias("cnt"), F.sum(total).alias("total"), *parts)
 
 
-def source_interval_count(df: DataFrame, actual: Sequence[str] = REGULAR_SOURCE_CODES, *, expected: int = INTERVALS_A_DAY, before: str | None = None, registers: Sequence[str] | None = None) -> DataFrame:
+def source_interval_count(df: DataFrame, actual: Sequence[str] = REGULAR_SOURCE_CODES, *, expected: int = INTERVALS_A_DAY, before: str | None = None, registers: Sequence[str] | None = None, tasks: int | None = None) -> DataFrame:
     """By intervals in a meter's day: complete actual days, complete estimated ones of meters without, and the latest configuration's others, summed.
 
     df: measurements, or source_days of them.
     """
     days = _source(df, before, registers)
-    days = days if "n_full" in df.columns else source_days(days, expected=expected)
+    days = _dealt(days if "n_full" in df.columns else source_days(days, expected=expected), tasks)
     real = fn.quality_class(F.col("condition"), actual, "A", "E") == "A"
     configs = days.groupBy(*DAY, "config_id", "component_id").agg(
         F.sum(F.when(real, F.col("n_full")).otherwise(0)).alias("n_real"), F.sum(F.when(real, F.col("full_total"))).alias("real_total"),
@@ -115,6 +148,15 @@ def source_interval_count(df: DataFrame, actual: Sequence[str] = REGULAR_SOURCE_
     return _sums(each, "INTERVAL_COUNT", ["opco", "usage_dt", "usage_type", "register", "intervals"])
 
 
+def source_all(days: DataFrame, actual: Sequence[str] = REGULAR_SOURCE_CODES, *, expected: int = INTERVALS_A_DAY, registers: Sequence[str] | None = None, tasks: int | None = None) -> DataFrame:
+    """The five aggregates of source_days: four in one pass, and source_interval_count.  tasks: how many meters are dealt over; left to Spark if not given."""
+    counts = F.col("register").isin(list(registers)) if registers else F.lit(True)
+    register, condition = F.col("register"), F.col("condition")
+    kinds = [F.when(counts, _kind("USAGE_DATE")), _kind("UOM", register), F.when(counts, _kind("DATA_QUALITY", register, fn.quality_class(condition, actual))), F.when(counts, _kind("ZERO_USAGE", register, condition))]
+    each = _by_meter(days, kinds, ["cnt", "total"], tasks).where("aggr_type <> 'ZERO_USAGE' OR total = 0")
+    return union_all([_of_meters(each, F.lit(""), "cnt", "total"), source_interval_count(days, actual, expected=expected, registers=registers, tasks=tasks)])
+
+
 def target_days(df: DataFrame, *, days: DataFrame | None = None, quarantined: DataFrame | None = None) -> DataFrame:
     """Readings of both arms summed by a meter's day, register and condition: n, and use (the usage that counts); arm 0: readings, 1: quarantined ones.
 
@@ -137,8 +179,16 @@ def _days_of(df: DataFrame, days: DataFrame | None = None, quarantined: DataFram
 
 def _target_sums(df: DataFrame, aggr_type: str, keys: Sequence[str], one_count: bool) -> DataFrame:
     """Distinct meters are counted for each arm and added; one_count: over both arms together."""
-    meters = F.count_distinct("serial") if one_count else F.count_distinct(F.when(F.col("arm") == 0, F.col("serial"))) + F.count_distinct(F.when(F.col("arm") == 1, F.col("serial")))
-    return _shape(df, aggr_type, keys, F.sum("n"), F.sum("use"), meters)
+    each = df.groupBy(*keys, *([] if one_count else ["arm"]), "serial").agg(F.sum("n").alias("n"), F.sum("use").alias("use"))
+    return _shape(each, aggr_type, keys, F.sum("n"), F.sum("use"), F.count("serial"))
+
+
+def target_all(days: DataFrame, actual: Sequence[str] = REGULAR_TARGET_CODES, *, tasks: int | None = None) -> DataFrame:
+    """The five aggregates of target_days, in one pass; tasks as in source_all."""
+    register, condition, first = F.col("register"), F.col("condition"), F.col("arm") == 0
+    kinds = [_kind("USAGE_DATE"), _kind("UOM", register), F.when(first, _kind("DATA_QUALITY", register, fn.quality_class(condition, actual))), F.when(F.col("use") == 0, _kind("ZERO_USAGE", register, condition)), F.when(first, _kind("INTERVAL_COUNT", register))]
+    each = _by_meter(days, kinds, ["n", "use"], tasks)
+    return _of_meters(each, F.when(F.col("aggr_type") == "INTERVAL_COUNT", F.col("n").cast("string")).otherwise(""), "n", "use")
 
 
 def target_by_date(df: DataFrame, *, days: DataFrame | None = None, quarantined: DataFrame | None = None, registers: Sequence[str] | None = None, one_count: bool = False) -> DataFrame:

@@ -17,13 +17,13 @@ from .ledger import Ledger, Run
 def source_aggregates(df: DataFrame, actual: Sequence[str] = REGULAR_SOURCE_CODES, *, expected: int = 96, before: str | None = None, registers: Sequence[str] | None = None) -> DataFrame:
     """All five, from one pass over the measurements.  registers: those that are audited, such as constants.AUDITED_REGISTERS; all if not given."""
     days = stage(audit.source_days(df, expected=expected, before=before), "source-days")
-    return union_all([audit.source_by_date(days, registers=registers), audit.source_by_uom(days), audit.source_by_quality(days, actual, registers=registers), audit.source_zero_usage(days, registers=registers), audit.source_interval_count(days, actual, expected=expected, registers=registers)])
+    return stage(audit.source_all(days, actual, expected=expected, registers=registers, tasks=audit.tasks_for(days)), "source-aggregates")  # a few rows, which are read for each kind
 
 
 def target_aggregates(df: DataFrame, actual: Sequence[str] = REGULAR_TARGET_CODES, *, quarantined: DataFrame | None = None, days: DataFrame | None = None) -> DataFrame:
     """All five, from one pass over the readings and one over the quarantined ones."""
     each = stage(audit.target_days(df, days=days, quarantined=quarantined), "target-days")
-    return union_all([audit.target_by_date(each), audit.target_by_uom(each), audit.target_by_quality(each, actual), audit.target_zero_usage(each), audit.target_interval_count(each)])
+    return stage(audit.target_all(each, actual, tasks=audit.tasks_for(each)), "target-aggregates")
 
 
 def source_rollup(df: DataFrame, actual: Sequence[str] = REGULAR_SOURCE_CODES, *, expected: int = 96, before: str | None = None, registers: Sequence[str] | None = None) -> DataFrame:
@@ -61,8 +61,7 @@ def audit_target(run: Run, readings: DataFrame, days_path: str, aggregates_path:
     """Stage in a run the target's days and the five aggregates of them, both by company and day."""
     run.write(audit.target_days(readings, quarantined=quarantined), days_path, PARTITION)
     days = run.staged(days_path)
-    made = [audit.target_by_date(days), audit.target_by_uom(days), audit.target_by_quality(days, actual), audit.target_zero_usage(days), audit.target_interval_count(days)]
-    run.write(union_all(made), aggregates_path, PARTITION)
+    run.write(audit.target_all(days, actual, tasks=audit.tasks_for(days)), aggregates_path, PARTITION)
 
 
 def re_audit(ledger: Ledger, owner: str, listed: DataFrame, readings: DataFrame, days_path: str, aggregates_path: str, actual: Sequence[str] = REGULAR_TARGET_CODES, *, quarantined: DataFrame | None = None) -> int:
