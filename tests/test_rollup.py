@@ -50,3 +50,12 @@ def test_all_aggregates_share_one_shuffle_of_meters(spark):
     plan = found._jdf.queryExecution().sparkPlan().toString() + found._jdf.queryExecution().executedPlan().toString()
     assert plan.split("Initial Plan")[-1].count("hashpartitioning(") == 2 and "Expand" not in plan
     assert "Expand" not in audit.target_by_date(days)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_each_bitmap_is_made_by_one_task(spark):
+    """Rows were grouped where they lay, so each task made nearly all bitmaps and sent them on."""
+    plan = rollup.rolled_up(_days(spark), ["1"], all_arms=False)._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    lines = [x for x in plan.splitlines() if "bitmap_construct_agg" in x or "Exchange hashpartitioning" in x]
+    made = [k for k, x in enumerate(lines) if "bitmap_construct_agg" in x]
+    assert made and made == list(range(made[0], made[0] + len(made)))  # no shuffle between partial and final
+    assert "usage_dt" in lines[made[-1] + 1] and "REPARTITION_BY_COL" in lines[made[-1] + 1]

@@ -88,9 +88,9 @@ def _kind(aggr_type: str, register: Column | None = None, quality: Column | None
 ROWS_A_TASK = 200_000
 
 
-def tasks_for(staged: DataFrame) -> int:
-    """Tasks to deal staged rows over; files know their number of rows."""
-    return max(1, -(-staged.count() // ROWS_A_TASK))
+def tasks_for(df: DataFrame) -> int:
+    """Tasks to deal rows over; staged ones are counted by their files."""
+    return max(1, -(-df.count() // ROWS_A_TASK))
 
 
 def _dealt(days: DataFrame, tasks: int | None) -> DataFrame:

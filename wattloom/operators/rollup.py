@@ -36,13 +36,13 @@ def numbered(df: DataFrame, column: str) -> DataFrame:
     return values.withColumn("__part", part).join(F.broadcast(known), "__part").select(column, (F.col("__base") + within).alias("number"))
 
 
-def rolled_up(days: DataFrame, actual: Sequence[str], *, numbers: DataFrame | None = None, registers: Sequence[str] | None = None, one_count: bool = False, all_arms: bool = True) -> DataFrame:
+def rolled_up(days: DataFrame, actual: Sequence[str], *, numbers: DataFrame | None = None, registers: Sequence[str] | None = None, one_count: bool = False, all_arms: bool = True, tasks: int | None = None) -> DataFrame:
     """Usage by date, by register, by quality and zero usage, in audit.KEYS and MEASURES, from one pass over meters' days.
 
     days: arm, opco, usage_type, usage_dt, register, condition, serial, n, use, one row for each.  numbers: the
     meters' (numbered), if they can be had without the days.
     registers: those that count, but for the aggregate by register.  Meters of two arms are
-    counted in each; one_count: once.  all_arms: the aggregate by quality has all arms, and not just arm 0.
+    counted in each; one_count: once.  tasks: how many rows are dealt over; left to Spark if not given.  all_arms: the aggregate by quality has all arms, and not just arm 0.
     """
     days = days.withColumn("arm", F.lit(0)) if "arm" not in days.columns else days
     coded = days.join(numbered(days, "serial") if numbers is None else numbers, "serial", "left")
@@ -51,6 +51,7 @@ def rolled_up(days: DataFrame, actual: Sequence[str], *, numbers: DataFrame | No
     zero = F.col("use") == 0
     base = (
         coded.withColumns({"quality": fn.quality_class(F.col("condition"), actual), "counts": counts, "bucket": F.bitmap_bucket_number("number")})
+        .repartition(*([tasks] if tasks else []), "opco", "usage_dt", "bucket")  # rows are dealt, so that each bitmap is made by one task alone
         .groupBy(*finest, "bucket")
         .agg(
             F.bitmap_construct_agg(F.bitmap_bit_position("number")).alias("bits"),

@@ -38,7 +38,7 @@ def target_rollup(df: DataFrame, actual: Sequence[str] = REGULAR_TARGET_CODES, *
     """target_aggregates likewise; one_count: meters of both arms counted once."""
     each = audit.target_days(df, days=days, quarantined=quarantined)
     serials = df.select("serial") if quarantined is None else union_all([df.select("serial"), quarantined.select("serial")])
-    rolled = rollup.rolled_up(each, actual, numbers=rollup.numbered(serials, "serial"), one_count=one_count, all_arms=False)
+    rolled = rollup.rolled_up(each, actual, numbers=rollup.numbered(serials, "serial"), one_count=one_count, all_arms=False, tasks=audit.tasks_for(serials))
     return union_all([rolled, audit.target_interval_count(each)])
 
 
