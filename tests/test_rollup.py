@@ -59,3 +59,43 @@ def test_each_bitmap_is_made_by_one_task(spark):
     made = [k for k, x in enumerate(lines) if "bitmap_construct_agg" in x]
     assert made and made == list(range(made[0], made[0] + len(made)))  # no shuffle between partial and final
     assert "usage_dt" in lines[made[-1] + 1] and "REPARTITION_BY_COL" in lines[made[-1] + 1]
+
+
+def _made(df, kind):
+    """Rows that a kind of node made in a plan that has run."""
+    from py4j.java_gateway import is_instance_of
+
+    sql, found = "org.apache.spark.sql.execution", []
+
+    def walk(node):
+        for name, inner in (("adaptive.AdaptiveSparkPlanExec", "executedPlan"), ("adaptive.QueryStageExec", "plan")):
+            if is_instance_of(df.sparkSession.sparkContext._gateway, node, f"{sql}.{name}"):
+                return walk(getattr(node, inner)())
+        if node.nodeName() == kind:
+            found.append(node.metrics().apply("numOutputRows").value())
+        for k in range(node.children().size()):
+            walk(node.children().apply(k))
+
+    walk(df._jdf.queryExecution().executedPlan())
+    return sum(found)
+
+
+def test_meters_are_summed_before_kinds_are_made(spark):
+    """Each meter's day became a row of every kind, up to five of them, and was grouped again by meter."""
+    meters = [(arm, "A", "interval", "d1", register, condition, f"s{k}", 1, 0.0 if k % 2 else 1.5) for k in range(500) for arm, register, condition in ((0, "E-KWH", "1"), (0, "E-KWH", "2"), (0, "KVAR", "1"), (1, "KVAR", "1"))]
+    days = spark.createDataFrame(meters, KEYS)
+    found = audit.target_all(days, ["1"])
+    apart = [audit.target_by_date(days), audit.target_by_uom(days), audit.target_by_quality(days, ["1"]), audit.target_zero_usage(days), audit.target_interval_count(days)]
+    assert _sorted(found) == _sorted(union_all(apart))
+    assert 0 < _made(found, "Generate") <= 30
+
+
+def test_pieces_change_nothing(spark, monkeypatch):
+    days = _days(spark, rows=1500)
+    whole = _sorted(audit.target_all(days, ["1"]))
+    monkeypatch.setattr(audit, "ROWS_A_TASK", 100)
+    deal = audit.deal_for(days)
+    most = max(r["count"] for r in days.groupBy("opco", "usage_dt").count().collect())
+    assert deal == {"tasks": -(-days.count() // 100), "pieces": -(-most * audit.PIECES_A_TASK // 100)} and deal["pieces"] > 16
+    assert _sorted(audit.target_all(days, ["1"], **deal)) == whole
+    assert audit.deal_for(days.limit(0)) == {"tasks": 1, "pieces": 1} and audit.target_all(days.limit(0), ["1"]).count() == 0

@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..constants import ENERGY_REGISTER_PREFIX, ENERGY_UNITS, INTERVALS_A_DAY, REGULAR_SOURCE_CODES, REGULAR_TARGET_CODES
@@ -93,6 +93,16 @@ def tasks_for(df: DataFrame) -> int:
     return max(1, -(-df.count() // ROWS_A_TASK))
 
 
+#: A company's day is cut by meters into pieces of a task's rows over this, so that tasks get about as many rows each.
+PIECES_A_TASK = 16
+
+
+def deal_for(days: DataFrame) -> dict[str, int]:
+    """tasks to deal rows over, and the pieces of a company's day; staged ones are counted by their files."""
+    total, most = days.groupBy("opco", "usage_dt").count().agg(F.sum("count"), F.max("count")).first()
+    return {"tasks": max(1, -(-(total or 0) // ROWS_A_TASK)), "pieces": max(1, -(-(most or 0) * PIECES_A_TASK // ROWS_A_TASK))}
+
+
 def _dealt(days: DataFrame, tasks: int | None) -> DataFrame:
     return days.repartition(tasks, *DEALT) if tasks else days.repartition(*DEALT)
 
@@ -183,12 +193,34 @@ def _target_sums(df: DataFrame, aggr_type: str, keys: Sequence[str], one_count:
     return _shape(each, aggr_type, keys, F.sum("n"), F.sum("use"), F.count("serial"))
 
 
-def target_all(days: DataFrame, actual: Sequence[str] = REGULAR_TARGET_CODES, *, tasks: int | None = None) -> DataFrame:
-    """The five aggregates of target_days, in one pass; tasks as in source_all."""
-    register, condition, first = F.col("register"), F.col("condition"), F.col("arm") == 0
-    kinds = [_kind("USAGE_DATE"), _kind("UOM", register), F.when(first, _kind("DATA_QUALITY", register, fn.quality_class(condition, actual))), F.when(F.col("use") == 0, _kind("ZERO_USAGE", register, condition)), F.when(first, _kind("INTERVAL_COUNT", register))]
-    each = _by_meter(days, kinds, ["n", "use"], tasks)
-    return _of_meters(each, F.when(F.col("aggr_type") == "INTERVAL_COUNT", F.col("n").cast("string")).otherwise(""), "n", "use")
+def target_all(days: DataFrame, actual: Sequence[str] = REGULAR_TARGET_CODES, *, tasks: int | None = None, pieces: int = 1) -> DataFrame:
+    """The five aggregates of target_days, which are read twice and dealt once.
+
+    A meter's day has one row for each register, with its sums by quality beside each other; the first of
+    them counts the meter by date. These rows are summed where they lie, and only the sums become rows of each kind.
+    Zero usage needs no meters, as target_days has a row for each condition.
+
+    tasks and pieces as by deal_for; tasks are left to Spark if not given.
+    """
+    piece, meter = ["opco", "usage_dt", "piece"], ["serial", "usage_dt", "opco", "piece", "arm", "usage_type"]
+    quality, n, use, known, first_arm = fn.quality_class(F.col("condition"), actual), F.col("n"), F.col("use"), F.col("serial").isNotNull(), F.col("arm") == 0
+    classes = ["REGULAR", "ESTIMATE"]
+    by_class = [a for q in classes for a in (F.count_if(quality == q).alias(f"{q}_rows"), F.sum(F.when(quality == q, n)).alias(f"{q}_n"), F.sum(F.when(quality == q, use)).alias(f"{q}_use"))]
+    dealt = days.withColumn("piece", F.pmod(F.xxhash64("serial"), F.lit(pieces))).repartition(*([tasks] if tasks else []), *piece)
+    registers = dealt.groupBy(*meter, "register").agg(F.sum(n).alias("n"), F.sum(use).alias("use"), *by_class).withColumn("nth", F.row_number().over(Window.partitionBy(*meter).orderBy("register")))
+    sums_by_class = [a for q in classes for a in (F.sum(f"{q}_rows").alias(f"{q}_rows"), F.sum(f"{q}_n").alias(f"{q}_n"), F.sum(f"{q}_use").alias(f"{q}_use"), F.count_if(known & (F.col(f"{q}_rows") > 0)).alias(f"{q}_meters"))]
+    sums = registers.groupBy(*piece, "arm", "usage_type", "register", "n").agg(F.sum(n).alias("cnt"), F.sum(use).alias("usage"), F.count("serial").alias("meters"), F.count_if(known & (F.col("nth") == 1)).alias("meters_by_date"), *sums_by_class)
+
+    def kind(aggr_type: str, cnt: str = "cnt", usage: str = "usage", meters: str = "meters", **keys: Column) -> Column:
+        given = {"aggr_type": F.lit(aggr_type), "register": F.col("register"), "quality": F.lit(""), "intervals": F.lit("")} | keys
+        return F.struct(*[c.alias(k) for k, c in given.items()], *[F.col(c).alias(m) for m, c in zip(MEASURES, (cnt, usage, meters))])
+
+    kinds = [kind("USAGE_DATE", meters="meters_by_date", register=F.lit("")), kind("UOM"), F.when(first_arm, kind("INTERVAL_COUNT", intervals=n.cast("string")))]
+    kinds += [F.when(first_arm & (F.col(f"{q}_rows") > 0), kind("DATA_QUALITY", f"{q}_n", f"{q}_use", f"{q}_meters", quality=F.lit(q))) for q in classes]
+    counted = sums.select("opco", "usage_dt", "usage_type", F.explode(F.array(*kinds)).alias("k")).where("k IS NOT NULL").select("opco", "usage_dt", "usage_type", "k.*")
+    zero = days.where("use = 0").select("opco", F.lit("ZERO_USAGE").alias("aggr_type"), "usage_dt", "usage_type", "register", F.col("condition").alias("quality"), F.lit("").alias("intervals"), n.alias("cnt"), use.alias("usage"), known.cast("long").alias("meters"))
+    found = union_all([counted.select(*KEYS, *MEASURES), zero]).groupBy(*KEYS).agg(F.sum("cnt").cast("long").alias("cnt"), F.sum("usage").cast("double").alias("usage"), F.sum("meters").cast("long").alias("meters"))
+    return found.select(*KEYS, *MEASURES)
 
 
 def target_by_date(df: DataFrame, *, days: DataFrame | None = None, quarantined: DataFrame | None = None, registers: Sequence[str] | None = None, one_count: bool = False) -> DataFrame:

@@ -23,7 +23,7 @@ def source_aggregates(df: DataFrame, actual: Sequence[str] = REGULAR_SOURCE_CODE
 def target_aggregates(df: DataFrame, actual: Sequence[str] = REGULAR_TARGET_CODES, *, quarantined: DataFrame | None = None, days: DataFrame | None = None) -> DataFrame:
     """All five, from one pass over the readings and one over the quarantined ones."""
     each = stage(audit.target_days(df, days=days, quarantined=quarantined), "target-days")
-    return stage(audit.target_all(each, actual, tasks=audit.tasks_for(each)), "target-aggregates")
+    return stage(audit.target_all(each, actual, **audit.deal_for(each)), "target-aggregates")
 
 
 def source_rollup(df: DataFrame, actual: Sequence[str] = REGULAR_SOURCE_CODES, *, expected: int = 96, before: str | None = None, registers: Sequence[str] | None = None) -> DataFrame:
@@ -61,7 +61,7 @@ def audit_target(run: Run, readings: DataFrame, days_path: str, aggregates_path:
     """Stage in a run the target's days and the five aggregates of them, both by company and day."""
     run.write(audit.target_days(readings, quarantined=quarantined), days_path, PARTITION)
     days = run.staged(days_path)
-    run.write(audit.target_all(days, actual, tasks=audit.tasks_for(days)), aggregates_path, PARTITION)
+    run.write(audit.target_all(days, actual, **audit.deal_for(days)), aggregates_path, PARTITION)
 
 
 def re_audit(ledger: Ledger, owner: str, listed: DataFrame, readings: DataFrame, days_path: str, aggregates_path: str, actual: Sequence[str] = REGULAR_TARGET_CODES, *, quarantined: DataFrame | None = None) -> int:
